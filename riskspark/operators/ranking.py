@@ -136,8 +136,3 @@ def hash_rank(
         .withColumn("hash_rank", F.row_number().over(inside) - 1 + F.col("_off"))
         .select(*df.columns, "hash_rank", "group_rows")
     )
-
-
-def first_by_hash(df: DataFrame, seed: str, n: int, key: str = "TransactionID") -> DataFrame:
-    """``n`` rows in the seeded order: a per-task top-n and a merge, no full sort."""
-    return df.orderBy(hash_uniform(seed, F.col(key), digits=13), key).limit(n)

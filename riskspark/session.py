@@ -15,7 +15,9 @@ def get_spark(app: str = "riskspark", master: str | None = None, **conf: str) ->
     """
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = builder.master(master).config("spark.ui.enabled", "false").config(
+            "spark.ui.showConsoleProgress", "false"
+        )
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
