@@ -40,9 +40,9 @@ def psi_edges(baseline: DataFrame, value: str, bins: int = 10, by: Sequence[str]
     return exact_percentiles(baseline, value, [i / bins for i in range(1, bins)], by)
 
 
-def _bin(value: Column, edges: Column) -> Column:
+def _bin(value: Column, edges: Column, bins: int) -> Column:
     """Bins are closed on the left, so the number of edges at or below the value is the bin."""
-    return F.size(F.filter(edges, lambda e: e <= value))
+    return sum(((value >= edges[i]).cast("int") for i in range(bins - 1)), F.lit(0))
 
 
 def _psi_of(counts: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
@@ -72,7 +72,7 @@ def psi(baseline: DataFrame, current: DataFrame, value: str = "score", bins: int
     """Population stability index: one row with psi, n_baseline, n_current."""
     edges = psi_edges(baseline, value, bins).scalar()
     both = sides(baseline, current, [value]).filter(F.col(value).isNotNull())
-    return _psi_of(both.select("current", _bin(F.col(value), edges).alias("bin")), (), bins)
+    return _psi_of(both.select("current", _bin(F.col(value), edges, bins).alias("bin")), (), bins)
 
 
 def feature_psi(baseline: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
@@ -84,15 +84,15 @@ def feature_psi(baseline: DataFrame, current: DataFrame, features: Sequence[str]
 
     edges = psi_edges(long(baseline), "value", bins, ["feature"])
     both = sides(long(baseline), long(current), ["feature", "value"]).join(F.broadcast(edges), "feature")
-    binned = both.select("feature", "current", _bin(F.col("value"), F.col("percentiles")).alias("bin"))
+    binned = both.select("feature", "current", _bin(F.col("value"), F.col("percentiles"), bins).alias("bin"))
     return _psi_of(binned, ["feature"], bins)
 
 
 def psi_by(baseline: DataFrame, current: DataFrame, by: str, value: str = "score", bins: int = 10) -> DataFrame:
     """PSI of each group of the current table against the whole baseline."""
     edges = psi_edges(baseline, value, bins).scalar()
-    cells = current.filter(F.col(value).isNotNull()).groupBy(by, _bin(F.col(value), edges).alias("bin")).count()
-    base = baseline.filter(F.col(value).isNotNull()).groupBy(_bin(F.col(value), edges).alias("bin")).count()
+    cells = current.filter(F.col(value).isNotNull()).groupBy(by, _bin(F.col(value), edges, bins).alias("bin")).count()
+    base = baseline.filter(F.col(value).isNotNull()).groupBy(_bin(F.col(value), edges, bins).alias("bin")).count()
     # At most ``bins`` rows: the baseline as one array of counts.
     counts = base.agg(
         F.array(*[F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("count"))), F.lit(0)) for i in range(bins)])

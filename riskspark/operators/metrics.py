@@ -249,13 +249,18 @@ def latency_percentiles(df: DataFrame, latency: str, by: Sequence[str] = ()) ->
 _PER_DIGEST = 4  # 32 hex digits give four 8-digit uniforms
 
 
-def bootstrap_weights(replicates: range, key: Column, seed: str) -> list[Column]:
-    """Poisson(1) weight of a row in each replicate, four replicates per digest."""
-    out = []
-    for r in replicates:
-        digest = hashed(f"{seed}{r // _PER_DIGEST}", key)
-        out.append(poisson_one(hex_to_unit(digest, 8 * (r % _PER_DIGEST) + 1, 8)))
-    return out
+def with_bootstrap_weights(df: DataFrame, replicates: range, key: str, seed: str) -> DataFrame:
+    """Adds the Poisson(1) weight ``w{r}`` of each row in each replicate, four replicates per digest.
+
+    Digests, uniforms and weights are separate projections, so each is computed once per row.
+    """
+    groups = sorted({r // _PER_DIGEST for r in replicates})
+    out = df.select("*", *[hashed(f"{seed}{g}", F.col(key)).alias(f"_d{g}") for g in groups])
+    uniforms = [
+        hex_to_unit(F.col(f"_d{r // _PER_DIGEST}"), 8 * (r % _PER_DIGEST) + 1, 8).alias(f"_u{r}") for r in replicates
+    ]
+    out = out.select(*df.columns, *uniforms)
+    return out.select(*df.columns, *[poisson_one(F.col(f"_u{r}")).cast("bigint").alias(f"w{r}") for r in replicates])
 
 
 def bootstrap_auc(
@@ -275,9 +280,7 @@ def bootstrap_auc(
     out = None
     for start in range(0, replicates, batch):
         reps = range(start, min(start + batch, replicates))
-        weighted = df.select(
-            score, label, *[w.cast("bigint").alias(f"w{r}") for r, w in zip(reps, bootstrap_weights(reps, F.col(key), seed))]
-        )
+        weighted = with_bootstrap_weights(df.select(key, score, label), reps, key, seed)
         sums = {}
         for r in reps:
             sums[f"tp{r}"] = F.when(F.col(label) == 1, F.col(f"w{r}")).otherwise(0)
