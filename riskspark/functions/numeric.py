@@ -44,9 +44,6 @@ def hash_uniform(seed: str, *keys: Column, digits: int = 8) -> Column:
     return hex_to_unit(hashed(seed, *keys), 1, digits)
 
 
-def poisson_one(u: Column) -> Column:
-    """Poisson(1) draw from a uniform number, by the inverse distribution function."""
-    count = F.lit(0)
-    for bound in POISSON_ONE_CDF:
-        count = count + (u >= F.lit(bound)).cast("int")
-    return count
+def poisson_one(uniform: str) -> Column:
+    """Poisson(1) draw from a column of uniform numbers, by the inverse distribution function."""
+    return F.expr(" + ".join(f"int(`{uniform}` >= {bound!r}D)" for bound in POISSON_ONE_CDF))

@@ -260,7 +260,7 @@ def with_bootstrap_weights(df: DataFrame, replicates: range, key: str, seed: str
         hex_to_unit(F.col(f"_d{r // _PER_DIGEST}"), 8 * (r % _PER_DIGEST) + 1, 8).alias(f"_u{r}") for r in replicates
     ]
     out = out.select(*df.columns, *uniforms)
-    return out.select(*df.columns, *[poisson_one(F.col(f"_u{r}")).cast("bigint").alias(f"w{r}") for r in replicates])
+    return out.select(*df.columns, *[poisson_one(f"_u{r}").cast("bigint").alias(f"w{r}") for r in replicates])
 
 
 def bootstrap_auc(
