@@ -32,12 +32,14 @@ def build_features(
     """All features with nulls filled by 0.
 
     Pass profiles built on training rows. Without ``card_stats`` they are taken from ``df`` itself,
-    which leaks on test rows; without ``risk_profile`` the three merchant columns are 0.
+    which leaks on test rows; without ``risk_profile`` the three merchant columns are 0. Velocity
+    columns that are already there, from a stream for instance, are kept.
     """
     if "event_time" not in df.columns:
         df = df.withColumn("event_time", tx.event_time(F.col("TransactionDT")))
     stats = profiles.card_stats(df) if card_stats is None else card_stats
-    out = velocity(df, hours, history=history, method=method)
+    done = {f"velocity_{stat}_{h}h" for h in hours for stat in ("count", "sum", "std")} <= set(df.columns)
+    out = df if done else velocity(df, hours, history=history, method=method)
     out = out.withColumns(row_features(df.columns))
     out = profiles.add_card_aggregates(out, stats)
     if risk_profile is None:

@@ -14,11 +14,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_transactions(table(spark, sf_dir, "events"))
+
+
+def tx_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return as_transactions(stream)
+
+
+def as_transactions(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     time = F.col("ts").cast("timestamp")
     return (
-        table(spark, sf_dir, "events")
-        .withColumn("k", k)
+        events.withColumn("k", k)
         .select(
             F.col("event_id").alias("TransactionID"),
             time.alias("event_time"),
@@ -61,10 +71,14 @@ def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two models' scores of every event: ``pa`` is the weaker one, ``pb`` follows the label less."""
+    """Two models' scores of every event; ``pb`` follows the label less than ``pa``."""
+    return scores_of(tx_events(spark, sf_dir))
+
+
+def scores_of(transactions: DataFrame) -> DataFrame:
     key = F.col("TransactionID")
     y = F.col("isFraud").cast("double")
-    return tx_events(spark, sf_dir).select(
+    return transactions.select(
         "TransactionID",
         "event_time",
         "TransactionAmt",
@@ -82,12 +96,15 @@ BASELINE_END = "2024-01-16 00:00:00"
 def baseline_and_current(spark: SparkSession, sf_dir: str, shift: float = 0.15) -> tuple[DataFrame, DataFrame]:
     """Scores of the baseline period, and shifted scores of everything after it."""
     df = scores(spark, sf_dir)
-    shifted = F.least(F.lit(1.0), F.col("pa") + F.lit(shift))
     early = F.col("event_time") < F.to_timestamp(F.lit(BASELINE_END))
-    return (
-        df.filter(early).select("TransactionID", "event_time", F.col("pa").alias("score"), "y"),
-        df.filter(~early).select("TransactionID", "event_time", shifted.alias("score"), "y"),
-    )
+    baseline = df.filter(early).select("TransactionID", "event_time", F.col("pa").alias("score"), "y")
+    return baseline, shifted_scores(df, shift)
+
+
+def shifted_scores(df: DataFrame, shift: float = 0.15) -> DataFrame:
+    shifted = F.least(F.lit(1.0), F.col("pa") + F.lit(shift))
+    late = F.col("event_time") >= F.to_timestamp(F.lit(BASELINE_END))
+    return df.filter(late).select("TransactionID", "event_time", shifted.alias("score"), "y")
 
 
 def raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
