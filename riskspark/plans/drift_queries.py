@@ -111,8 +111,8 @@ def ks_test(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(drift.ks_test(*views.baseline_and_current(spark, sf)), ks_stat=6, p_value=6)
 
 
-@register("drift_alerts", f"""with {SIDES}, {PSI}, {KS}, {SIDE_METRICS},
-    alerts as (
+ALERTS = f"""{PSI}, {KS}, {SIDE_METRICS},
+alerts as (
       select 'score_distribution_ks' as metric, ks_stat as cur, 0.0::double as base, 0.05::double as threshold,
         ks_stat >= 0.2::double as critical,
         printf('Score distribution drift detected (KS=%.4f, p=%.4f). Model may need retraining.', ks_stat,
@@ -126,10 +126,13 @@ def ks_test(spark: SparkSession, sf: str) -> DataFrame:
       select name || '_drift', cur, base, 0.05::double, base - cur > 0.1::double,
         printf('%s dropped from %.4f to %.4f (Δ=%.4f > threshold=0.05)',
                upper(substr(name, 1, 1)) || substr(name, 2), base, cur, base - cur)
-      from drops, ks_row where base - cur > 0.05::double and m >= 100)
-    select metric, {r('cur')} as current_value, {r('base')} as baseline_value, threshold,
+      from drops, ks_row where base - cur > 0.05::double and m >= 100)"""
+ALERT_ROWS = f"""select metric, {r('cur')} as current_value, {r('base')} as baseline_value, threshold,
       case when critical then 'critical' else 'warning' end as severity, message
-    from alerts""")
+    from alerts"""
+
+
+@register("drift_alerts", f"with {SIDES}, {ALERTS} {ALERT_ROWS}")
 def drift_alerts(spark: SparkSession, sf: str) -> DataFrame:
     out = drift.drift_alerts(*views.baseline_and_current(spark, sf))
     return round_columns(out, current_value=6, baseline_value=6)
