@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.numeric import hash_uniform
 from riskspark.operators.ranking import hash_rank
+from riskspark.session import stored
 
 
 def nearest_neighbours(
@@ -72,7 +73,8 @@ def smote(
     minority = df.filter(F.col(label) == 1).select(key, values)
     few, many = df.agg(F.count(F.when(F.col(label) == 1, 1)), F.count(F.when(F.col(label) == 0, 1))).first()
     missing = max(0, many - few)
-    near = nearest_neighbours(minority, k, key, values, block_rows)
+    # Stored: it is the expensive part and is read more than once.
+    near = stored(nearest_neighbours(minority, k, key, values, block_rows))
     size = near.groupBy(key).agg(F.count(F.lit(1)).alias("n_near"))
     copies = F.lit(missing // max(few, 1)) + (F.col("hash_rank") < missing % max(few, 1)).cast("int")
     based = hash_rank(minority, seed, key).withColumn("copies", copies.cast("int")).filter(F.col("copies") > 0)

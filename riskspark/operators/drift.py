@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.numeric import ratio
 from riskspark.operators.ranking import cumulative, exact_percentiles
+from riskspark.session import stored
 
 # Alert limits (fixed values).
 KS_P = 0.01
@@ -329,17 +330,17 @@ def _cooldown_doubling(times: DataFrame, key: str, gap: int) -> DataFrame:
         .agg(F.min(alert_at).alias("first"))
         .select(key, "slot", F.last("first", ignorenulls=True).over(later).alias("after"))
     )
-    jump = (
+    jump = stored(
         records.withColumn("inside", F.min(alert_at).over(since))
         .filter(F.col("ask") == 1)
         .join(slots, [key, "slot"])
         .select(key, "us", F.coalesce("inside", "after").alias("to"))
         .filter(F.col("to").isNotNull())
-        .checkpoint()
     )
-    reached = times.groupBy(key).agg(F.min("us").alias("us")).checkpoint()
+    reached = stored(times.groupBy(key).agg(F.min("us").alias("us")))
     while not jump.isEmpty():
-        reached = reached.unionByName(reached.join(jump, [key, "us"]).select(key, F.col("to").alias("us"))).checkpoint()
+        following = reached.join(jump, [key, "us"]).select(key, F.col("to").alias("us"))
+        reached = stored(reached.unionByName(following))
         ahead = jump.select(key, F.col("us").alias("to"), F.col("to").alias("far"))
-        jump = jump.join(ahead, [key, "to"]).select(key, "us", F.col("far").alias("to")).checkpoint()
+        jump = stored(jump.join(ahead, [key, "to"]).select(key, "us", F.col("far").alias("to")))
     return reached

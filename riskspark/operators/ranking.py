@@ -8,7 +8,6 @@ sums of all earlier buckets are added from a table of one row per bucket.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from math import inf, isfinite
 
 from pyspark.ml.feature import Bucketizer
@@ -33,11 +32,10 @@ def _bucketed(df: DataFrame, value: str, buckets: int) -> DataFrame:
     return bucketizer.transform(df).withColumn("_bucket", F.col("_bucket").cast("int"))
 
 
-def _join_totals(cells: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Null-safe join on the keys, so a null group keeps its rows."""
-    right = totals.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    return cells.join(right, same).drop(*[f"_key_{k}" for k in keys])
+def _slot(by: Sequence[str]) -> Column:
+    """Group and bucket as one key. Struct keys treat nulls as equal, so a null group keeps its rows,
+    and the window and the join on the same key share one shuffle."""
+    return F.struct(*by, "_bucket")
 
 
 def cumulative(
@@ -57,27 +55,28 @@ def cumulative(
     narrow = df.select(*by, F.col(value).cast("double").alias(value), *[c.alias(n) for n, c in sums.items()])
     rows = _bucketed(narrow, value, _bucket_count(df, buckets))
     cells = rows.groupBy(*by, "_bucket", value).agg(*[F.sum(n).alias(n) for n in sums])
-    order = F.col("_bucket").desc() if descending else F.col("_bucket")
-    earlier = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*by)
+    cells = cells.select(_slot(by).alias("_slot"), *by, value, *sums)
+    order = F.col("_slot._bucket").desc() if descending else F.col("_slot._bucket")
+    groups = [f"_slot.{c}" for c in by]
+    earlier = W.partitionBy(*groups).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     # At most one row per bucket and group.
     totals = (
-        cells.groupBy(*by, "_bucket")
+        cells.groupBy("_slot")
         .agg(*[F.sum(n).alias(n) for n in sums])
         .select(
-            *by,
-            "_bucket",
+            "_slot",
             *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums],
-            *[F.sum(n).over(whole).alias(f"total_{n}") for n in sums],
+            *[F.sum(n).over(W.partitionBy(*groups)).alias(f"total_{n}") for n in sums],
         )
     )
-    inside = W.partitionBy(*by, "_bucket").orderBy(F.col(value).desc() if descending else F.col(value))
+    inside = W.partitionBy("_slot").orderBy(F.col(value).desc() if descending else F.col(value))
     running = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    return _join_totals(cells, totals, [*by, "_bucket"]).select(
+    placed = cells.select("*", *[F.sum(n).over(running).alias(f"_run_{n}") for n in sums])
+    return placed.join(totals, "_slot").select(
         *by,
         value,
         *sums,
-        *[(F.sum(n).over(running) + F.col(f"_off_{n}")).alias(f"cum_{n}") for n in sums],
+        *[(F.col(f"_run_{n}") + F.col(f"_off_{n}")).alias(f"cum_{n}") for n in sums],
         *[f"total_{n}" for n in sums],
     )
 
@@ -116,23 +115,25 @@ def hash_rank(
     balanced buckets even when one group holds nearly all rows."""
     buckets = _bucket_count(df, buckets)
     u = hash_uniform(seed, F.col(key), digits=13)
-    rows = df.withColumn("_u", u).withColumn("_bucket", F.floor(F.col("_u") * buckets).cast("int"))
-    earlier = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    bucket = F.floor(F.col("_u") * buckets).cast("int").alias("_bucket")
+
+    def placed(rows: DataFrame, *keep: str) -> DataFrame:
+        return rows.withColumn("_u", u).select("*", bucket).select(*keep, "_u", _slot(by).alias("_slot"))
+
+    groups = [f"_slot.{c}" for c in by]
+    earlier = W.partitionBy(*groups).orderBy("_slot._bucket").rowsBetween(W.unboundedPreceding, -1)
     totals = (
-        df.select(*by, key)
-        .withColumn("_bucket", F.floor(u * buckets).cast("int"))
-        .groupBy(*by, "_bucket")
+        placed(df)
+        .groupBy("_slot")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
-            *by,
-            "_bucket",
+            "_slot",
             F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
-            F.sum("_n").over(W.partitionBy(*by)).alias("group_rows"),
+            F.sum("_n").over(W.partitionBy(*groups)).alias("group_rows"),
         )
     )
-    inside = W.partitionBy(*by, "_bucket").orderBy("_u", key)
-    return (
-        _join_totals(rows, totals, [*by, "_bucket"])
-        .withColumn("hash_rank", F.row_number().over(inside) - 1 + F.col("_off"))
-        .select(*df.columns, "hash_rank", "group_rows")
+    inside = W.partitionBy("_slot").orderBy("_u", key)
+    ranked = placed(df, *df.columns).withColumn("_place", F.row_number().over(inside) - 1)
+    return ranked.join(totals, "_slot").select(
+        *df.columns, (F.col("_place") + F.col("_off")).alias("hash_rank"), "group_rows"
     )

@@ -3,21 +3,37 @@ not depend on partitioning and every retry of a task gives the same rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.numeric import hash_uniform
 from riskspark.operators.ranking import hash_rank
 
 
+def first_of_class(df: DataFrame, wanted: Column, label: str, key: str, seed: str) -> Column:
+    """A condition that holds for the ``wanted`` first rows of each class in hash order.
+
+    Only key and label are ranked; one cut-off row per class comes back, so the condition itself is a
+    row expression and the wide table is never shuffled. ``wanted`` may use ``group_rows``.
+    """
+    ranked = hash_rank(df.select(key, label), seed, key, [label])
+    last = ranked.withColumn("wanted", wanted).filter(F.col("hash_rank") == F.col("wanted") - 1)
+    u = hash_uniform(seed, F.col(key), digits=13)
+    chosen = F.lit(False)
+    for row in last.select(label, key, u.alias("u")).collect():  # one row per class
+        mine = F.col(label).eqNullSafe(F.lit(row[label]))
+        upto = (u < F.lit(row["u"])) | ((u == F.lit(row["u"])) & (F.col(key) <= F.lit(row[key])))
+        chosen = chosen | (mine & upto)
+    return chosen
+
+
 def stratified_split(
     df: DataFrame, fraction: float = 0.8, label: str = "isFraud", key: str = "TransactionID", seed: str = "42"
 ) -> DataFrame:
     """Adds ``is_train``: exactly ceil(fraction * n) rows of each class."""
-    ranked = hash_rank(df, seed, key, [label])
     # The small slack keeps a product such as 0.8 * 10 from being rounded above the whole number.
     wanted = F.ceil(F.lit(fraction) * F.col("group_rows") - F.lit(1e-9))
-    return ranked.withColumn("is_train", F.col("hash_rank") < wanted).select(*df.columns, "is_train")
+    return df.withColumn("is_train", first_of_class(df, wanted, label, key, seed))
 
 
 def hash_split(df: DataFrame, fraction: float = 0.8, key: str = "TransactionID", seed: str = "42") -> DataFrame:
@@ -33,10 +49,11 @@ def kfold(
     return ranked.withColumn("fold", F.pmod(F.col("hash_rank"), F.lit(k)).cast("int")).select(*df.columns, "fold")
 
 
-def _per_class(df: DataFrame, n_fraud, n_legit, label: str, key: str, seed: str) -> DataFrame:
-    ranked = hash_rank(df, seed, key, [label])
-    wanted = F.when(F.col(label) == 1, n_fraud).when(F.col(label) == 0, n_legit)
-    return ranked.filter(F.col("hash_rank") < wanted).select(*df.columns)
+def _per_class(df: DataFrame, n_fraud: int, n_legit: int, label: str, key: str, seed: str) -> DataFrame:
+    wanted = F.when(F.col(label) == 1, F.least(F.lit(n_fraud), F.col("group_rows"))).when(
+        F.col(label) == 0, F.least(F.lit(n_legit), F.col("group_rows"))
+    )
+    return df.filter(first_of_class(df, wanted, label, key, seed))
 
 
 def _class_counts(df: DataFrame, label: str) -> tuple[int, int]:
@@ -50,7 +67,7 @@ def stratified_sample(
     """A tenth fraud (all of it when there is less), the rest legit."""
     fraud, _ = _class_counts(df, label)
     n_fraud = min(n // 10, fraud)
-    return _per_class(df, F.lit(n_fraud), F.lit(n - n_fraud), label, key, seed)
+    return _per_class(df, n_fraud, n - n_fraud, label, key, seed)
 
 
 def importance_sample(
@@ -60,7 +77,7 @@ def importance_sample(
     fraud, legit = _class_counts(df, label)
     n_fraud = min(fraud, int(n * (fraud / max(fraud + legit, 1)) * 3))
     n_legit = min(legit, n - n_fraud)
-    return _per_class(df, F.lit(n_fraud), F.lit(n_legit), label, key, seed)
+    return _per_class(df, n_fraud, n_legit, label, key, seed)
 
 
 def first_by_hash(df: DataFrame, seed: str, n: int, key: str = "TransactionID") -> DataFrame:

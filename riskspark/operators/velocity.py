@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskspark.session import stored
+
 MICROS = 1_000_000
 
 
@@ -60,7 +62,7 @@ def velocity(
     if hot.isEmpty():
         return _sliding(df, *sliding, history)
     # Cut here so that both branches see the same list even after a lost executor.
-    hot = hot.checkpoint()
+    hot = stored(hot)
 
     def split(rows: DataFrame | None, how: str) -> DataFrame | None:
         return None if rows is None else rows.join(hot, card, how).select(*rows.columns)

@@ -17,6 +17,7 @@ from riskspark.ml.scale import Scaler, fit_scaler
 from riskspark.ml.smote import smote
 from riskspark.operators.metrics import percentile_threshold
 from riskspark.plans.features import feature_values
+from riskspark.session import stored
 
 
 @dataclass(frozen=True)
@@ -140,7 +141,7 @@ def fit_model(
         pca = anomaly.fit_anomaly(legit, scaler.names, settings.bottleneck)
         scaled = _with_anomaly(scaled, pca, scaler.names)
         inputs += ["ae_anomaly_score"] + [f"ae_emb_{i}" for i in range(pca.getK())]
-        legit_scores = scaled.filter(F.col(label) == 0).select("ae_anomaly_score")
+        legit_scores = stored(scaled.filter(F.col(label) == 0).select("ae_anomaly_score"))
         threshold = percentile_threshold(legit_scores, "ae_anomaly_score", settings.anomaly_percent).first()["threshold"]
     rows = scaled.select(key, label, *inputs)
     weight = None

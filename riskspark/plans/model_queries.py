@@ -15,6 +15,7 @@ from riskspark.plans.model import RiskModel, Settings, fit_model
 from riskspark.plans.oracle import SCORES, TX_EVENTS, hex_unit, r, u
 from riskspark.plans.registry import register, round_columns
 from riskspark.plans.scoring import explain_batch, score_batch
+from riskspark.session import stored
 from riskspark.sources import views
 from riskspark.streaming.run import new_dir
 
@@ -185,7 +186,7 @@ def _saved(spark: SparkSession, sf: str) -> tuple[RiskModel, str, DataFrame]:
     risk, cards = profiles.risk_profile(df), profiles.card_stats(df)
     built = build_features(df, risk, cards)
     names = [c for c in built.columns if c in ("TransactionAmt", "addr_distance_km", "velocity_sum_24h", "tx_hour", "amt_zscore")]
-    features = built.select("TransactionID", "isFraud", *names).checkpoint()
+    features = stored(built.select("TransactionID", "isFraud", *names))
     path = new_dir(spark, "model")
     model = fit_model(features, names, SMALL)
     model.save(spark, path)
@@ -202,7 +203,7 @@ def tree_contributions(spark: SparkSession, sf: str) -> DataFrame:
 def tree_importance(spark: SparkSession, sf: str) -> DataFrame:
     model, path, features = _saved(spark, sf)
     sample = sampling.importance_sample(features, 1000)
-    phi = model.contributions(sample, path, keep=["isFraud"]).checkpoint()
+    phi = stored(model.contributions(sample, path, keep=["isFraud"]))
     return attribution.importance(phi, [f"phi_{c}" for c in model.inputs], top=30)
 
 

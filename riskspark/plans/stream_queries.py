@@ -15,6 +15,7 @@ from riskspark.plans.feature_queries import _HAVERSINE, _POS
 from riskspark.plans.model import Settings, fit_model
 from riskspark.plans.oracle import SIDES, TX_EVENTS, r, velocity_columns, velocity_windows
 from riskspark.plans.registry import register, round_columns
+from riskspark.session import stored
 from riskspark.sources import views
 from riskspark.streaming import enrich, run
 from riskspark.streaming.drift import DriftStream
@@ -130,9 +131,9 @@ def _raw_stream(spark: SparkSession, sf: str) -> DataFrame:
 def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     base = run.new_dir(spark, "score")
     train = views.tx_events(spark, sf).drop("C1")
-    risk, cards = profiles.risk_profile(train).checkpoint(), profiles.card_stats(train).checkpoint()
+    risk, cards = stored(profiles.risk_profile(train)), stored(profiles.card_stats(train))
     names = ["TransactionAmt", "log_amt", "addr_distance_km", "tx_hour", "velocity_count_24h"]
-    built = build_features(train, risk, cards).select("TransactionID", "isFraud", *names).checkpoint()
+    built = stored(build_features(train, risk, cards).select("TransactionID", "isFraud", *names))
     model = fit_model(built, names, Settings(kind="logistic", use_anomaly=False))
     scoring = ScoringStream(base, model, risk, cards, keep=["offset"])
     run.run_batches(_raw_stream(spark, sf), base, scoring.process)
@@ -151,6 +152,6 @@ def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
     base = run.new_dir(spark, "drift")
     baseline, _ = views.baseline_and_current(spark, sf)
     stream = views.shifted_scores(views.scores_of(views.tx_event_stream(spark, sf)))
-    run.run_batches(stream, base, DriftStream(base, baseline.checkpoint()).process)
+    run.run_batches(stream, base, DriftStream(base, stored(baseline)).process)
     out = run.all_batches(spark, base, "alerts").drop("batch", "sent_us")
     return round_columns(out, current_value=6, baseline_value=6)

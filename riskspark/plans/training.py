@@ -12,6 +12,7 @@ from riskspark.ml import calibrate
 from riskspark.operators import metrics, profiles, sampling
 from riskspark.plans.features import build_features, drop_features
 from riskspark.plans.model import RiskModel, Settings, fit_model
+from riskspark.session import stored
 from riskspark.sources.schema import ADDRESS, MERCHANT, VELOCITY, feature_columns
 
 
@@ -32,12 +33,12 @@ def prepare(
         build_features(part, risk, cards, hours, history=h) for part, h in ((train, None), (test, past))
     ]
     names = feature_columns(built[0].columns)
-    stored = [b.select("TransactionID", "isFraud", *names).checkpoint() for b in built]
+    stored = [stored(b.select("TransactionID", "isFraud", *names)) for b in built]
     return stored[0], stored[1], names, risk, cards
 
 
 def evaluate_model(model: RiskModel, test: DataFrame, threshold: float = 0.5) -> DataFrame:
-    scored = model.score(test, keep=("TransactionID", "isFraud")).checkpoint()
+    scored = stored(model.score(test, keep=("TransactionID", "isFraud")))
     return metrics.evaluate(scored, "fraud_score", "isFraud", threshold)
 
 
@@ -45,7 +46,7 @@ def cross_validate(
     df: DataFrame, features: Sequence[str], settings: Settings = Settings(), k: int = 5
 ) -> DataFrame:
     """One row per fold with its metrics; ``df`` holds stored features."""
-    folds = sampling.kfold(df, k).checkpoint()
+    folds = stored(sampling.kfold(df, k))
     out = None
     for fold in range(k):
         model = fit_model(folds.filter(F.col("fold") != fold), features, settings)
@@ -64,9 +65,9 @@ def calibrate_and_compare(
     scored: DataFrame, score: str, label: str = "y", method: str = "platt", threshold: float = 0.5
 ) -> tuple[DataFrame, object]:
     """Fits on 40 % of the rows and reports the other 60 % before and after, with the differences."""
-    split = sampling.stratified_split(scored, 0.4, label).checkpoint()
+    split = stored(sampling.stratified_split(scored, 0.4, label))
     fitted = calibrate.FITTERS[method](split.filter("is_train"), score, label)
-    rest = fitted.transform(split.filter("not is_train"), score, "calibrated").checkpoint()
+    rest = stored(fitted.transform(split.filter("not is_train"), score, "calibrated"))
     names = ("precision", "recall", "f1", "auc_pr", "auc_roc")
     before = metrics.evaluate(rest, score, label, threshold).select(F.struct(*names)).scalar()
     after = metrics.evaluate(rest, "calibrated", label, threshold).select(F.struct(*names)).scalar()
@@ -111,7 +112,7 @@ def ablation(
     for name in variants:
         changes, dropped = VARIANTS[name]
         model = fit_model(train, drop_features(features, dropped), replace(settings, **changes))
-        scores[name] = model.score(test, keep=("TransactionID", "isFraud")).checkpoint()
+        scores[name] = stored(model.score(test, keep=("TransactionID", "isFraud")))
         one = metrics.evaluate(scores[name], "fraud_score", "isFraud", threshold)
         one = one.select(F.lit(name).alias("variant"), *one.columns)
         table = one if table is None else table.unionByName(one)
@@ -125,7 +126,8 @@ def ablation_significance(scores: dict[str, DataFrame], replicates: int = 500) -
     for name in BASELINES:
         if name not in scores:
             continue
-        both = full.join(scores[name].select("TransactionID", F.col("fraud_score").alias("a")), "TransactionID").checkpoint()
+        theirs = scores[name].select("TransactionID", F.col("fraud_score").alias("a"))
+        both = stored(full.join(theirs, "TransactionID"))
         one = metrics.bootstrap_significance(both, "a", "b", "isFraud", replicates=replicates)
         one = one.select(F.lit(name).alias("baseline"), *one.columns)
         out = one if out is None else out.unionByName(one)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "riskspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,13 +31,18 @@ def get_spark(app: str = "riskspark", master: str | None = None, **conf: str) ->
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a fresh one when it is unset."""
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskspark-"))
-    return spark.sparkContext.getCheckpointDir()
+    current = context.getCheckpointDir()
+    if current is None:
+        if not configured and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="riskspark-"))
+        current = context.getCheckpointDir()
+    return configured or current
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The table written to shared storage and read back, its lineage cut; it outlives lost executors."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
