@@ -25,8 +25,9 @@ def _bucket_count(df: DataFrame, buckets: int | None) -> int:
 def _bucketed(df: DataFrame, value: str, buckets: int) -> DataFrame:
     """Adds ``_bucket`` by approximate quantiles: one sketch pass, then a JVM binary search.
     Null and NaN share one more bucket of their own."""
-    probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = {c for c in df.approxQuantile(value, probabilities, 0.25 / buckets) if isfinite(c)}
+    probabilities = [i / buckets for i in range(1, buckets)] or [0.5]
+    found = df.agg(F.percentile_approx(value, probabilities, 4 * buckets)).first()[0] or []
+    cuts = {c for c in found if isfinite(c)}
     splits = [-inf, *sorted(cuts or {0.0}), inf]
     bucketizer = Bucketizer(splits=splits, inputCol=value, outputCol="_bucket", handleInvalid="keep")
     return bucketizer.transform(df).withColumn("_bucket", F.col("_bucket").cast("int"))
