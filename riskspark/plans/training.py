@@ -33,8 +33,8 @@ def prepare(
         build_features(part, risk, cards, hours, history=h) for part, h in ((train, None), (test, past))
     ]
     names = feature_columns(built[0].columns)
-    stored = [stored(b.select("TransactionID", "isFraud", *names)) for b in built]
-    return stored[0], stored[1], names, risk, cards
+    kept = [stored(b.select("TransactionID", "isFraud", *names)) for b in built]
+    return kept[0], kept[1], names, risk, cards
 
 
 def evaluate_model(model: RiskModel, test: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from riskspark.operators.velocity import MICROS, velocity
 from riskspark.streaming import tables
 
-PROGRESS = "watermark_us bigint, live array<struct<batch:int,max_us:bigint>>"
+PROGRESS = "watermark_us bigint, live array<struct<batch:int,max_us:bigint>>, expired array<int>"
 Emit = Callable[[DataFrame, int], None]
 
 
@@ -41,7 +41,9 @@ class VelocityStream:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        passed, live = self._previous(batch, batch_id)
+        passed, live, expired = self._previous(batch, batch_id)
+        # What the batch before last still needed; no replay can ask for it any more.
+        tables.drop(spark, self.base, "events", expired)
         us = F.unix_micros("event_time")
         rows = batch.withColumn("event_us", us)
         # Rows without a time cannot be placed and go to the late table with the ones that came too late.
@@ -64,13 +66,11 @@ class VelocityStream:
 
         keep_from = now - max(self.hours) * 3600 * MICROS
         kept = [(b, t) for b, t in live if t >= keep_from]
-        tables.put(spark.createDataFrame([(now, kept)], PROGRESS), self.base, "progress", batch_id)
-        # The previous batch can no longer be replayed, so what it alone needed may go.
-        before = [b for b, _ in live if b < batch_id]
-        tables.drop(spark, self.base, "events", sorted(set(before) - {b for b, _ in kept}))
+        gone = [b for b, t in live if t < keep_from]
+        tables.put(spark.createDataFrame([(now, kept, gone)], PROGRESS), self.base, "progress", batch_id)
 
-    def _previous(self, batch: DataFrame, batch_id: int) -> tuple[int, list[tuple[int, int]]]:
+    def _previous(self, batch: DataFrame, batch_id: int) -> tuple[int, list[tuple[int, int]], list[int]]:
         if batch_id == 0:
-            return -(2**62), []
+            return -(2**62), [], []
         row = batch.sparkSession.read.parquet(tables.batch_path(self.base, "progress", batch_id - 1)).first()
-        return row["watermark_us"], [(x["batch"], x["max_us"]) for x in row["live"]]
+        return row["watermark_us"], [(x["batch"], x["max_us"]) for x in row["live"]], row["expired"]
