@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskspark.functions.numeric import ratio
-from riskspark.operators.ranking import cumulative, exact_percentiles
+from riskspark.operators.ranking import cumulative, exact_percentiles, interpolated, percentile_cells, percentile_picks
 from riskspark.session import stored
 
 # Alert limits (fixed values).
@@ -41,19 +41,18 @@ def psi_edges(baseline: DataFrame, value: str, bins: int = 10, by: Sequence[str]
     return exact_percentiles(baseline, value, [i / bins for i in range(1, bins)], by)
 
 
-def _bin(value: Column, edges: Column, bins: int) -> Column:
-    """Bins are closed on the left, so the number of edges at or below the value is the bin."""
-    return sum(((value >= edges[i]).cast("int") for i in range(bins - 1)), F.lit(0))
+def _edge_list(baseline: DataFrame, value: str, bins: int) -> list[float]:
+    """The edges as numbers, so that the table is binned by plain comparisons."""
+    return [e for e in psi_edges(baseline, value, bins).first()[0] if e is not None]
 
 
-def _psi_of(counts: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
-    """``counts`` has (by, bin, current); one map-side combined aggregation yields all shares."""
+def _bin(value: Column, edges: Sequence[Column | float]) -> Column:
+    """Bins are closed on the left, so the number of edges at or below the value is the bin."""
+    return sum(((value >= e).cast("int") for e in edges), F.lit(0))
 
-    def n(i: int, side: int) -> Column:
-        return F.count(F.when((F.col("bin") == i) & (F.col("current") == side), 1)).alias(f"n{side}_{i}")
 
-    aggs = [n(i, side) for i in range(bins) for side in (0, 1)]
-    wide = counts.groupBy(*by).agg(*aggs) if by else counts.agg(*aggs)
+def _psi_row(wide: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
+    """``wide`` has the counts ``n0_i`` (baseline) and ``n1_i`` (current) of every bin."""
     total = [sum((F.col(f"n{side}_{i}") for i in range(bins)), F.lit(0)) for side in (0, 1)]
 
     def share(i: int, side: int) -> Column:
@@ -69,11 +68,41 @@ def _psi_of(counts: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
     )
 
 
+def monitor_cells(baseline: DataFrame, current: DataFrame, score: str = "score", label: str | None = None) -> DataFrame:
+    """One stored row per distinct score with running counts of both sides.
+
+    KS, PSI and the performance metrics all follow from it, so the two tables are read once for the
+    bucket sketch and once for the counts.
+    """
+    columns = [score] if label is None else [score, label]
+    both = sides(baseline, current, columns).filter(F.col(score).isNotNull())
+    sums: dict[str, Column] = {}
+    for name, side in (("b", 0), ("c", 1)):
+        mine = F.col("current") == side
+        sums[name] = mine.cast("bigint")
+        if label is not None:
+            sums[f"{name}_pos"] = F.coalesce(mine & (F.col(label) == 1), F.lit(False)).cast("bigint")
+            sums[f"{name}_known"] = (mine & F.col(label).isNotNull()).cast("bigint")
+    return stored(cumulative(both, score, sums))
+
+
 def psi(baseline: DataFrame, current: DataFrame, value: str = "score", bins: int = 10) -> DataFrame:
     """Population stability index: one row with psi, n_baseline, n_current."""
-    edges = psi_edges(baseline, value, bins).scalar()
-    both = sides(baseline, current, [value]).filter(F.col(value).isNotNull())
-    return _psi_of(both.select("current", _bin(F.col(value), edges, bins).alias("bin")), (), bins)
+    return psi_of(monitor_cells(baseline, current, value), value, bins)
+
+
+def psi_of(cells: DataFrame, value: str = "score", bins: int = 10) -> DataFrame:
+    inner = [i / bins for i in range(1, bins)]
+    picked = percentile_cells(cells, inner, "b").agg(*percentile_picks(value, inner, "b"))
+    found = picked.select(*[interpolated(i) for i in range(len(inner))])
+    edges = [e for e in found.first() if e is not None]  # ``bins - 1`` numbers
+    binned = cells.select("b", "c", _bin(F.col(value), edges).alias("bin"))
+    totals = [
+        F.coalesce(F.sum(F.when(F.col("bin") == i, F.col(name))), F.lit(0)).alias(f"n{side}_{i}")
+        for i in range(bins)
+        for side, name in enumerate(("b", "c"))
+    ]
+    return _psi_row(binned.agg(*totals), (), bins)
 
 
 def feature_psi(baseline: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
@@ -85,15 +114,20 @@ def feature_psi(baseline: DataFrame, current: DataFrame, features: Sequence[str]
 
     edges = psi_edges(long(baseline), "value", bins, ["feature"])
     both = sides(long(baseline), long(current), ["feature", "value"]).join(F.broadcast(edges), "feature")
-    binned = both.select("feature", "current", _bin(F.col("value"), F.col("percentiles"), bins).alias("bin"))
-    return _psi_of(binned, ["feature"], bins)
+    binned = both.select("feature", "current", _bin(F.col("value"), [F.col("percentiles")[i] for i in range(bins - 1)]).alias("bin"))
+    counts = [
+        F.count(F.when((F.col("bin") == i) & (F.col("current") == side), 1)).alias(f"n{side}_{i}")
+        for i in range(bins)
+        for side in (0, 1)
+    ]
+    return _psi_row(binned.groupBy("feature").agg(*counts), ["feature"], bins)
 
 
 def psi_by(baseline: DataFrame, current: DataFrame, by: str, value: str = "score", bins: int = 10) -> DataFrame:
     """PSI of each group of the current table against the whole baseline."""
-    edges = psi_edges(baseline, value, bins).scalar()
-    cells = current.filter(F.col(value).isNotNull()).groupBy(by, _bin(F.col(value), edges, bins).alias("bin")).count()
-    base = baseline.filter(F.col(value).isNotNull()).groupBy(_bin(F.col(value), edges, bins).alias("bin")).count()
+    edges = _edge_list(baseline, value, bins)
+    cells = current.filter(F.col(value).isNotNull()).groupBy(by, _bin(F.col(value), edges).alias("bin")).count()
+    base = baseline.filter(F.col(value).isNotNull()).groupBy(_bin(F.col(value), edges).alias("bin")).count()
     # At most ``bins`` rows: the baseline as one array of counts.
     counts = base.agg(
         F.array(*[F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("count"))), F.lit(0)) for i in range(bins)])
@@ -128,8 +162,10 @@ def ks_p_value(stat: Column, n: Column, m: Column) -> Column:
 
 def ks_test(baseline: DataFrame, current: DataFrame, value: str = "score") -> DataFrame:
     """One row with ks_stat, p_value, n_baseline, n_current."""
-    both = sides(baseline, current, [value]).filter(F.col(value).isNotNull())
-    cells = cumulative(both, value, {"b": 1 - F.col("current"), "c": F.col("current")})
+    return ks_of(monitor_cells(baseline, current, value))
+
+
+def ks_of(cells: DataFrame) -> DataFrame:
     gap = F.abs(ratio(F.col("cum_b"), F.col("total_b")) - ratio(F.col("cum_c"), F.col("total_c")))
     out = cells.agg(
         F.coalesce(F.max(gap), F.lit(0.0)).alias("ks_stat"),
@@ -165,23 +201,27 @@ def ks_by(baseline: DataFrame, current: DataFrame, by: str, value: str = "score"
 # -- performance, alerts, status ---------------------------------------------------------------
 
 
-def _side_metrics(both: DataFrame, score: str, label: str, threshold: float) -> DataFrame:
-    """Precision, recall and sizes of both sides as one row, from one pass."""
-    pred, pos, known = F.col(score) >= threshold, F.col(label) == 1, F.col(label).isNotNull()
+def side_metrics(cells: DataFrame, score: str, threshold: float) -> DataFrame:
+    """Precision, recall and sizes of both sides as one row; unlabelled rows count for the sizes only."""
+    at = F.col(score) >= threshold
 
-    def n(side: int, cond: Column) -> Column:
-        return F.count(F.when((F.col("current") == side) & cond, 1))
+    def n(name: str, flagged: bool = False) -> Column:
+        counted = F.when(at, F.col(name)) if flagged else F.col(name)
+        return F.coalesce(F.sum(counted), F.lit(0))
 
+    one = F.lit(1)
     aggs = []
-    for side, name in ((0, "base"), (1, "cur")):
-        tp = n(side, pred & pos)
+    for side, name in (("b", "base"), ("c", "cur")):
+        tp = n(f"{side}_pos", flagged=True)
         aggs += [
-            ratio(tp, F.greatest(n(side, pred & known), F.lit(1))).alias(f"{name}_precision"),
-            ratio(tp, F.greatest(n(side, pos), F.lit(1))).alias(f"{name}_recall"),
-            n(side, F.lit(True)).alias(f"{name}_n"),
-            n(side, known).alias(f"{name}_labelled"),
+            ratio(tp, F.greatest(n(f"{side}_known", flagged=True), one)).alias(f"{name}_precision"),
+            ratio(tp, F.greatest(n(f"{side}_pos"), one)).alias(f"{name}_recall"),
+            n(side).alias(f"{name}_n"),
+            n(f"{side}_known").alias(f"{name}_labelled"),
+            ratio(n(side, flagged=True), n(side)).alias(f"{name}_flagged_share"),
+            ratio(F.sum(F.col(score) * F.col(side)), n(side)).alias(f"{name}_avg_score"),
         ]
-    return both.agg(*aggs)
+    return cells.agg(*aggs)
 
 
 def drift_alerts(
@@ -208,26 +248,27 @@ def drift_alerts(
             message.alias("message"),
         )
 
+    cells = monitor_cells(baseline, current, score, label)
     zero = F.lit(0.0)
     stat, p, index = F.col("ks_stat"), F.col("p_value"), F.col("psi")
     ks_text = F.format_string(
         "Score distribution drift detected (KS=%.4f, p=%.4f). Model may need retraining.", stat, p
     )
-    ks_rows = ks_test(baseline, current, score).filter((F.col("n_current") >= min_scores) & (p < KS_P))
+    ks_rows = ks_of(cells).filter((F.col("n_current") >= min_scores) & (p < KS_P))
     ks_rows = ks_rows.select(
         F.inline(F.array(alert("score_distribution_ks", stat, zero, KS_THRESHOLD, stat >= KS_CRITICAL, ks_text)))
     )
     psi_text = F.format_string(
         f"PSI=%.4f ≥ {PSI_THRESHOLD}. Score distribution has shifted significantly.", index
     )
-    psi_rows = psi(baseline, current, score).filter((F.col("n_current") >= min_scores) & (index >= PSI_THRESHOLD))
+    psi_rows = psi_of(cells, score).filter((F.col("n_current") >= min_scores) & (index >= PSI_THRESHOLD))
     psi_rows = psi_rows.select(
         F.inline(F.array(alert("score_psi", index, zero, PSI_THRESHOLD, index >= PSI_CRITICAL, psi_text)))
     )
     out = ks_rows.unionByName(psi_rows)
     if label is None:
         return out
-    m = _side_metrics(sides(baseline, current, [score, label]), score, label, threshold)
+    m = side_metrics(cells, score, threshold)
     rows = []
     for name in ("precision", "recall"):
         base, cur = F.col(f"base_{name}"), F.col(f"cur_{name}")
@@ -247,22 +288,15 @@ def drift_alerts(
 
 def drift_summary(baseline: DataFrame, window: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
     """Status row of a monitored window next to the baseline's precision and recall."""
-    both = sides(baseline, window, [score, label])
-    m = _side_metrics(both, score, label, 0.5).select(F.struct("*")).scalar()
-    out = window.agg(
-        F.count(F.lit(1)).alias("window_size"),
-        F.coalesce(F.avg(score), F.lit(0.0)).alias("avg_fraud_score"),
-        F.coalesce(F.avg((F.col(score) >= 0.5).cast("double")), F.lit(0.0)).alias("fraud_rate"),
-    )
-    out = out.withColumn("_m", m)
-    has_baseline = F.col("_m.base_n") > 0
-    return out.select(
-        "window_size",
-        "avg_fraud_score",
-        "fraud_rate",
+    m = side_metrics(monitor_cells(baseline, window, score, label), score, 0.5)
+    has_baseline = F.col("base_n") > 0
+    return m.select(
+        F.col("cur_n").alias("window_size"),
+        F.col("cur_avg_score").alias("avg_fraud_score"),
+        F.col("cur_flagged_share").alias("fraud_rate"),
         has_baseline.alias("baseline_set"),
-        F.when(has_baseline, F.col("_m.base_precision")).alias("baseline_precision"),
-        F.when(has_baseline, F.col("_m.base_recall")).alias("baseline_recall"),
+        F.when(has_baseline, F.col("base_precision")).alias("baseline_precision"),
+        F.when(has_baseline, F.col("base_recall")).alias("baseline_recall"),
     )
 
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions.numeric import hashed, hex_to_unit, poisson_one, ratio
-from riskspark.operators.ranking import cumulative, exact_percentiles, interpolated, percentile_picks
+from riskspark.functions.numeric import hashed, hex_bits, poisson_one, ratio, twenty_bits
+from riskspark.operators.ranking import cumulative, cut_points, exact_percentiles
 
 
 def dataset_summary(df: DataFrame, label: str = "isFraud") -> DataFrame:
@@ -93,14 +93,18 @@ def _curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> Dat
 
 def _average_precision(tp: str, fp: str) -> Column:
     """Sum over distinct thresholds of recall step times precision."""
-    step = ratio(F.col(tp), F.col(f"total_{tp}"))
-    return F.sum(step * ratio(F.col(f"cum_{tp}"), F.col(f"cum_{tp}") + F.col(f"cum_{fp}")))
+    return F.expr(
+        f"sum(coalesce(try_divide(double({tp}), total_{tp}), 0D) "
+        f"* coalesce(try_divide(double(cum_{tp}), cum_{tp} + cum_{fp}), 0D))"
+    )
 
 
 def _roc_area(tp: str, fp: str) -> Column:
     """Share of (positive, negative) pairs in the right order; ties count half."""
-    above = F.col(f"cum_{tp}") - F.col(tp) + F.col(tp) / 2
-    return F.sum(ratio(F.col(fp), F.col(f"total_{fp}")) * ratio(above, F.col(f"total_{tp}")))
+    return F.expr(
+        f"sum(coalesce(try_divide(double({fp}), total_{fp}), 0D) "
+        f"* coalesce(try_divide(double(cum_{tp} - {tp}) + double({tp}) / 2D, total_{tp}), 0D))"
+    )
 
 
 def auc(df: DataFrame, score: str, label: str = "y", by: Sequence[str] = ()) -> DataFrame:
@@ -188,18 +192,15 @@ def threshold_sweep(
 
 
 def score_distribution(df: DataFrame, score: str) -> DataFrame:
-    """Exact min, p10, p50, p90, max and the shares above 0.4 and 0.5, from the same score cells."""
-    cells = cumulative(df, score, {"n": F.lit(1)})
+    """Exact min, p10, p50, p90, max and the shares above 0.4 and 0.5."""
     names = ("score_min", "p10", "p50", "p90", "score_max")
-    quantiles = percentile_picks(score, (0.0, 0.1, 0.5, 0.9, 1.0))
+    found = exact_percentiles(df, score, (0.0, 0.1, 0.5, 0.9, 1.0)).scalar()
 
     def share(t: float) -> Column:
-        return ratio(F.sum(F.when(F.col(score) > t, F.col("n")).otherwise(0)), F.sum("n"))
+        return F.avg((F.col(score) > t).cast("double"))
 
-    out = cells.agg(*quantiles, share(0.4).alias("share_gt_40"), share(0.5).alias("share_gt_50"))
-    return out.select(
-        *[interpolated(i).alias(name) for i, name in enumerate(names)], "share_gt_40", "share_gt_50"
-    )
+    out = df.agg(share(0.4).alias("share_gt_40"), share(0.5).alias("share_gt_50")).withColumn("_p", found)
+    return out.select(*[F.col("_p")[i].alias(n) for i, n in enumerate(names)], "share_gt_40", "share_gt_50")
 
 
 def percentile_threshold(df: DataFrame, value: str, percent: float = 95.0) -> DataFrame:
@@ -246,21 +247,26 @@ def latency_percentiles(df: DataFrame, latency: str, by: Sequence[str] = ()) ->
 
 # -- bootstrap ---------------------------------------------------------------------------------
 
-_PER_DIGEST = 4  # 32 hex digits give four 8-digit uniforms
+_PER_DIGEST = 6  # 30 of the 32 hex digits give six 20-bit uniforms
 
 
 def with_bootstrap_weights(df: DataFrame, replicates: range, key: str, seed: str) -> DataFrame:
-    """Adds the Poisson(1) weight ``w{r}`` of each row in each replicate, four replicates per digest.
+    """Adds the Poisson(1) weight ``w{r}`` of each row in each replicate, six replicates per digest.
 
-    Digests, uniforms and weights are separate projections, so each is computed once per row.
+    Digests, numbers and weights are separate projections, so each is computed once per row.
     """
     groups = sorted({r // _PER_DIGEST for r in replicates})
-    out = df.select("*", *[hashed(f"{seed}{g}", F.col(key)).alias(f"_d{g}") for g in groups])
-    uniforms = [
-        hex_to_unit(F.col(f"_d{r // _PER_DIGEST}"), 8 * (r % _PER_DIGEST) + 1, 8).alias(f"_u{r}") for r in replicates
-    ]
-    out = out.select(*df.columns, *uniforms)
-    return out.select(*df.columns, *[poisson_one(f"_u{r}").cast("bigint").alias(f"w{r}") for r in replicates])
+    digits = df.select("*", *[hashed(f"{seed}{g}", F.col(key)).alias(f"_d{g}") for g in groups])
+    bits = digits.select(
+        *df.columns, *[hex_bits(f"_d{g}", 1 + 15 * half).alias(f"_b{g}_{half}") for g in groups for half in (0, 1)]
+    )
+    uniforms = bits.select(
+        *df.columns,
+        *[twenty_bits(f"_b{r // _PER_DIGEST}_{r % _PER_DIGEST // 3}", r % 3).alias(f"_u{r}") for r in replicates],
+    )
+    return uniforms.select(
+        *df.columns, *[poisson_one(f"_u{r}").cast("bigint").alias(f"w{r}") for r in replicates]
+    )
 
 
 def bootstrap_auc(
@@ -270,22 +276,22 @@ def bootstrap_auc(
     key: str = "TransactionID",
     replicates: int = 500,
     seed: str = "42",
-    batch: int = 20,
+    batch: int = 5,
 ) -> DataFrame:
     """``replicate, auc_pr, auc_roc`` of Poisson bootstrap resamples.
 
     Rows are not multiplied: replicates are weight columns, ``batch`` of them per pass, summed per
     distinct score before anything is ordered.
     """
-    out = None
+    out, cuts = None, cut_points(df, score)
     for start in range(0, replicates, batch):
         reps = range(start, min(start + batch, replicates))
         weighted = with_bootstrap_weights(df.select(key, score, label), reps, key, seed)
         sums = {}
         for r in reps:
-            sums[f"tp{r}"] = F.when(F.col(label) == 1, F.col(f"w{r}")).otherwise(0)
-            sums[f"fp{r}"] = F.when(F.col(label) == 0, F.col(f"w{r}")).otherwise(0)
-        cells = cumulative(weighted, score, sums, descending=True)
+            sums[f"tp{r}"] = F.expr(f"if(`{label}` = 1, w{r}, 0)")
+            sums[f"fp{r}"] = F.expr(f"if(`{label}` = 0, w{r}, 0)")
+        cells = cumulative(weighted, score, sums, descending=True, cuts=cuts)
         one = cells.agg(
             *[
                 F.struct(

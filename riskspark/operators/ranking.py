@@ -22,13 +22,17 @@ def _bucket_count(df: DataFrame, buckets: int | None) -> int:
     return buckets or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _bucketed(df: DataFrame, value: str, buckets: int) -> DataFrame:
-    """Adds ``_bucket`` by approximate quantiles: one sketch pass, then a JVM binary search.
-    Null and NaN share one more bucket of their own."""
-    probabilities = [i / buckets for i in range(1, buckets)] or [0.5]
-    found = df.agg(F.percentile_approx(value, probabilities, 4 * buckets)).first()[0] or []
-    cuts = {c for c in found if isfinite(c)}
-    splits = [-inf, *sorted(cuts or {0.0}), inf]
+def cut_points(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
+    """Bucket borders by approximate quantiles: one mergeable sketch, a few numbers to the driver."""
+    n = _bucket_count(df, buckets)
+    probabilities = [i / n for i in range(1, n)] or [0.5]
+    found = df.agg(F.percentile_approx(F.col(value).cast("double"), probabilities, 4 * n)).first()[0] or []
+    return sorted({c for c in found if isfinite(c)} or {0.0})
+
+
+def _bucketed(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
+    """Adds ``_bucket`` by a JVM binary search. Null and NaN share one more bucket of their own."""
+    splits = [-inf, *cuts, inf]
     bucketizer = Bucketizer(splits=splits, inputCol=value, outputCol="_bucket", handleInvalid="keep")
     return bucketizer.transform(df).withColumn("_bucket", F.col("_bucket").cast("int"))
 
@@ -46,56 +50,64 @@ def cumulative(
     by: Sequence[str] = (),
     descending: bool = False,
     buckets: int | None = None,
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """One row per (by, value) with each sum ``s``, its running total ``cum_s`` up to and including
     the value, and the grand total ``total_s``.
 
     The input is read twice, by the sketch and by the sums, so hand over a stored table when it is
-    expensive to compute.
+    expensive to compute, or ``cuts`` that are known already.
     """
+    cuts = cut_points(df, value, buckets) if cuts is None else cuts
     narrow = df.select(*by, F.col(value).cast("double").alias(value), *[c.alias(n) for n, c in sums.items()])
-    rows = _bucketed(narrow, value, _bucket_count(df, buckets))
-    cells = rows.groupBy(*by, "_bucket", value).agg(*[F.sum(n).alias(n) for n in sums])
+    rows = _bucketed(narrow, value, cuts)
+    cells = rows.groupBy(*by, "_bucket", value).agg(*[F.expr(f"sum(`{n}`) as `{n}`") for n in sums])
     cells = cells.select(_slot(by).alias("_slot"), *by, value, *sums)
-    order = F.col("_slot._bucket").desc() if descending else F.col("_slot._bucket")
-    groups = [f"_slot.{c}" for c in by]
-    earlier = W.partitionBy(*groups).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    direction = "desc" if descending else "asc"
+    group = "partition by " + ", ".join(f"_slot.`{c}`" for c in by) if by else ""
+    earlier = f"({group} order by _slot._bucket {direction} rows between unbounded preceding and 1 preceding)"
     # At most one row per bucket and group.
     totals = (
         cells.groupBy("_slot")
-        .agg(*[F.sum(n).alias(n) for n in sums])
-        .select(
+        .agg(*[F.expr(f"sum(`{n}`) as `{n}`") for n in sums])
+        .selectExpr(
             "_slot",
-            *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums],
-            *[F.sum(n).over(W.partitionBy(*groups)).alias(f"total_{n}") for n in sums],
+            *[f"coalesce(sum(`{n}`) over {earlier}, 0) as `_off_{n}`" for n in sums],
+            *[f"sum(`{n}`) over ({group}) as `total_{n}`" for n in sums],
         )
     )
-    inside = W.partitionBy("_slot").orderBy(F.col(value).desc() if descending else F.col(value))
-    running = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = cells.select("*", *[F.sum(n).over(running).alias(f"_run_{n}") for n in sums])
-    return placed.join(totals, "_slot").select(
-        *by,
-        value,
-        *sums,
-        *[(F.col(f"_run_{n}") + F.col(f"_off_{n}")).alias(f"cum_{n}") for n in sums],
-        *[f"total_{n}" for n in sums],
+    running = f"(partition by _slot order by `{value}` {direction} rows between unbounded preceding and current row)"
+    placed = cells.selectExpr("*", *[f"sum(`{n}`) over {running} as `_run_{n}`" for n in sums])
+    return placed.join(totals, "_slot").selectExpr(
+        *[f"`{c}`" for c in [*by, value, *sums]],
+        *[f"`_run_{n}` + `_off_{n}` as `cum_{n}`" for n in sums],
+        *[f"`total_{n}`" for n in sums],
+    )
+
+
+def percentile_cells(cells: DataFrame, probabilities: Sequence[float], n: str = "n") -> DataFrame:
+    """The few ``cumulative`` cells that hold a wanted rank; the aggregation then has next to no input."""
+    listed = ", ".join(f"{float(p)!r}D" for p in probabilities)
+    rank = f"p * (total_{n} - 1)"
+    return cells.filter(
+        F.expr(f"exists(array({listed}), p -> floor({rank}) < cum_{n} and ceil({rank}) >= cum_{n} - {n})")
     )
 
 
 def percentile_picks(value: str, probabilities: Sequence[float], n: str = "n") -> list[Column]:
-    """Aggregates over ``cumulative`` cells from which ``interpolated`` takes the percentiles."""
-    first, last = F.col(f"cum_{n}") - F.col(n), F.col(f"cum_{n}") - 1
+    """Aggregates over ``percentile_cells`` from which ``interpolated`` takes the percentiles."""
+    first, last = f"cum_{n} - {n}", f"cum_{n} - 1"
     out = []
     for i, p in enumerate(probabilities):
-        rank = F.lit(float(p)) * (F.col(f"total_{n}") - 1)
-        for name, at in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            out.append(F.max(F.when((at >= first) & (at <= last), F.col(value))).alias(f"_{name}{i}"))
-        out.append(F.max(rank - F.floor(rank)).alias(f"_part{i}"))
+        rank = f"({float(p)!r}D * (total_{n} - 1))"
+        for name, at in (("lo", f"floor({rank})"), ("hi", f"ceil({rank})")):
+            out.append(F.expr(f"max(if({at} between {first} and {last}, `{value}`, null)) as _{name}{i}"))
+        out.append(F.expr(f"max({rank} - floor({rank})) as _part{i}"))
     return out
 
 
 def interpolated(i: int) -> Column:
-    return F.col(f"_lo{i}") + F.col(f"_part{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
+    return F.expr(f"_lo{i} + _part{i} * (_hi{i} - _lo{i})")
 
 
 def exact_percentiles(
@@ -103,6 +115,7 @@ def exact_percentiles(
 ) -> DataFrame:
     """Linearly interpolated percentiles, one row per group with an array column ``percentiles``."""
     cells = cumulative(df.filter(F.col(value).isNotNull()), value, {"n": F.lit(1)}, by, buckets=buckets)
+    cells = percentile_cells(cells, probabilities)
     picks = percentile_picks(value, probabilities)
     out = cells.groupBy(*by).agg(*picks) if by else cells.agg(*picks)
     return out.select(*by, F.array(*[interpolated(i) for i in range(len(probabilities))]).alias("percentiles"))

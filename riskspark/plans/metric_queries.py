@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.operators import metrics, sampling
-from riskspark.plans.oracle import SCORES, TX_EVENTS, div, hex_unit, poisson, r, u
+from riskspark.plans.oracle import SCORES, TX_EVENTS, div, poisson, r, u
 from riskspark.plans.registry import register, round_columns
 from riskspark.sources import views
 
@@ -195,8 +195,9 @@ REPLICATES = 20
 
 
 def _boot_cte(score: str, name: str) -> str:
-    digest = "md5(concat_ws(':', '42' || (k // 4), cast(TransactionID as varchar)))"
-    unit = hex_unit(digest, 1, 8).replace(f"substr({digest}, 1, 8)", f"substr({digest}, 8 * (k % 4) + 1, 8)")
+    digest = "md5(concat_ws(':', '42' || (k // 6), cast(TransactionID as varchar)))"
+    bits = f"cast('0x' || substr({digest}, 1 + 15 * (k % 6 // 3), 15) as bigint)"
+    unit = f"(({bits} >> (40 - 20 * (k % 3))) & 1048575)::double / 1048576.0::double"
     return f"""{name}_w as (
   select k, {score} as s, y, {poisson(unit)} as w from scores, range({REPLICATES}) t(k)),
 {name}_cells as (select k, s, sum(w * y) as tp, sum(w * (1 - y)) as fp from {name}_w group by k, s),

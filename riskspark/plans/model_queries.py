@@ -15,9 +15,8 @@ from riskspark.plans.model import RiskModel, Settings, fit_model
 from riskspark.plans.oracle import SCORES, TX_EVENTS, hex_unit, r, u
 from riskspark.plans.registry import register, round_columns
 from riskspark.plans.scoring import explain_batch, score_batch
-from riskspark.session import stored
+from riskspark.session import new_dir, stored
 from riskspark.sources import views
-from riskspark.streaming.run import new_dir
 
 # Small models: the flows are what is registered, not their quality.
 SMALL = Settings(rounds=5, depth=3, bottleneck=4)

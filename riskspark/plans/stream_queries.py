@@ -15,7 +15,7 @@ from riskspark.plans.feature_queries import _HAVERSINE, _POS
 from riskspark.plans.model import Settings, fit_model
 from riskspark.plans.oracle import SIDES, TX_EVENTS, r, velocity_columns, velocity_windows
 from riskspark.plans.registry import register, round_columns
-from riskspark.session import stored
+from riskspark.session import new_dir, stored
 from riskspark.sources import views
 from riskspark.streaming import enrich, run
 from riskspark.streaming.drift import DriftStream
@@ -32,7 +32,7 @@ def _closed(hours: int, late_hours: int) -> str:
 
 def _tumbling(spark: SparkSession, sf: str, operator) -> DataFrame:
     stream = operator(views.tx_event_stream(spark, sf))
-    return flat(run.run_to_table(stream, run.new_dir(spark, "tumbling")))
+    return flat(run.run_to_table(stream, new_dir(spark, "tumbling")))
 
 
 @register("stream_tumbling_1h", tumbling_sql(1, SUM_1H, _closed(1, 1)))
@@ -63,7 +63,7 @@ def stream_tumbling_7d(spark: SparkSession, sf: str) -> DataFrame:
 def stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
     stream = enrich.enrich(views.tx_event_stream(spark, sf))
     names = ("log_amt", "tx_hour", "tx_is_weekend", "tx_is_night", "addr_distance_km")
-    out = run.run_to_table(stream.select("TransactionID", *names), run.new_dir(spark, "enrich"))
+    out = run.run_to_table(stream.select("TransactionID", *names), new_dir(spark, "enrich"))
     return round_columns(out, log_amt=6, addr_distance_km=4)
 
 
@@ -76,7 +76,7 @@ def stream_deduplicate(spark: SparkSession, sf: str) -> DataFrame:
     stream = views.tx_event_stream(spark, sf).select("TransactionID", "event_time", "TransactionAmt")
     twice = stream.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
     out = enrich.deduplicate(twice).select("TransactionID", "TransactionAmt")
-    return run.run_to_table(out, run.new_dir(spark, "dedup"))
+    return run.run_to_table(out, new_dir(spark, "dedup"))
 
 
 @register(
@@ -88,7 +88,7 @@ def stream_deduplicate(spark: SparkSession, sf: str) -> DataFrame:
 def stream_profile_join(spark: SparkSession, sf: str) -> DataFrame:
     profile = profiles.risk_profile(views.tx_events(spark, sf))
     joined = enrich.join_profile(views.tx_event_stream(spark, sf), profile, "ProductCD")
-    out = run.run_to_table(joined.select("TransactionID", "merchant_fraud_rate"), run.new_dir(spark, "profile"))
+    out = run.run_to_table(joined.select("TransactionID", "merchant_fraud_rate"), new_dir(spark, "profile"))
     return round_columns(out, merchant_fraud_rate=6)
 
 
@@ -101,7 +101,7 @@ def stream_profile_join(spark: SparkSession, sf: str) -> DataFrame:
     where event_time <= (select max(event_time) from tx_events) - interval 1 hour""",
 )
 def stream_velocity(spark: SparkSession, sf: str) -> DataFrame:
-    base = run.new_dir(spark, "velocity")
+    base = new_dir(spark, "velocity")
     columns = ("TransactionID", "card1", "event_time", "TransactionAmt")
     run.run_batches(views.tx_event_stream(spark, sf).select(*columns), base, VelocityStream(base).process)
     out = run.all_batches(spark, base, "velocity").drop("batch", "card1", "event_time", "TransactionAmt")
@@ -129,7 +129,7 @@ def _raw_stream(spark: SparkSession, sf: str) -> DataFrame:
     union all select 'dead letter', count(*) from good where broken""",
 )
 def stream_score(spark: SparkSession, sf: str) -> DataFrame:
-    base = run.new_dir(spark, "score")
+    base = new_dir(spark, "score")
     train = views.tx_events(spark, sf).drop("C1")
     risk, cards = stored(profiles.risk_profile(train)), stored(profiles.card_stats(train))
     names = ["TransactionAmt", "log_amt", "addr_distance_km", "tx_hour", "velocity_count_24h"]
@@ -149,7 +149,7 @@ current_scores as (select * from later_scores order by event_time desc, Transact
 
 @register("stream_drift", f"with {_NEWEST}, {ALERTS} {ALERT_ROWS}")
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
-    base = run.new_dir(spark, "drift")
+    base = new_dir(spark, "drift")
     baseline, _ = views.baseline_and_current(spark, sf)
     stream = views.shifted_scores(views.scores_of(views.tx_event_stream(spark, sf)))
     run.run_batches(stream, base, DriftStream(base, stored(baseline)).process)

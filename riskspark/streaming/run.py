@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from riskspark.session import shared_dir
-
-
-def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
 
 def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
