@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskspark.functions.numeric import ratio
+from riskspark.functions.numeric import fixed, ratio
 from riskspark.operators.ranking import cumulative, exact_percentiles, interpolated, percentile_cells, percentile_picks
 from riskspark.session import stored
 
@@ -51,21 +51,24 @@ def _bin(value: Column, edges: Sequence[Column | float]) -> Column:
     return sum(((value >= e).cast("int") for e in edges), F.lit(0))
 
 
-def _psi_row(wide: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
-    """``wide`` has the counts ``n0_i`` (baseline) and ``n1_i`` (current) of every bin."""
-    total = [sum((F.col(f"n{side}_{i}") for i in range(bins)), F.lit(0)) for side in (0, 1)]
+def _psi_of(bins_table: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
+    """``bins_table`` has one row per (by, bin) with the counts ``b`` (baseline) and ``c`` (current)."""
 
-    def share(i: int, side: int) -> Column:
-        count = F.col(f"n{side}_{i}")
-        return F.when(count == 0, F.lit(EMPTY_SHARE)).otherwise(ratio(count, total[side]))
+    def n(i: int, side: str) -> Column:
+        return F.expr(f"coalesce(sum(if(bin = {i}, {side}, 0)), 0) as {side}_{i}")
 
-    terms = [(share(i, 1) - share(i, 0)) * F.ln(share(i, 1) / share(i, 0)) for i in range(bins)]
-    return wide.select(
-        *by,
-        sum(terms, F.lit(0.0)).alias("psi"),
-        total[0].cast("bigint").alias("n_baseline"),
-        total[1].cast("bigint").alias("n_current"),
-    )
+    aggs = [n(i, side) for i in range(bins) for side in ("b", "c")]
+    wide = bins_table.groupBy(*by).agg(*aggs) if by else bins_table.agg(*aggs)
+    total = {side: " + ".join(f"{side}_{i}" for i in range(bins)) for side in ("b", "c")}
+
+    def share(i: int, side: str) -> str:
+        return f"if({side}_{i} = 0, {EMPTY_SHARE!r}D, coalesce(try_divide(double({side}_{i}), {total[side]}), 0D))"
+
+    shares = [f"{share(i, side)} as {side}s_{i}" for i in range(bins) for side in ("b", "c")]
+    sizes = [f"bigint({total[side]}) as {name}" for side, name in (("b", "n_baseline"), ("c", "n_current"))]
+    index = " + ".join(f"(cs_{i} - bs_{i}) * ln(cs_{i} / bs_{i})" for i in range(bins))
+    keys = [f"`{c}`" for c in by]
+    return wide.selectExpr(*keys, *shares, *sizes).selectExpr(*keys, f"{index} as psi", "n_baseline", "n_current")
 
 
 def monitor_cells(baseline: DataFrame, current: DataFrame, score: str = "score", label: str | None = None) -> DataFrame:
@@ -97,12 +100,7 @@ def psi_of(cells: DataFrame, value: str = "score", bins: int = 10) -> DataFrame:
     found = picked.select(*[interpolated(i) for i in range(len(inner))])
     edges = [e for e in found.first() if e is not None]  # ``bins - 1`` numbers
     binned = cells.select("b", "c", _bin(F.col(value), edges).alias("bin"))
-    totals = [
-        F.coalesce(F.sum(F.when(F.col("bin") == i, F.col(name))), F.lit(0)).alias(f"n{side}_{i}")
-        for i in range(bins)
-        for side, name in enumerate(("b", "c"))
-    ]
-    return _psi_row(binned.agg(*totals), (), bins)
+    return _psi_of(binned.groupBy("bin").agg(F.sum("b").alias("b"), F.sum("c").alias("c")), (), bins)
 
 
 def feature_psi(baseline: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
@@ -114,33 +112,23 @@ def feature_psi(baseline: DataFrame, current: DataFrame, features: Sequence[str]
 
     edges = psi_edges(long(baseline), "value", bins, ["feature"])
     both = sides(long(baseline), long(current), ["feature", "value"]).join(F.broadcast(edges), "feature")
-    binned = both.select("feature", "current", _bin(F.col("value"), [F.col("percentiles")[i] for i in range(bins - 1)]).alias("bin"))
-    counts = [
-        F.count(F.when((F.col("bin") == i) & (F.col("current") == side), 1)).alias(f"n{side}_{i}")
-        for i in range(bins)
-        for side in (0, 1)
-    ]
-    return _psi_row(binned.groupBy("feature").agg(*counts), ["feature"], bins)
+    at = _bin(F.col("value"), [F.col("percentiles")[i] for i in range(bins - 1)])
+    binned = both.select("feature", (1 - F.col("current")).alias("b"), F.col("current").alias("c"), at.alias("bin"))
+    counts = binned.groupBy("feature", "bin").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+    return _psi_of(counts, ["feature"], bins)
 
 
 def psi_by(baseline: DataFrame, current: DataFrame, by: str, value: str = "score", bins: int = 10) -> DataFrame:
     """PSI of each group of the current table against the whole baseline."""
     edges = _edge_list(baseline, value, bins)
-    cells = current.filter(F.col(value).isNotNull()).groupBy(by, _bin(F.col(value), edges).alias("bin")).count()
-    base = baseline.filter(F.col(value).isNotNull()).groupBy(_bin(F.col(value), edges).alias("bin")).count()
-    # At most ``bins`` rows: the baseline as one array of counts.
-    counts = base.agg(
-        F.array(*[F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("count"))), F.lit(0)) for i in range(bins)])
-    ).scalar()
-    mine = [F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("count"))), F.lit(0)) for i in range(bins)]
-    wide = cells.groupBy(by).agg(F.array(*mine).alias("c")).withColumn("b", counts)
-    total = {s: sum((F.col(s)[i] for i in range(bins)), F.lit(0)) for s in ("c", "b")}
-
-    def share(s: str, i: int) -> Column:
-        return F.when(F.col(s)[i] == 0, F.lit(EMPTY_SHARE)).otherwise(ratio(F.col(s)[i], total[s]))
-
-    terms = [(share("c", i) - share("b", i)) * F.ln(share("c", i) / share("b", i)) for i in range(bins)]
-    return wide.select(by, total["c"].alias("n_current"), sum(terms, F.lit(0.0)).alias("psi"))
+    at = _bin(F.col(value), edges).alias("bin")
+    base = baseline.filter(F.col(value).isNotNull()).groupBy(at).agg(F.count(F.lit(1)).alias("b"))
+    mine = current.filter(F.col(value).isNotNull()).groupBy(by, at).agg(F.count(F.lit(1)).alias("c"))
+    # One row per group carries the baseline's counts, at most ``bins`` of them.
+    listed = base.agg(F.collect_list(F.struct("bin", "b"))).scalar()
+    carried = mine.groupBy(by).agg(F.first(listed).alias("base")).select(by, F.inline("base"))
+    both = mine.withColumn("b", F.lit(0)).unionByName(carried.withColumn("c", F.lit(0)))
+    return _psi_of(both, [by], bins).select(by, "n_current", "psi")
 
 
 # -- Kolmogorov-Smirnov ------------------------------------------------------------------------
@@ -251,15 +239,21 @@ def drift_alerts(
     cells = monitor_cells(baseline, current, score, label)
     zero = F.lit(0.0)
     stat, p, index = F.col("ks_stat"), F.col("p_value"), F.col("psi")
-    ks_text = F.format_string(
-        "Score distribution drift detected (KS=%.4f, p=%.4f). Model may need retraining.", stat, p
+    ks_text = F.concat(
+        F.lit("Score distribution drift detected (KS="),
+        fixed(stat, 4),
+        F.lit(", p="),
+        fixed(p, 4),
+        F.lit("). Model may need retraining."),
     )
     ks_rows = ks_of(cells).filter((F.col("n_current") >= min_scores) & (p < KS_P))
     ks_rows = ks_rows.select(
         F.inline(F.array(alert("score_distribution_ks", stat, zero, KS_THRESHOLD, stat >= KS_CRITICAL, ks_text)))
     )
-    psi_text = F.format_string(
-        f"PSI=%.4f ≥ {PSI_THRESHOLD}. Score distribution has shifted significantly.", index
+    psi_text = F.concat(
+        F.lit("PSI="),
+        fixed(index, 4),
+        F.lit(f" ≥ {PSI_THRESHOLD}. Score distribution has shifted significantly."),
     )
     psi_rows = psi_of(cells, score).filter((F.col("n_current") >= min_scores) & (index >= PSI_THRESHOLD))
     psi_rows = psi_rows.select(
@@ -273,8 +267,14 @@ def drift_alerts(
     for name in ("precision", "recall"):
         base, cur = F.col(f"base_{name}"), F.col(f"cur_{name}")
         drop = base - cur
-        text = F.format_string(
-            f"{name.capitalize()} dropped from %.4f to %.4f (Δ=%.4f > threshold={METRIC_DROP})", base, cur, drop
+        text = F.concat(
+            F.lit(f"{name.capitalize()} dropped from "),
+            fixed(base, 4),
+            F.lit(" to "),
+            fixed(cur, 4),
+            F.lit(" (Δ="),
+            fixed(drop, 4),
+            F.lit(f" > threshold={METRIC_DROP})"),
         )
         rows.append(
             F.when(

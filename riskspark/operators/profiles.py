@@ -21,8 +21,9 @@ def risk_profile(df: DataFrame, label: str = "isFraud", category: str = "Product
 
 
 def add_merchant_risk(df: DataFrame, profile: DataFrame, category: str = "ProductCD") -> DataFrame:
-    """The profile has one row per category. Its size decides the join: broadcast below Spark's own
-    limit, else a shuffle join whose skewed partitions adaptive execution splits."""
+    """Hand over a stored profile: its size is then known and decides the join, a broadcast below
+    ``spark.sql.autoBroadcastJoinThreshold``, else a shuffle join whose skewed partitions adaptive
+    execution splits."""
     rate = F.coalesce(F.col("merchant_fraud_rate"), F.lit(0.0))
     joined = df.join(profile, category, "left")
     return joined.withColumns(

@@ -295,7 +295,7 @@ def _explained(spark: SparkSession, sf: str) -> DataFrame:
     return df.withColumns({"score": score, "factors": attribution.top_factors(F.col("contributions"), 5)})
 
 
-@register("explain_rules", f"""with {TX_EVENTS},
+_REASONS = f"""{TX_EVENTS},
     f as (select *, cast(extract(hour from event_time) < 6 or extract(hour from event_time) >= 22 as integer) as night,
             least(1.0::double, 0.35::double * isFraud + C1 / 120.0::double) as score from tx_events),
     m as (select avg(night) as mn, avg(TransactionAmt) as ma, avg(C1) as mc, avg(addr1) as md from f),
@@ -309,7 +309,10 @@ def _explained(spark: SparkSession, sf: str) -> DataFrame:
       union all select TransactionID, 'addr1', -0.002::double * (addr1 - md), 'Elevated addr1 risk factor' from f, m),
     top as (select *, row_number() over (partition by TransactionID order by abs(v) desc, feature) as rk from long),
     reasons as (select TransactionID, string_agg(reason, '; ' order by rk) filter (rk <= 3 and v > 0) as listed
-                from top group by TransactionID)
+                from top group by TransactionID)"""
+
+
+@register("explain_rules", f"""with {_REASONS}
     select TransactionID, printf('Transaction $%.2f flagged with %.1f%% fraud probability. ', TransactionAmt, score * 100)
       || 'Key indicators: ' || coalesce(listed, 'Multiple risk factors detected') || '. Recommended action: '
       || case when score > 0.8::double then 'BLOCK' when score > 0.5::double then 'REVIEW' else 'MONITOR' end || '.'
@@ -321,7 +324,20 @@ def explain_rules(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("TransactionID", text.alias("explanation"))
 
 
-@register("prompt_text")
+@register("prompt_text", f"""with {_REASONS},
+    lines as (
+      select TransactionID, string_agg('  ' || rk || '. ' || feature
+          || case when v > 0 then ': ↑ increases' else ': ↓ decreases' end
+          || printf(' fraud risk (SHAP=%+.4f)', v), chr(10) order by rk) as listed
+      from top group by TransactionID)
+    select TransactionID, printf('Transaction Details:' || chr(10) || '- Transaction ID: %s' || chr(10)
+        || '- Amount: $%.2f' || chr(10) || '- Product Category: %s' || chr(10) || '- Card: ending in %s' || chr(10)
+        || '- Fraud Probability Score: %.1f%%', cast(TransactionID as varchar), TransactionAmt, ProductCD,
+        right(cast(card1 as varchar), 4), score * 100)
+      || chr(10) || chr(10) || 'Top Risk Factors (SHAP analysis):' || chr(10) || listed || chr(10) || chr(10)
+      || printf('AutoEncoder Anomaly Score: %.4f (threshold: %.4f)', TransactionAmt / 5000, 0.05::double)
+      || chr(10) || chr(10) || 'Generate a fraud justification and recommended action.' as prompt
+    from f join lines using (TransactionID)""")
 def prompt_text(spark: SparkSession, sf: str) -> DataFrame:
     df = _explained(spark, sf)
     columns = {"id": "TransactionID", "amount": "TransactionAmt", "product": "ProductCD", "card": "card1"}

@@ -12,6 +12,7 @@ from riskspark.operators.velocity import velocity
 from riskspark.plans.features import build_features, feature_values
 from riskspark.plans.oracle import IDENTITY, TX_EVENTS, TX_ORDERS, r, velocity_columns, velocity_windows
 from riskspark.plans.registry import register, round_columns
+from riskspark.session import stored
 from riskspark.sources import io, views
 from riskspark.sources.schema import FEATURES
 
@@ -192,7 +193,7 @@ def risk_profile(spark: SparkSession, sf: str) -> DataFrame:
 )
 def merchant_risk(spark: SparkSession, sf: str) -> DataFrame:
     df = views.tx_events(spark, sf)
-    out = profiles.add_merchant_risk(df.select("TransactionID", "ProductCD"), profiles.risk_profile(df))
+    out = profiles.add_merchant_risk(df.select("TransactionID", "ProductCD"), stored(profiles.risk_profile(df)))
     return round_columns(out.drop("ProductCD"), merchant_fraud_rate=6)
 
 
@@ -317,7 +318,9 @@ from v left join profile using (ProductCD) left join cards using (card1)"""
 
 def features_of_events(spark: SparkSession, sf: str) -> DataFrame:
     df = views.tx_events(spark, sf)
-    return build_features(df, risk_profile=profiles.risk_profile(df), card_stats=profiles.card_stats(df))
+    # Stored first, so that their sizes are known when the joins are planned.
+    risk, cards = stored(profiles.risk_profile(df)), stored(profiles.card_stats(df))
+    return build_features(df, risk_profile=risk, card_stats=cards)
 
 
 @register("build_features", _BUILD_SQL)

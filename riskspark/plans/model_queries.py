@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from riskspark.ml import anomaly, calibrate, classify
 from riskspark.ml.scale import fit_scaler, standardize
 from riskspark.ml.smote import nearest_neighbours, smote
-from riskspark.operators import attribution, profiles, sampling
+from riskspark.operators import profiles
 from riskspark.plans import training
 from riskspark.plans.features import build_features
 from riskspark.plans.model import RiskModel, Settings, fit_model
 from riskspark.plans.oracle import SCORES, TX_EVENTS, hex_unit, r, u
 from riskspark.plans.registry import register, round_columns
-from riskspark.plans.scoring import explain_batch, score_batch
+from riskspark.plans.scoring import explain_batch, importance_report, score_batch
 from riskspark.session import new_dir, stored
 from riskspark.sources import views
 
@@ -182,7 +182,7 @@ def score_batch_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def _saved(spark: SparkSession, sf: str) -> tuple[RiskModel, str, DataFrame]:
     df = _transactions(spark, sf)
-    risk, cards = profiles.risk_profile(df), profiles.card_stats(df)
+    risk, cards = stored(profiles.risk_profile(df)), stored(profiles.card_stats(df))
     built = build_features(df, risk, cards)
     names = [c for c in built.columns if c in ("TransactionAmt", "addr_distance_km", "velocity_sum_24h", "tx_hour", "amt_zscore")]
     features = stored(built.select("TransactionID", "isFraud", *names))
@@ -201,9 +201,13 @@ def tree_contributions(spark: SparkSession, sf: str) -> DataFrame:
 @register("tree_importance")
 def tree_importance(spark: SparkSession, sf: str) -> DataFrame:
     model, path, features = _saved(spark, sf)
-    sample = sampling.importance_sample(features, 1000)
-    phi = stored(model.contributions(sample, path, keep=["isFraud"]))
-    return attribution.importance(phi, [f"phi_{c}" for c in model.inputs], top=30)
+    return importance_report(features, model, path, n=1000)[0]
+
+
+@register("tree_importance_by_class")
+def tree_importance_by_class(spark: SparkSession, sf: str) -> DataFrame:
+    model, path, features = _saved(spark, sf)
+    return importance_report(features, model, path, n=1000)[1]
 
 
 @register("explain_batch")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.ml import calibrate
@@ -13,6 +13,7 @@ from riskspark.operators import metrics, profiles, sampling
 from riskspark.plans.features import build_features, drop_features
 from riskspark.plans.model import RiskModel, Settings, fit_model
 from riskspark.session import stored
+from riskspark.sources import io
 from riskspark.sources.schema import ADDRESS, MERCHANT, VELOCITY, feature_columns
 
 
@@ -132,3 +133,38 @@ def ablation_significance(scores: dict[str, DataFrame], replicates: int = 500) -
         one = one.select(F.lit(name).alias("baseline"), *one.columns)
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# -- jobs over files ---------------------------------------------------------------------------
+
+
+def run_training(
+    transactions: DataFrame,
+    identity: DataFrame | None,
+    out: str,
+    settings: Settings = Settings(),
+    fraction: float = 0.8,
+) -> DataFrame:
+    """From raw tables to a saved model: writes the profiles, test features, metrics and model under
+    ``out`` and returns the metrics row."""
+    spark = transactions.sparkSession
+    train, test, names, risk, cards = prepare(profiles.join_identity(transactions, identity), fraction)
+    io.write_table(risk, f"{out}/risk_profile")
+    io.write_table(cards, f"{out}/card_stats")
+    io.write_table(test, f"{out}/test_features")
+    model = fit_model(train, names, settings)
+    model.save(spark, f"{out}/model")
+    io.write_metrics(evaluate_model(model, test), f"{out}/metrics")
+    return spark.read.json(f"{out}/metrics")
+
+
+def run_calibration(spark: SparkSession, out: str, method: str = "platt") -> DataFrame:
+    """Calibrates the model saved under ``out`` on its test features, saves it again with the calibrator
+    and returns the before/after table."""
+    model = RiskModel.load(spark, f"{out}/model")
+    model.calibrator = None
+    scored = stored(model.score(io.read_features(spark, f"{out}/test_features"), keep=("TransactionID", "isFraud")))
+    table, model.calibrator = calibrate_and_compare(scored, "raw_score", "isFraud", method)
+    model.save(spark, f"{out}/calibrated_model")
+    io.write_metrics(table, f"{out}/calibration")
+    return spark.read.json(f"{out}/calibration")

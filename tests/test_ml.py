@@ -14,7 +14,7 @@ from riskspark.operators import attribution, metrics
 from riskspark.plans import training
 from riskspark.plans.model import RiskModel, Settings, fit_model
 from riskspark.plans.scoring import explain_batch, score_batch
-from riskspark.sources import views
+from riskspark.sources import io, views
 
 NAMES = ["a", "b", "c", "d"]
 TINY = Settings(rounds=4, depth=3, bottleneck=2)
@@ -254,6 +254,8 @@ def test_score_and_explain(spark, sf, tmp_path):
     assert scored.filter("is_fraud <> (raw_score >= 0.4)").count() == 0
     fitted.save(spark, str(tmp_path))
     rows = explain_batch(train, fitted, str(tmp_path), k=5).collect()
+    direct = {r.TransactionID: r.fraud_score for r in fitted.score(train).collect()}
+    assert all(r.fraud_score == pytest.approx(direct[r.TransactionID], abs=1e-9) for r in rows)
     assert len(rows) == train.count()
     for r in rows[:20]:
         sizes = [abs(f.shap_value) for f in r.factors]
@@ -273,6 +275,25 @@ def test_cross_validation_and_ablation(spark, table):
     assert {r.baseline for r in significance} == set(variants[:2])
 
 
+def test_training_and_calibration_jobs_over_files(spark, sf, tmp_path):
+    raw = views.tx_events(spark, sf).select(
+        "TransactionID", "TransactionDT", "TransactionAmt", "ProductCD", "card1", "addr1", "addr2", "isFraud"
+    )
+    raw.write.option("header", True).csv(str(tmp_path / "tx"))
+    ids = raw.filter("TransactionID % 2 = 0").select("TransactionID", (F.col("TransactionAmt") * 2).alias("id_01"))
+    ids.write.option("header", True).csv(str(tmp_path / "ids"))
+    out = str(tmp_path / "out")
+    tx_table, id_table = io.read_transactions(spark, str(tmp_path / "tx")), io.read_identity(spark, str(tmp_path / "ids"))
+    row = training.run_training(tx_table, id_table, out, TINY).first()
+    assert 0 <= row.auc_roc <= 1 and row.true_positives + row.false_negatives > 0
+    test = io.read_features(spark, f"{out}/test_features")
+    assert "id_01" in test.columns and "C14" in test.columns
+    got = training.run_calibration(spark, out, "isotonic")
+    assert {r.metric for r in got.collect()} == {"precision", "recall", "f1", "auc_pr", "auc_roc"}
+    again = RiskModel.load(spark, f"{out}/calibrated_model")
+    assert again.score(test).filter("fraud_score between 0 and 1").count() == test.count()
+
+
 # -- explanations ------------------------------------------------------------------------------
 
 
