@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskspark.functions.numeric import fixed, ratio
+from riskspark.functions.numeric import ratio
 from riskspark.operators.ranking import cumulative, exact_percentiles, interpolated, percentile_cells, percentile_picks
 from riskspark.session import stored
 
@@ -52,23 +52,29 @@ def _bin(value: Column, edges: Sequence[Column | float]) -> Column:
 
 
 def _psi_of(bins_table: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
-    """``bins_table`` has one row per (by, bin) with the counts ``b`` (baseline) and ``c`` (current)."""
+    """``bins_table`` has one row per (by, bin) with the counts ``b`` (baseline) and ``c`` (current).
 
-    def n(i: int, side: str) -> Column:
-        return F.expr(f"coalesce(sum(if(bin = {i}, {side}, 0)), 0) as {side}_{i}")
-
-    aggs = [n(i, side) for i in range(bins) for side in ("b", "c")]
-    wide = bins_table.groupBy(*by).agg(*aggs) if by else bins_table.agg(*aggs)
-    total = {side: " + ".join(f"{side}_{i}" for i in range(bins)) for side in ("b", "c")}
+    Counts and shares are arrays, which keeps the expression small however often the result is used.
+    """
 
-    def share(i: int, side: str) -> str:
-        return f"if({side}_{i} = 0, {EMPTY_SHARE!r}D, coalesce(try_divide(double({side}_{i}), {total[side]}), 0D))"
+    def counts(side: str) -> Column:
+        each = ", ".join(f"coalesce(sum(if(bin = {i}, {side}, 0)), 0)" for i in range(bins))
+        return F.expr(f"array({each}) as {side}")
 
-    shares = [f"{share(i, side)} as {side}s_{i}" for i in range(bins) for side in ("b", "c")]
-    sizes = [f"bigint({total[side]}) as {name}" for side, name in (("b", "n_baseline"), ("c", "n_current"))]
-    index = " + ".join(f"(cs_{i} - bs_{i}) * ln(cs_{i} / bs_{i})" for i in range(bins))
+    wide = bins_table.groupBy(*by).agg(counts("b"), counts("c")) if by else bins_table.agg(counts("b"), counts("c"))
     keys = [f"`{c}`" for c in by]
-    return wide.selectExpr(*keys, *shares, *sizes).selectExpr(*keys, f"{index} as psi", "n_baseline", "n_current")
+    sized = wide.selectExpr(
+        *keys, "b", "c", *[f"aggregate({s}, 0L, (a, x) -> a + x) as {n}" for s, n in (("b", "n_baseline"), ("c", "n_current"))]
+    )
+    share = "transform({s}, x -> if(x = 0, {e!r}D, x / double({n}))) as {s}"
+    shares = sized.selectExpr(
+        *keys,
+        *[share.format(s=s, e=EMPTY_SHARE, n=n) for s, n in (("b", "n_baseline"), ("c", "n_current"))],
+        "n_baseline",
+        "n_current",
+    )
+    index = "aggregate(zip_with(b, c, (p, q) -> (q - p) * ln(q / p)), 0D, (a, x) -> a + x) as psi"
+    return shares.selectExpr(*keys, index, "n_baseline", "n_current")
 
 
 def monitor_cells(baseline: DataFrame, current: DataFrame, score: str = "score", label: str | None = None) -> DataFrame:
@@ -212,6 +218,9 @@ def side_metrics(cells: DataFrame, score: str, threshold: float) -> DataFrame:
     return cells.agg(*aggs)
 
 
+ALERT = "metric string, current_value double, baseline_value double, threshold double, severity string, message string"
+
+
 def drift_alerts(
     baseline: DataFrame,
     current: DataFrame,
@@ -223,67 +232,37 @@ def drift_alerts(
     """Alert rows: metric, current_value, baseline_value, threshold, severity, message.
 
     No alerts below ``min_scores`` current scores. Labelled and unlabelled rows may be mixed:
-    precision and recall use the labelled ones.
+    precision and recall use the labelled ones. The data is reduced to one row of measures by Spark;
+    the at most four alerts follow from those numbers.
     """
-
-    def alert(metric, value, base, limit, critical, message) -> Column:
-        return F.struct(
-            F.lit(metric).alias("metric"),
-            value.alias("current_value"),
-            base.alias("baseline_value"),
-            F.lit(limit).alias("threshold"),
-            F.when(critical, F.lit("critical")).otherwise(F.lit("warning")).alias("severity"),
-            message.alias("message"),
-        )
-
     cells = monitor_cells(baseline, current, score, label)
-    zero = F.lit(0.0)
-    stat, p, index = F.col("ks_stat"), F.col("p_value"), F.col("psi")
-    ks_text = F.concat(
-        F.lit("Score distribution drift detected (KS="),
-        fixed(stat, 4),
-        F.lit(", p="),
-        fixed(p, 4),
-        F.lit("). Model may need retraining."),
-    )
-    ks_rows = ks_of(cells).filter((F.col("n_current") >= min_scores) & (p < KS_P))
-    ks_rows = ks_rows.select(
-        F.inline(F.array(alert("score_distribution_ks", stat, zero, KS_THRESHOLD, stat >= KS_CRITICAL, ks_text)))
-    )
-    psi_text = F.concat(
-        F.lit("PSI="),
-        fixed(index, 4),
-        F.lit(f" ≥ {PSI_THRESHOLD}. Score distribution has shifted significantly."),
-    )
-    psi_rows = psi_of(cells, score).filter((F.col("n_current") >= min_scores) & (index >= PSI_THRESHOLD))
-    psi_rows = psi_rows.select(
-        F.inline(F.array(alert("score_psi", index, zero, PSI_THRESHOLD, index >= PSI_CRITICAL, psi_text)))
-    )
-    out = ks_rows.unionByName(psi_rows)
-    if label is None:
-        return out
-    m = side_metrics(cells, score, threshold)
-    rows = []
-    for name in ("precision", "recall"):
-        base, cur = F.col(f"base_{name}"), F.col(f"cur_{name}")
-        drop = base - cur
-        text = F.concat(
-            F.lit(f"{name.capitalize()} dropped from "),
-            fixed(base, 4),
-            F.lit(" to "),
-            fixed(cur, 4),
-            F.lit(" (Δ="),
-            fixed(drop, 4),
-            F.lit(f" > threshold={METRIC_DROP})"),
-        )
-        rows.append(
-            F.when(
-                drop > METRIC_DROP,
-                alert(f"{name}_drift", cur, base, METRIC_DROP, drop > METRIC_DROP_CRITICAL, text),
-            )
-        )
-    enough = m.filter((F.col("cur_n") >= min_scores) & (F.col("cur_labelled") > 0))
-    return out.unionByName(enough.select(F.inline(F.array_compact(F.array(*rows)))))
+    ks = ks_of(cells).first()
+    alerts = []
+
+    def add(metric: str, value: float, base: float, limit: float, critical: bool, message: str) -> None:
+        alerts.append((metric, value, base, limit, "critical" if critical else "warning", message))
+
+    if ks["n_current"] >= min_scores and ks["n_baseline"] > 0:
+        stat, p = ks["ks_stat"], ks["p_value"]
+        if p < KS_P:
+            text = f"Score distribution drift detected (KS={stat:.4f}, p={p:.4f}). Model may need retraining."
+            add("score_distribution_ks", stat, 0.0, KS_THRESHOLD, stat >= KS_CRITICAL, text)
+        index = psi_of(cells, score).first()["psi"]
+        if index >= PSI_THRESHOLD:
+            text = f"PSI={index:.4f} ≥ {PSI_THRESHOLD}. Score distribution has shifted significantly."
+            add("score_psi", index, 0.0, PSI_THRESHOLD, index >= PSI_CRITICAL, text)
+        measured = None if label is None else side_metrics(cells, score, threshold).first()
+        if measured is not None and measured["cur_labelled"] > 0:
+            for name in ("precision", "recall"):
+                base, now = measured[f"base_{name}"], measured[f"cur_{name}"]
+                drop = base - now
+                if drop > METRIC_DROP:
+                    text = (
+                        f"{name.capitalize()} dropped from {base:.4f} to {now:.4f} "
+                        f"(Δ={drop:.4f} > threshold={METRIC_DROP})"
+                    )
+                    add(f"{name}_drift", now, base, METRIC_DROP, drop > METRIC_DROP_CRITICAL, text)
+    return baseline.sparkSession.createDataFrame(alerts, ALERT)
 
 
 def drift_summary(baseline: DataFrame, window: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
