@@ -57,10 +57,3 @@ def hash_uniform(seed: str, *keys: Column, digits: int = 8) -> Column:
 def poisson_one(uniform: str) -> Column:
     """Poisson(1) draw from a column of uniform numbers, by the inverse distribution function."""
     return F.expr(" + ".join(f"int(`{uniform}` >= {bound!r}D)" for bound in POISSON_ONE_CDF))
-
-
-def fixed(x: Column, digits: int, plus: bool = False) -> Column:
-    """Text with ``digits`` decimals, rounded by the exact binary value (``format_string`` rounds the
-    shortest decimal form instead, which moves ties)."""
-    pattern = "0." + "0" * digits if digits else "0"
-    return F.call_function("format_number", x.cast("double"), F.lit(f"+{pattern};-{pattern}" if plus else pattern))

@@ -198,6 +198,17 @@ def tree_contributions(spark: SparkSession, sf: str) -> DataFrame:
     return model.contributions(features, path, keep=["TransactionID"])
 
 
+@register("tree_additivity", "select event_id as TransactionID, 1 as additive from events")
+def tree_additivity(spark: SparkSession, sf: str) -> DataFrame:
+    """Contributions plus expected value equal the model's own margin on every row."""
+    model, path, features = _saved(spark, sf)
+    scored = model.score(features, keep=("TransactionID", *model.features))
+    phi = model.contributions(scored, path, keep=["TransactionID", "raw_score"])
+    margin = F.ln(F.col("raw_score") / (1 - F.col("raw_score"))) / 2
+    gap = F.abs(F.col("sum_shap") + F.col("expected_value") - margin)
+    return phi.select("TransactionID", (gap < 1e-6).cast("int").alias("additive"))
+
+
 @register("tree_importance")
 def tree_importance(spark: SparkSession, sf: str) -> DataFrame:
     model, path, features = _saved(spark, sf)

@@ -152,6 +152,6 @@ def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
     base = new_dir(spark, "drift")
     baseline, _ = views.baseline_and_current(spark, sf)
     stream = views.shifted_scores(views.scores_of(views.tx_event_stream(spark, sf)))
-    run.run_batches(stream, base, DriftStream(base, stored(baseline)).process)
+    run.run_batches(stream, base, DriftStream(base, baseline).process)
     out = run.all_batches(spark, base, "alerts").drop("batch", "sent_us")
     return round_columns(out, current_value=6, baseline_value=6)

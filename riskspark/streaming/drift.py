@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators.drift import drift_alerts, last_n
+from riskspark.session import stored
 from riskspark.streaming import tables
 
 SENT = "metric string, sent_us bigint"
@@ -19,7 +20,9 @@ class DriftStream:
     """
 
     def __init__(self, base: str, baseline: DataFrame, window: int = 1000, cooldown_seconds: int = 3600) -> None:
-        self.base, self.baseline = base, baseline
+        self.base = base
+        # Stored once: every batch is compared with it.
+        self.baseline = stored(baseline.select("TransactionID", "event_time", "score", "y"))
         self.window, self.gap = window, cooldown_seconds * 1_000_000
 
     def process(self, batch: DataFrame, batch_id: int) -> None:

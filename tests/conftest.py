@@ -11,7 +11,7 @@ from riskspark.session import get_spark  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = get_spark(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"}
+        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"}
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
