@@ -4,26 +4,50 @@ not depend on partitioning and every retry of a task gives the same rows."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskspark.functions.numeric import hash_uniform
 from riskspark.operators.ranking import hash_rank
 
 
+SLICES = 1 << 16
+
+
 def first_of_class(df: DataFrame, wanted: Column, label: str, key: str, seed: str) -> Column:
     """A condition that holds for the ``wanted`` first rows of each class in hash order.
 
-    Only key and label are ranked; one cut-off row per class comes back, so the condition itself is a
-    row expression and the wide table is never shuffled. ``wanted`` may use ``group_rows``.
+    Counts per class and slice of the hash range (combined before the shuffle) tell in which slice a
+    class reaches its number; only the rows of that slice are ordered. One cut-off row per class comes
+    back, so the condition is a row expression and neither the table nor its keys are shuffled.
+    ``wanted`` may use the label and ``group_rows``.
     """
-    ranked = hash_rank(df.select(key, label), seed, key, [label])
-    last = ranked.withColumn("wanted", wanted).filter(F.col("hash_rank") == F.col("wanted") - 1)
     u = hash_uniform(seed, F.col(key), digits=13)
-    chosen = F.lit(False)
-    for row in last.select(label, key, u.alias("u")).collect():  # one row per class
-        mine = F.col(label).eqNullSafe(F.lit(row[label]))
-        upto = (u < F.lit(row["u"])) | ((u == F.lit(row["u"])) & (F.col(key) <= F.lit(row[key])))
-        chosen = chosen | (mine & upto)
+    piece = F.floor(u * SLICES).cast("int")
+    earlier = W.partitionBy(label).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    counts = (
+        df.groupBy(label, piece.alias("_slice"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .withColumn("group_rows", F.sum("_n").over(W.partitionBy(label)))
+        .withColumn("_wanted", wanted)
+        .filter((F.col("_before") < F.col("_wanted")) & (F.col("_wanted") <= F.col("_before") + F.col("_n")))
+    )
+    chosen = here = F.lit(False)
+    found = {r[label]: r for r in counts.collect()}  # one row per class
+    for row in found.values():
+        here = here | (F.col(label).eqNullSafe(F.lit(row[label])) & (piece == F.lit(row["_slice"])))
+    if not found:
+        return chosen
+    rank = F.row_number().over(W.partitionBy(label).orderBy("_u", key))
+    slices = df.filter(here).select(label, key, u.alias("_u")).withColumn("_rank", rank)
+    last = F.lit(False)
+    for row in found.values():
+        place = F.col("_rank") == F.lit(row["_wanted"] - row["_before"])
+        last = last | (F.col(label).eqNullSafe(F.lit(row[label])) & place)
+    for row in slices.filter(last).collect():  # one row per class
+        upto = (u < F.lit(row["_u"])) | ((u == F.lit(row["_u"])) & (F.col(key) <= F.lit(row[key])))
+        chosen = chosen | (F.col(label).eqNullSafe(F.lit(row[label])) & upto)
     return chosen
 
 

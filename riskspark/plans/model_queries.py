@@ -212,13 +212,13 @@ def tree_additivity(spark: SparkSession, sf: str) -> DataFrame:
 @register("tree_importance")
 def tree_importance(spark: SparkSession, sf: str) -> DataFrame:
     model, path, features = _saved(spark, sf)
-    return importance_report(features, model, path, n=1000)[0]
+    return importance_report(features, model, path, n=10_000)[0]
 
 
 @register("tree_importance_by_class")
 def tree_importance_by_class(spark: SparkSession, sf: str) -> DataFrame:
     model, path, features = _saved(spark, sf)
-    return importance_report(features, model, path, n=1000)[1]
+    return importance_report(features, model, path, n=10_000)[1]
 
 
 @register("explain_batch")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,10 +51,34 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_opened: ContextVar[list[str] | None] = ContextVar("_opened", default=None)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The table written to the shared folder and read back: lineage is cut, lost executors cost
     nothing, and later reads are columnar with known sizes. Unlike an eager checkpoint the input is
     computed once."""
     path = new_dir(df.sparkSession, "stored")
+    opened = _opened.get()
+    if opened is not None:
+        opened.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that ``stored`` wrote inside, so that a stream that runs for months leaves
+    nothing behind. Results must have been written or collected by then."""
+    token = _opened.set([])
+    try:
+        yield
+    finally:
+        delete_paths(spark, _opened.get() or [])
+        _opened.reset(token)
+
+
+def delete_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators.drift import drift_alerts, last_n
-from riskspark.session import stored
+from riskspark.session import stored, temporary_tables
 from riskspark.streaming import tables
 
 SENT = "metric string, sent_us bigint"
@@ -36,7 +36,8 @@ class DriftStream:
         now = current.agg(F.max(F.unix_micros("event_time"))).first()[0]
         sent = tables.get(spark, self.base, "sent", before, spark.createDataFrame([], SENT).schema)
         recent = sent.filter(F.col("sent_us") > F.lit(now) - self.gap).select("metric")
-        found = drift_alerts(self.baseline, current).join(recent, "metric", "left_anti")
+        with temporary_tables(spark):
+            found = drift_alerts(self.baseline, current).join(recent, "metric", "left_anti")
         tables.put(found.withColumn("sent_us", F.lit(now).cast("bigint")), self.base, "alerts", batch_id)
 
         # Read back rather than computed again, so both tables agree.

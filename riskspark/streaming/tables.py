@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from riskspark.session import delete_paths
+
 
 def batch_path(base: str, table: str, batch_id: int) -> str:
     return f"{base}/{table}/batch={batch_id}"
@@ -25,6 +27,4 @@ def get(spark: SparkSession, base: str, table: str, batches: Sequence[int], sche
 
 
 def drop(spark: SparkSession, base: str, table: str, batches: Sequence[int]) -> None:
-    for b in batches:
-        path = spark._jvm.org.apache.hadoop.fs.Path(batch_path(base, table, b))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_paths(spark, [batch_path(base, table, b) for b in batches])

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators.velocity import MICROS, velocity
+from riskspark.session import temporary_tables
 from riskspark.streaming import tables
 
 PROGRESS = "watermark_us bigint, live array<struct<batch:int,max_us:bigint>>, expired array<int>"
@@ -62,7 +63,8 @@ class VelocityStream:
         due = events.filter((F.col("event_us") > passed) & (F.col("event_us") <= now)).drop("event_us")
         past = events.filter((F.col("event_us") <= passed) & (F.col("event_us") >= horizon))
         history = past.select("card1", "event_time", "TransactionAmt")
-        self.emit(velocity(due, self.hours, history=history, **self.options), batch_id)
+        with temporary_tables(spark):
+            self.emit(velocity(due, self.hours, history=history, **self.options), batch_id)
 
         keep_from = now - max(self.hours) * 3600 * MICROS
         kept = [(b, t) for b, t in live if t >= keep_from]
