@@ -104,7 +104,7 @@ def tree_contributions(
     shared = df.sparkSession.sparkContext.broadcast(leaves)
     base = expected_margin(leaves)
     names = [f"phi_{c}" for c in columns]
-    kept = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    kept = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns if c not in keep])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -177,7 +177,9 @@ def score_batch_query(spark: SparkSession, sf: str) -> DataFrame:
     """Fitted on the training part; the whole table is then scored with those profiles."""
     df = _transactions(spark, sf)
     train, _, names, risk, cards = training.prepare(df)
-    return score_batch(df, fit_model(train, names, SMALL), risk, cards)
+    model, path = fit_model(train, names, SMALL), new_dir(spark, "model")
+    model.save(spark, path)
+    return score_batch(df, model, risk, cards, model_path=path)
 
 
 def _saved(spark: SparkSession, sf: str) -> tuple[RiskModel, str, DataFrame]:

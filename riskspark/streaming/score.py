@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,9 @@ class ScoringStream:
     """``process`` is the ``foreachBatch`` function of a raw record stream.
 
     Bad records go to ``dead_letters`` at once. Good ones wait for the watermark in the velocity table
-    and are then scored with the same features as in batch, into ``scores``.
+    and are then scored with the same features as in batch, into ``scores``. ``publish`` receives the
+    stored scores as (key, JSON value) records, for a topic for instance; it may see a batch again after
+    a failure. ``model_path`` adds factors and explanations.
     """
 
     def __init__(
@@ -31,11 +33,13 @@ class ScoringStream:
         threshold: float = 0.5,
         topic: str = "transactions",
         keep: Sequence[str] = (),
+        model_path: str | None = None,
+        publish: Callable[[DataFrame, int], None] | None = None,
         **velocity_options,
     ) -> None:
         self.base, self.model, self.threshold, self.topic = base, model, threshold, topic
         self.risk_profile, self.card_stats = risk_profile, card_stats
-        self.keep = tuple(keep)
+        self.keep, self.model_path, self.publish = tuple(keep), model_path, publish
         self.velocity = VelocityStream(base, emit=self._score, **velocity_options)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -48,6 +52,11 @@ class ScoringStream:
             batch.unpersist()
 
     def _score(self, rows: DataFrame, batch_id: int) -> None:
-        scored = score_batch(rows, self.model, self.risk_profile, self.card_stats, threshold=self.threshold)
+        scored = score_batch(
+            rows, self.model, self.risk_profile, self.card_stats, threshold=self.threshold, model_path=self.model_path
+        )
         scored = scored.withColumn("scored_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
         tables.put(scored, self.base, "scores", batch_id)
+        if self.publish is not None:
+            done = tables.get(rows.sparkSession, self.base, "scores", [batch_id], scored.schema)
+            self.publish(io.to_json_records(done), batch_id)

@@ -253,6 +253,10 @@ def test_score_and_explain(spark, sf, tmp_path):
     assert scored.filter("anomaly_flag").count() > 0
     assert scored.filter("is_fraud <> (raw_score >= 0.4)").count() == 0
     fitted.save(spark, str(tmp_path))
+    full = score_batch(df, fitted, risk, cards, threshold=0.4, model_path=str(tmp_path))
+    both = full.join(scored.select("TransactionID", F.col("fraud_score").alias("f"), F.col("anomaly_score").alias("a")), "TransactionID")
+    assert both.filter("abs(fraud_score - f) < 2e-6 and abs(anomaly_score - a) < 2e-6").count() == df.count()
+    assert both.filter("size(top_risk_factors) = 5 and explanation like 'Transaction $%'").count() == df.count()
     rows = explain_batch(train, fitted, str(tmp_path), k=5).collect()
     direct = {r.TransactionID: r.fraud_score for r in fitted.score(train).collect()}
     assert all(r.fraud_score == pytest.approx(direct[r.TransactionID], abs=1e-9) for r in rows)

@@ -169,7 +169,11 @@ def test_scoring_stream(spark, events, tmp_path):
     raw = raw_messages(events)
     folder = files_of(raw, tmp_path / "in", 3)
     base = str(tmp_path / "state")
-    scoring = ScoringStream(base, model, risk, cards, threshold=0.4, keep=["offset"])
+    published = []
+    scoring = ScoringStream(
+        base, model, risk, cards, threshold=0.4, keep=["offset"],
+        publish=lambda records, batch_id: published.extend(r.key for r in records.collect()),
+    )
     run.run_batches(stream_of(spark, raw, folder), base, scoring.process)
     dead = run.all_batches(spark, base, "dead_letters")
     n = events.count()
@@ -181,6 +185,7 @@ def test_scoring_stream(spark, events, tmp_path):
     closed = good.filter(F.col("event_time") <= F.lit(newest) - F.expr("interval 1 hour"))
     got = run.all_batches(spark, base, "scores")
     assert got.count() == closed.count() == got.select("TransactionID").distinct().count()
+    assert sorted(published) == sorted(str(r.TransactionID) for r in got.collect())
     batch = model.score(build_features(good, risk, cards)).select("TransactionID", F.col("raw_score").alias("want"))
     assert got.join(batch, "TransactionID").filter("abs(raw_score - want) > 1e-9").count() == 0
 
