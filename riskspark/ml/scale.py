@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import sqrt
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +30,16 @@ class Scaler:
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> Scaler:
-    """Two numbers per column come back, from one map-side combined aggregation."""
+    """Two numbers per column come back, from one map-side combined pass over the assembled vector."""
     filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
-    aggs = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))]
-    row = filled.agg(*aggs).first()
-    mean = tuple(float(row[f"m_{c}"] or 0.0) for c in columns)
-    scale = tuple(float(row[f"s_{c}"] or 0.0) or 1.0 for c in columns)
-    return Scaler(tuple(columns), mean, scale)
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="_x").transform(filled)
+    row = vectors.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("_x")).alias("s")).first()["s"]
+    n = row["count"]
+    if n == 0:
+        return Scaler(tuple(columns), (0.0,) * len(columns), (1.0,) * len(columns))
+    population = sqrt((n - 1) / n)
+    scale = tuple(float(sqrt(v) * population) or 1.0 for v in row["variance"])
+    return Scaler(tuple(columns), tuple(float(m) for m in row["mean"]), scale)
 
 
 def standardize(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

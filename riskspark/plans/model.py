@@ -139,9 +139,10 @@ def fit_model(
     if settings.use_anomaly:
         legit = scaled.filter(F.col(label) == 0)
         pca = anomaly.fit_anomaly(legit, scaler.names, settings.bottleneck)
-        scaled = _with_anomaly(scaled, pca, scaler.names)
         inputs += ["ae_anomaly_score"] + [f"ae_emb_{i}" for i in range(pca.getK())]
-        legit_scores = stored(scaled.filter(F.col(label) == 0).select("ae_anomaly_score"))
+        # The training matrix is read many times by the fits below.
+        scaled = stored(_with_anomaly(scaled, pca, scaler.names).select(key, label, *inputs))
+        legit_scores = scaled.filter(F.col(label) == 0).select("ae_anomaly_score")
         threshold = percentile_threshold(legit_scores, "ae_anomaly_score", settings.anomaly_percent).first()["threshold"]
     rows = scaled.select(key, label, *inputs)
     weight = None
