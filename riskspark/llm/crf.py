@@ -83,7 +83,7 @@ def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
 
 
-def train(labelled: pd.DataFrame, rounds: int = 80, rate: float = 0.15, decay: float = 2e-3) -> Model:
+def train(labelled: pd.DataFrame, rounds: int = 110, rate: float = 0.15, decay: float = 2e-3) -> Model:
     """The model with the largest penalised likelihood of a table of chain, position, word, tag, by Adam."""
     rows = labelled.sort_values(["chain", "position"])
     lengths = rows.groupby("chain").size().to_numpy()
