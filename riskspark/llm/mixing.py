@@ -87,50 +87,62 @@ def typical_words(rows: DataFrame, words: int = 40, least: int = 3, times: float
     return out
 
 
-def posteriors(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = 3000) -> DataFrame:
-    """``docs`` with tokens and posterior, an array of probabilities in the order of ``names``."""
+def scorer(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = 3000) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds tokens and posterior, an array of probabilities in the order of ``names``, to any table with
+    a column text. The classifier is fitted on labelled rows of ``docs``."""
     rows = labelled_sample(docs, labelled.where(F.col("domain").isin(names)), sample)
     lexicon = typical_words(rows)
     seen = [n for n in names if n in lexicon]
     inputs = SHAPES + [f"hits_{n}" for n in lexicon]
-    if not seen:
-        probabilities = [F.lit(1.0 / len(names))] * len(names)
-    elif len(seen) == 1:
-        probabilities = [F.lit(1.0 if n in seen else 0.0) for n in names]
-    else:
-        domain = reduce(lambda c, k: c.when(F.col("domain") == seen[k], float(k)), range(1, len(seen)), F.when(F.col("domain") == seen[0], 0.0))
-        points = VectorAssembler(inputCols=inputs, outputCol="point").transform(features(rows, lexicon).withColumn("class", domain))
-        model = LogisticRegression(featuresCol="point", labelCol="class", family="multinomial", regParam=1e-3, maxIter=60).fit(stored(points.select("point", "class")))
-        weights, offsets = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
-        logits = [sum((F.col(c) * float(w) for c, w in zip(inputs, weights[k], strict=True)), F.lit(float(offsets[k]))) for k in range(len(seen))]
-        docs = features(docs, lexicon).withColumn("logits", F.array(*logits)).withColumn("top", F.array_max("logits"))
-        powers = [F.exp(F.col("logits")[k] - F.col("top")) for k in range(len(seen))]
-        docs = docs.withColumn("powers", F.array(*powers))
-        total = sum((F.col("powers")[k] for k in range(1, len(seen))), F.col("powers")[0])
-        probabilities = [F.col("powers")[seen.index(n)] / total if n in seen else F.lit(0.0) for n in names]
-        return docs.withColumn("posterior", F.array(*probabilities)).drop("logits", "top", "powers", *inputs)
-    return docs.withColumn("tokens", F.size(words_of(F.coalesce("text", F.lit("")))).cast("long")).withColumn("posterior", F.array(*probabilities))
-
-
-def fit_rates(state: DataFrame, targets: list[float], budget: float | None = None, rounds: int = 30, tolerance: float = 1e-5) -> DataFrame:
-    """``state`` (tokens, posterior, ...) with rate.
+    if len(seen) < 2:
+        even = [F.lit(1.0 if n in seen else 0.0) if seen else F.lit(1.0 / len(names)) for n in names]
+        return lambda d: d.withColumn("tokens", F.size(words_of(F.coalesce("text", F.lit("")))).cast("long")).withColumn("posterior", F.array(*even))
+    domain = reduce(lambda c, k: c.when(F.col("domain") == seen[k], float(k)), range(1, len(seen)), F.when(F.col("domain") == seen[0], 0.0))
+    points = VectorAssembler(inputCols=inputs, outputCol="point").transform(features(rows, lexicon).withColumn("class", domain))
+    model = LogisticRegression(featuresCol="point", labelCol="class", family="multinomial", regParam=1e-3, maxIter=60).fit(stored(points.select("point", "class")))
+    weights, offsets = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    logits = [sum((F.col(c) * float(w) for c, w in zip(inputs, weights[k], strict=True)), F.lit(float(offsets[k]))) for k in range(len(seen))]
+    powers = [F.exp(F.col("logits")[k] - F.col("top")) for k in range(len(seen))]
+    total = sum((F.col("powers")[k] for k in range(1, len(seen))), F.col("powers")[0])
+    shares = [F.col("powers")[seen.index(n)] / total if n in seen else F.lit(0.0) for n in names]
+
+    def score(d: DataFrame) -> DataFrame:
+        out = features(d, lexicon).withColumn("logits", F.array(*logits)).withColumn("top", F.array_max("logits"))
+        return out.withColumn("powers", F.array(*powers)).withColumn("posterior", F.array(*shares)).drop("logits", "top", "powers", *inputs)
+
+    return score
+
+
+def rate_after(steps: list[np.ndarray]) -> Column:
+    """A row's rate after the given steps: each moves it against its posterior's share of the domains' gaps, not below 0."""
+    rate = F.lit(1.0)
+    for weights in steps:
+        slope = sum((F.col("posterior")[j] * float(w) for j, w in enumerate(weights)), F.lit(0.0))
+        rate = F.greatest(F.lit(0.0), rate - slope)
+    return rate
+
+
+def fit_rates(rows: DataFrame, targets: list[float], budget: float | None = None, rounds: int = 30, tolerance: float = 1e-5) -> list[np.ndarray]:
+    """The steps that bring the expected domain totals of ``rows`` (tokens, posterior) to the targets.
 
     Differences are weighted by the inverse of the domains' second moments. Taken over all rows, these bound the
     curvature by 1, so that a step of length 1 always descends; taken over the rows whose rate isn't 0, a step is exact
-    until the next rate is cut off. The latter are used as long as the differences get smaller.
+    until the next rate is cut off. The latter are used as long as the differences get smaller. A step is one number per
+    domain, so a row's rate is an expression over the row and no table of rates is kept between steps.
     """
     d = range(len(targets))
     p, t, rate = [F.col("posterior")[k] for k in d], F.col("tokens"), F.col("rate")
-    state = stored(state.withColumn("rate", F.lit(1.0)))
     sums = [F.sum(rate * t * p[k]) for k in d] + [F.sum(F.when(rate > 0, t * p[j] * p[k])) for j in d for k in d]
+    steps: list[np.ndarray] = []
     own = moments = before = None
     for k in range(rounds + 1):
-        row = np.array([v or 0.0 for v in state.agg(*(c.alias(f"s{j}") for j, c in enumerate(sums))).first()])
+        found = rows.withColumn("rate", rate_after(steps)).agg(*(c.alias(f"s{j}") for j, c in enumerate(sums))).first()
+        row = np.array([v or 0.0 for v in found])
         totals, active = row[: len(d)], row[len(d) :].reshape(len(d), len(d))
         if own is None:
             own, moments = totals, active
             if not own.sum():
-                return state
+                break
             if budget is None:
                 # The largest budget at which no domain has to be repeated.
                 budget = min((own[j] / targets[j] for j in d if targets[j] > 0 and own[j] > 0), default=0.0)
@@ -141,12 +153,8 @@ def fit_rates(state: DataFrame, targets: list[float], budget: float | None = Non
             before, weight = np.abs(gap).sum(), active
         else:
             before, weight = -1.0, moments
-        weights = np.linalg.pinv(weight / own.sum(), rcond=1e-9, hermitian=True) @ gap
-        slope = sum((p[j] * float(weights[j]) for j in d), F.lit(0.0))
-        state = state.withColumn("rate", F.greatest(F.lit(0.0), rate - slope))
-        if k % 6 == 5:
-            state = stored(state)
-    return state
+        steps.append(np.linalg.pinv(weight / own.sum(), rcond=1e-9, hermitian=True) @ gap)
+    return steps
 
 
 def copies_of(rate: Column, doc_id: Column, steady: float = 0.05) -> Column:
@@ -163,12 +171,24 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget:
     that needs no domain repeated.
     """
     names, total = sorted(targets), sum(targets.values())
-    rows = posteriors(docs.select("doc_id", "text", "source"), labelled, names).select("doc_id", "source", "tokens", "posterior")
-    fitted = fit_rates(rows, [targets[n] / total for n in names], budget)
-    return fitted.withColumn("copies", copies_of(F.col("rate"), F.col("doc_id")))
+    rows = stored(scorer(docs, labelled, names)(docs.select("doc_id", "text", "source")).select("doc_id", "source", "tokens", "posterior"))
+    steps = fit_rates(rows, [targets[n] / total for n in names], budget)
+    return rows.withColumn("rate", rate_after(steps)).withColumn("copies", copies_of(F.col("rate"), F.col("doc_id")))
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posteriors, rates and copies of every document for the target weights of good, poor and toxic text."""
     out = mix(table(spark, sf_dir, "documents"), domains_of(table(spark, sf_dir, "labels")), TARGETS)
     return out.select("doc_id", "source", "tokens", *(F.col("posterior")[k].alias(f"p_{n}") for k, n in enumerate(sorted(TARGETS))), "rate", "copies")
+
+
+def resampled(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | None = None) -> DataFrame:
+    """The rows of ``docs``, each as often as its rate says. Rows are scored where they are, once for the fit and once
+    for the result, so that no join moves texts."""
+    names, total = sorted(targets), sum(targets.values())
+    score = scorer(docs, labelled, names)
+    fitted = stored(score(docs.select("text")).select("tokens", "posterior"))
+    steps = fit_rates(fitted, [targets[n] / total for n in names], budget)
+    rows = score(docs.select("text", F.struct(*docs.columns).alias("row")))
+    out = rows.withColumn("copies", copies_of(rate_after(steps), F.col("row.doc_id")))
+    return out.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")

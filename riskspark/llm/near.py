@@ -238,3 +238,18 @@ def agreement(a: str, b: str) -> Column:
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near duplicates among all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept: one of each component. Of rows that repeat the kept doc_id, one stays, the
+    first by its text. Rows without a doc_id stay, since nothing tells that they are copies."""
+    found = stored(near_duplicates(docs.select("doc_id", "text")))
+    keep = stored(found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct())
+    named = docs.where("doc_id is not null").join(keep, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
+    unnamed = docs.where("doc_id is null")
+    several = stored(found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("several")))
+    if several.isEmpty():
+        return named.unionByName(unnamed)
+    same = F.col("doc_id").cast("long") == F.col("several")
+    first = named.join(several, same, "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row"))
+    return named.join(several, same, "left_anti").unionByName(first.select("row.*")).unionByName(unnamed)
