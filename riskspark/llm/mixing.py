@@ -122,6 +122,15 @@ def rate_after(steps: list[np.ndarray]) -> Column:
     return rate
 
 
+def goals(own: np.ndarray, targets: np.ndarray, budget: float | None) -> np.ndarray:
+    """The domain totals to come to. Without a budget, the domain with the largest target is taken as it is, and a domain
+    that has less than its target then asks for is taken as it is too, so that nothing has to be repeated."""
+    if budget is not None:
+        return targets * budget
+    main = int(targets.argmax())
+    return np.minimum(targets * own[main] / targets[main], own) if own[main] > 0 else own
+
+
 def fit_rates(rows: DataFrame, targets: list[float], budget: float | None = None, rounds: int = 30, tolerance: float = 1e-5) -> list[np.ndarray]:
     """The steps that bring the expected domain totals of ``rows`` (tokens, posterior) to the targets.
 
@@ -134,7 +143,7 @@ def fit_rates(rows: DataFrame, targets: list[float], budget: float | None = None
     p, t, rate = [F.col("posterior")[k] for k in d], F.col("tokens"), F.col("rate")
     sums = [F.sum(rate * t * p[k]) for k in d] + [F.sum(F.when(rate > 0, t * p[j] * p[k])) for j in d for k in d]
     steps: list[np.ndarray] = []
-    own = moments = before = None
+    own = moments = goal = before = None
     for k in range(rounds + 1):
         found = rows.withColumn("rate", rate_after(steps)).agg(*(c.alias(f"s{j}") for j, c in enumerate(sums))).first()
         row = np.array([v or 0.0 for v in found])
@@ -143,10 +152,8 @@ def fit_rates(rows: DataFrame, targets: list[float], budget: float | None = None
             own, moments = totals, active
             if not own.sum():
                 break
-            if budget is None:
-                # The largest budget at which no domain has to be repeated.
-                budget = min((own[j] / targets[j] for j in d if targets[j] > 0 and own[j] > 0), default=0.0)
-        gap = np.where(own > 0, totals - np.array(targets) * budget, 0) / own.sum()
+            goal = goals(own, np.array(targets), budget)
+        gap = np.where(own > 0, totals - goal, 0) / own.sum()
         if np.abs(gap).max() < tolerance or k == rounds:
             break
         if before is None or np.abs(gap).sum() < before:
@@ -168,7 +175,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget:
     """doc_id, source, tokens, posterior, rate, copies of each row of ``docs`` (doc_id, text, source).
 
     ``targets`` are weights of domains, scaled to 1. ``budget`` is the number of tokens to come to, by default the most
-    that needs no domain repeated.
+    that needs no domain repeated (see goals).
     """
     names, total = sorted(targets), sum(targets.values())
     rows = stored(scorer(docs, labelled, names)(docs.select("doc_id", "text", "source")).select("doc_id", "source", "tokens", "posterior"))
