@@ -164,7 +164,7 @@ def fit_rates(rows: DataFrame, targets: list[float], budget: float | None = None
     return steps
 
 
-def copies_of(rate: Column, doc_id: Column, steady: float = 0.05) -> Column:
+def copies_of(rate: Column, doc_id: Column, steady: float = 0.1) -> Column:
     """How often a document is taken: its rate if that is within ``steady`` of a whole number, else the rate's floor or
     ceiling, drawn by the hash of the doc_id so that the expectation is the rate."""
     chance = F.pmod(F.xxhash64(F.lit("mix"), doc_id), F.lit(1 << 20)) / float(1 << 20)
