@@ -6,8 +6,8 @@ what is compared, so that copies cost one row each however many there are.
 
 No bucket of a band is ever expanded into pairs as long as its members belong together: every member is first paired
 with the bucket's smallest member only, and confirmed links are merged into components. Afterwards only members of one
-bucket that lie in different components are compared with each other, which finds all links between components that
-share a bucket. With 32 bands of 4 minima a pair of similarity 0.75 shares no bucket with probability 5e-6.
+bucket that lie in different components are compared with each other, in blocks, which finds all links between
+components that share a bucket. With 32 bands of 4 minima a pair of similarity 0.75 shares no bucket with probability 5e-6.
 
 Defined cases: words are separated by ASCII white space, A-Z are lower-cased. Fewer than five words: the whole
 sequence is one shingle. No words or a null text: the empty set, linked with nothing. Rows that repeat a doc_id are
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm.common import stored, table
@@ -33,6 +33,8 @@ MINIMUM = (75, 100)
 #: Pairs whose signatures agree in fewer places are not confirmed on sets: 5.7 standard deviations below 0.75.
 LEAST_AGREEING = 68
 WORDS_KEPT = 1 << 19
+#: Hashes kept of each set to estimate similarities, and members of a bucket that are compared in one task.
+BOTTOM, BLOCK = 128, 1024
 SLICE = 256
 
 _random = np.random.default_rng(20240607)
@@ -89,24 +91,28 @@ def class_name(shingle_set: np.ndarray) -> int | None:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class, signature of each row of docs (doc_id, text)."""
+    """doc_id, n_shingles, class, signature, bottom of each row of docs (doc_id, text)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sizes, names, signatures = [], [], []
+            sizes, names, signatures, bottoms = [], [], [], []
             for text in batch.column(1):
                 own = shingles(text.as_py(), hashes)
                 sizes.append(len(own))
                 names.append(class_name(own))
                 signatures.append(signature(own).tobytes() if len(own) else None)
+                bottoms.append((own[:BOTTOM] >> np.uint64(32)).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(signatures, pa.binary())],
-                ["doc_id", "n_shingles", "class", "signature"],
+                [
+                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(signatures, pa.binary()),
+                    pa.array(bottoms, pa.binary()),
+                ],
+                ["doc_id", "n_shingles", "class", "signature", "bottom"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, class long, signature binary"
+        sketch, "doc_id long, n_shingles long, class long, signature binary, bottom binary"
     )
 
 
@@ -196,7 +202,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row of ``docs`` (doc_id, text)."""
     drawn = stored(sketches(docs))
     whole = drawn.where("class is not null and doc_id is not null")
-    classes = stored(whole.groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")))
+    of_class = [F.first(c).alias(c) for c in ("n_shingles", "signature", "bottom")]
+    classes = stored(whole.groupBy("class").agg(F.min("doc_id").alias("rep"), *of_class))
     dealt = buckets(classes)
     hubs = stored(dealt.groupBy("bucket").agg(F.min("class").alias("hub"), F.max("class").alias("last")).where("hub <> last"))
     full = stored(dealt.join(hubs.select("bucket", "hub"), "bucket"))
@@ -206,12 +213,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     grouped = stored(
         full.join(groups, full["class"] == groups["node"], "left").select("bucket", "class", F.coalesce("component", "class").alias("component"))
     )
-    split = grouped.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    rest = stored(grouped.join(stored(split), "bucket").join(classes.select("class", "signature"), "class"))
-    left = rest.select("bucket", F.col("class").alias("a"), F.col("component").alias("x"), F.col("signature").alias("signature_a"))
-    right = rest.select("bucket", F.col("class").alias("b"), F.col("component").alias("y"), F.col("signature").alias("signature_b"))
-    apart = left.join(right, "bucket").where((F.col("x") < F.col("y")) & (agreement("signature_a", "signature_b") >= LEAST_AGREEING))
-    more = stored(confirmed(apart.select("a", "b").distinct(), classes, docs))
+    split = grouped.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"))
+    rest = grouped.join(stored(split.where("x <> y").select("bucket", "members")), "bucket")
+    rest = stored(rest.join(classes.select("class", "n_shingles", "signature", "bottom"), "class"))
+    more = stored(confirmed(apart(rest).distinct(), classes, docs))
     if not more.isEmpty():
         groups = stored(components(links.union(more)))
     ends = classes.join(groups, classes["class"] == groups["node"], "left").select("class", "rep", F.coalesce("component", "class").alias("component"))
@@ -228,11 +233,106 @@ def same_name(whole: DataFrame) -> DataFrame:
     return whole.join(several, "doc_id").select("a", F.col("class").alias("b")).where("a <> b").distinct()
 
 
-def agreement(a: str, b: str) -> Column:
-    """In how many places two signatures agree, inside a join condition: no row is made for a pair that doesn't."""
-    places = F.sequence(F.lit(1), F.lit(4 * BANDS * ROWS), F.lit(4))
-    same = F.filter(places, lambda k: F.substring(F.col(a), k, F.lit(4)) == F.substring(F.col(b), k, F.lit(4)))
-    return F.size(same)
+def apart(rest: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one bucket but different components that may be linked.
+
+    The members of a bucket are dealt into blocks, and each pair of blocks is compared in one task as matrices, so that
+    a bucket of any size is split and only what may be a link is returned. A pair is looked at in the first band that it
+    shares. Its similarity is estimated from the smallest hashes of both sets; a pair that is surely linked is returned
+    only if it joins what nothing returned from these blocks has joined yet.
+    """
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("class"), blocks).cast("int")
+    dealt = rest.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
+    keys = [F.col("bucket"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
+    dealt = dealt.select(*keys, "own", "class", "component", "n_shingles", "signature", "bottom")
+    dealt = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, 3):
+            found = between(rows)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
+
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The rows of sorted batches by their first ``keys`` columns."""
+    open_rows: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        columns = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)], 1)
+        cuts = [0, *(np.flatnonzero((columns[1:] != columns[:-1]).any(1)) + 1).tolist(), batch.num_rows]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            if low == high:
+                continue
+            key = tuple(columns[low].tolist())
+            if open_rows and key != last:
+                yield pa.Table.from_batches(open_rows)
+                open_rows = []
+            last = key
+            open_rows.append(batch.slice(low, high - low))
+    if open_rows:
+        yield pa.Table.from_batches(open_rows)
+
+
+def between(rows: pa.Table) -> list[tuple[int, int]]:
+    """The pairs of two blocks of a bucket, or of one block, that may be links between components."""
+    i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+    bucket, own = rows.column("bucket")[0].as_py(), rows.column("own").to_numpy()
+    names, component = rows.column("class").to_numpy(), rows.column("component").to_numpy()
+    sizes, bottoms = rows.column("n_shingles").to_numpy(), [np.frombuffer(b.as_py(), np.uint32) for b in rows.column("bottom")]
+    signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(len(own), BANDS * ROWS)
+    keys = np.stack([bands(s) for s in signatures])
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    sure, open_pairs = [], []
+    for x in left:
+        y = right[right > x] if i == j else right
+        y = y[component[y] != component[x]]
+        if not len(y):
+            continue
+        y = y[(signatures[y] == signatures[x]).sum(1) >= LEAST_AGREEING]
+        shared = keys[y] == keys[x]
+        y = y[keys[x][shared.argmax(1)] == bucket] if len(y) else y
+        for other in y.tolist():
+            low, high = likely(bottoms[x], bottoms[other], int(sizes[x]), int(sizes[other]))
+            if low >= 0.75:
+                sure.append((int(x), other))
+            elif high >= 0.75:
+                open_pairs.append((int(x), other))
+    top: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while top.get(c, c) != c:
+            c = top[c]
+        return c
+
+    out = []
+    for x, y in sure:
+        a, b = root(int(component[x])), root(int(component[y]))
+        if a != b:
+            top[max(a, b)] = min(a, b)
+            out.append((int(names[x]), int(names[y])))
+    out += [(int(names[x]), int(names[y])) for x, y in open_pairs if root(int(component[x])) != root(int(component[y]))]
+    return out
+
+
+def likely(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> tuple[float, float]:
+    """A lower and an upper limit of the similarity of two sets from their BOTTOM smallest hashes, six and five standard
+    deviations from the estimate. Sets that are no larger are known whole."""
+    ends = [x[-1] for x, n in ((a, size_a), (b, size_b)) if n > BOTTOM]
+    if ends:
+        a, b = a[: np.searchsorted(a, min(ends), "right")], b[: np.searchsorted(b, min(ends), "right")]
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    seen = len(a) + len(b) - common
+    share = common / max(seen, 1)
+    if not ends:
+        return share, share
+    # The hashes seen are drawn without replacement from the union.
+    union = max((size_a + size_b) / (1 + share), seen)
+    deviation = np.sqrt(0.1875 / seen * (1 - seen / union)) + 0.002
+    return share - 6 * deviation, share + 5 * deviation
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
