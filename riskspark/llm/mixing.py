@@ -99,8 +99,11 @@ def scorer(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int =
         return lambda d: d.withColumn("tokens", F.size(words_of(F.coalesce("text", F.lit("")))).cast("long")).withColumn("posterior", F.array(*even))
     domain = reduce(lambda c, k: c.when(F.col("domain") == seen[k], float(k)), range(1, len(seen)), F.when(F.col("domain") == seen[0], 0.0))
     points = VectorAssembler(inputCols=inputs, outputCol="point").transform(features(rows, lexicon).withColumn("class", domain))
-    model = LogisticRegression(featuresCol="point", labelCol="class", family="multinomial", regParam=1e-3, maxIter=60).fit(stored(points.select("point", "class")))
+    model = LogisticRegression(featuresCol="point", labelCol="class", family="multinomial", regParam=1e-4, maxIter=100).fit(stored(points.select("point", "class")))
     weights, offsets = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    # The sample has other shares of the domains than the labelled table has; the posterior must have the latter's.
+    taken, there = ({r["domain"]: r["n"] for r in d.groupBy("domain").agg(F.count("*").alias("n")).collect()} for d in (rows, labelled))
+    offsets = offsets + np.array([np.log(there[n] / taken[n]) for n in seen])
     logits = [sum((F.col(c) * float(w) for c, w in zip(inputs, weights[k], strict=True)), F.lit(float(offsets[k]))) for k in range(len(seen))]
     powers = [F.exp(F.col("logits")[k] - F.col("top")) for k in range(len(seen))]
     total = sum((F.col("powers")[k] for k in range(1, len(seen))), F.col("powers")[0])
