@@ -76,6 +76,8 @@ def typical_words(rows: DataFrame, words: int = 40, least: int = 3, times: float
     counts = found.groupBy("domain", "word").agg(F.count("*").alias("n"))
     sizes = rows.groupBy("domain").agg(F.count("*").alias("size"))
     names = sorted(r["domain"] for r in sizes.collect())
+    if not names:
+        return {}
     wide = counts.join(F.broadcast(sizes), "domain").withColumn("share", F.col("n") / F.col("size"))
     of = lambda d, c: F.coalesce(F.max(F.when(F.col("domain") == d, F.col(c))), F.lit(0)).cast("double")
     both = stored(wide.groupBy("word").agg(*(of(d, c).alias(f"{c}{k}") for k, d in enumerate(names) for c in ("share", "n"))))

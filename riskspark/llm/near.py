@@ -176,6 +176,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """node, component: the smallest node that each node of ``edges`` (a, b) reaches, by alternating large and small stars.
+    A smallest node itself has no row.
 
     Every half round is one minimum per node and one join on the node. Minima are stored first, so that the join is one
     of two tables dealt by key, whose large partitions adaptive execution can split.
