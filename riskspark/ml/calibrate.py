@@ -68,11 +68,10 @@ def fit_platt(df: DataFrame, score: str, label: str = "y") -> Platt:
     return Platt(float(model.coefficients[0]), float(model.intercept))
 
 
-def fit_isotonic(df: DataFrame, score: str, label: str = "y", digits: int = 4) -> Isotonic:
-    """Equal scores to ``digits`` places are pooled before fitting, which bounds the fitted points at
-    10**digits however many rows there are."""
+def fit_isotonic(df: DataFrame, score: str, label: str = "y") -> Isotonic:
+    """Equal scores are pooled before fitting."""
     cells = (
-        df.groupBy(F.round(score, digits).alias("features"))
+        df.groupBy(F.col(score).cast("double").alias("features"))
         .agg(F.avg(F.col(label).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
         .filter(F.col("features").isNotNull())
     )

@@ -1,20 +1,12 @@
 """Per-card time-range velocity: count, sum and sample std of amounts in ``[t - w, t)``.
 
-Two exact methods, chosen per card:
-
-``window``
-    Sliding frames: one shuffle by card, one sort, one Window operator for all windows. Work grows
-    with rows times rows per window, so it serves cards with a bounded number of rows per window.
-``grains``
-    For hot cards. Time is cut into grains that divide every window, so a window is a suffix of one
-    grain, some whole grains, and a prefix of the row's own grain. Prefix and suffix are running
-    aggregates inside (card, grain), linear in the rows; whole grains come from a pre-aggregated
-    (card, grain) table. Work is keyed by (card, grain), so a card with a large share of all rows
-    spreads over as many tasks as it has grains, and no row is compared with another one. A row
-    travels once with its payload and once per window as a narrow context record.
-
-``auto`` counts rows per card and largest window (map-side combined, reading two columns) and sends
-only the cards above ``hot_rows`` to the second method.
+Time is cut into grains that divide every window, so a window is a suffix of one grain, some whole
+grains, and a prefix of the row's own grain. Prefix and suffix are running aggregates inside
+(card, grain), linear in the rows; whole grains come from a pre-aggregated (card, grain) table. Work is
+keyed by (card, grain), so a card with a large share of all rows spreads over as many tasks as it has
+grains, and no row is compared with another one. A row travels once with its payload and once per window
+as a narrow context record. Rows without card or time have no history; they are split off before any
+shuffle and get zeros where they are.
 """
 
 from __future__ import annotations
@@ -27,8 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskspark.session import stored
-
 MICROS = 1_000_000
 
 
@@ -38,85 +28,33 @@ def velocity(
     card: str = "card1",
     time: str = "event_time",
     amount: str = "TransactionAmt",
-    method: str = "auto",
     grain_seconds: int | None = None,
     count_null_amounts: bool = False,
     history: DataFrame | None = None,
-    hot_rows: int = 20_000,
 ) -> DataFrame:
     """Adds ``velocity_{count,sum,std}_{w}h`` for every window.
 
     ``history`` adds earlier rows (card, time, amount) to the windows without emitting them.
     Rows without card or time get zeros. ``count_null_amounts`` counts rows instead of amounts.
+    ``grain_seconds`` is the greatest common divisor of the windows unless it is given.
     """
+    windows = [h * 3600 for h in hours]
+    grain = grain_seconds or reduce(gcd, windows)
+    if any(w % grain for w in windows):
+        raise ValueError("the grain must divide every window")
+    placed = F.col(card).isNotNull() & F.col(time).isNotNull()
     if history is not None:
-        history = history.select(card, time, amount)
-    sliding = (hours, card, time, amount, count_null_amounts)
-    linear = (hours, card, time, amount, grain_seconds, count_null_amounts)
-    if method == "window":
-        return _sliding(df, *sliding, history)
-    if method == "grains":
-        return _grains(df, *linear, history)
-    hot = hot_cards(df if history is None else df.select(card, time, amount).unionByName(history),
-                    max(hours) * 3600, card, time, hot_rows)
-    if hot.isEmpty():
-        return _sliding(df, *sliding, history)
-    # Cut here so that both branches see the same list even after a lost executor.
-    hot = stored(hot)
-
-    def split(rows: DataFrame | None, how: str) -> DataFrame | None:
-        return None if rows is None else rows.join(hot, card, how).select(*rows.columns)
-
-    cold_part = _sliding(split(df, "left_anti"), *sliding, split(history, "left_anti"))
-    return cold_part.unionByName(_grains(split(df, "left_semi"), *linear, split(history, "left_semi")))
-
-
-def hot_cards(df: DataFrame, seconds: int, card: str, time: str, hot_rows: int) -> DataFrame:
-    """Cards with more than ``hot_rows`` rows in some aligned span of the given length."""
-    span = F.floor(F.unix_micros(F.col(time)) / (seconds * MICROS))
-    return (
-        df.filter(F.col(card).isNotNull())
-        .groupBy(card, span.alias("_span"))
-        .count()
-        .filter(F.col("count") > hot_rows)
-        .select(card)
-        .distinct()
-    )
-
-
-def _zero_filled(df: DataFrame, keep: list[Column], stats: dict[str, Column], present: Column) -> DataFrame:
-    return df.select(
-        *keep,
-        *[F.when(present, F.coalesce(c, _zero(n))).otherwise(_zero(n)).alias(n) for n, c in stats.items()],
-    )
+        history = history.filter(placed).select(card, time, amount)
+    done = _grains(df.filter(placed), hours, windows, card, time, amount, grain, count_null_amounts, history)
+    names = [f"velocity_{stat}_{h}h" for h in hours for stat in ("count", "sum", "std")]
+    return done.unionByName(df.filter(~placed).select("*", *[_zero(n).alias(n) for n in names]))
 
 
 def _zero(name: str) -> Column:
     return F.lit(0).cast("bigint") if "_count_" in name else F.lit(0.0)
 
 
-def _sliding(df, hours, card, time, amount, count_null_amounts, history) -> DataFrame:
-    rows = df.withColumn("_target", F.lit(True))
-    if history is not None:
-        rows = rows.unionByName(history.withColumn("_target", F.lit(False)), allowMissingColumns=True)
-    rows = rows.withColumn("_us", F.unix_micros(F.col(time)))
-    present = F.col(card).isNotNull() & F.col("_us").isNotNull()
-    base = W.partitionBy(card).orderBy("_us")
-    stats = {}
-    for h in hours:
-        w = base.rangeBetween(-h * 3600 * MICROS, -1)
-        stats[f"velocity_count_{h}h"] = F.count(F.lit(1) if count_null_amounts else F.col(amount)).over(w)
-        stats[f"velocity_sum_{h}h"] = F.sum(amount).over(w)
-        stats[f"velocity_std_{h}h"] = F.stddev_samp(amount).over(w)
-    out = _zero_filled(rows, [F.col(c) for c in df.columns] + [F.col("_target")], stats, present)
-    return out.filter("_target").drop("_target")
-
-
-def _grains(df, hours, card, time, amount, grain_seconds, count_null_amounts, history) -> DataFrame:
-    windows = [h * 3600 for h in hours]
-    grain = grain_seconds or reduce(gcd, windows)
-    if any(w % grain for w in windows):
-        raise ValueError("the grain must divide every window")
+def _grains(df, hours, windows, card, time, amount, grain, count_null_amounts, history) -> DataFrame:
     grain_us = grain * MICROS
 
     payload = F.struct(*[F.col(c) for c in df.columns])
@@ -126,10 +64,9 @@ def _grains(df, hours, card, time, amount, grain_seconds, count_null_amounts, hi
         rows = rows.unionByName(history.select(*narrow), allowMissingColumns=True)
 
     # Shift 0 is the row itself, shift w the record that leaves the w-window of later rows.
-    usable = F.col("_card").isNotNull() & F.col("_us").isNotNull()
+    shifts = F.array(*[F.lit(w) for w in [0, *windows]])
     if not count_null_amounts:
-        usable = usable & F.col("_amt").isNotNull()
-    shifts = F.when(usable, F.array(*[F.lit(w) for w in [0, *windows]])).otherwise(F.array(F.lit(0)))
+        shifts = F.when(F.col("_amt").isNotNull(), shifts).otherwise(F.array(F.lit(0)))
     at = F.col("_us") + F.col("_shift").cast("bigint") * MICROS
     records = rows.withColumn("_shift", F.explode(shifts)).select(
         "_card",
@@ -167,9 +104,8 @@ def _grains(df, hours, card, time, amount, grain_seconds, count_null_amounts, hi
         stats[f"velocity_count_{h}h"] = rows_in.cast("bigint")
         stats[f"velocity_sum_{h}h"] = total
         stats[f"velocity_std_{h}h"] = F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)))
-    present = F.col("_card").isNotNull() & F.col("_row")[time].isNotNull()
     keep = [F.col("_row")[c].alias(c) for c in df.columns]
-    return _zero_filled(joined, keep, stats, present)
+    return joined.select(*keep, *[F.coalesce(c, _zero(n)).alias(n) for n, c in stats.items()])
 
 
 def _moments(prefix: str, shift: int, window, count_null_amounts: bool) -> dict[str, Column]:
@@ -203,15 +139,11 @@ def _whole_grains(rows, windows, grain, grain_us, count_null_amounts) -> DataFra
     wide = [w for w in windows if w > grain]
     if not wide:
         return None
-    cells = (
-        rows.filter(F.col("_card").isNotNull() & F.col("_us").isNotNull())
-        .groupBy("_card", F.floor(F.col("_us") / grain_us).alias("_grain"))
-        .agg(
-            F.count(F.lit(1) if count_null_amounts else F.col("_amt")).alias("c"),
-            F.count("_amt").cast("double").alias("n"),
-            F.sum("_amt").alias("s"),
-            F.var_pop("_amt").alias("v"),
-        )
+    cells = rows.groupBy("_card", F.floor(F.col("_us") / grain_us).alias("_grain")).agg(
+        F.count(F.lit(1) if count_null_amounts else F.col("_amt")).alias("c"),
+        F.count("_amt").cast("double").alias("n"),
+        F.sum("_amt").alias("s"),
+        F.var_pop("_amt").alias("v"),
     )
     # Grain means are taken relative to the card's mean grain, which keeps the sum of squares small.
     card_all = W.partitionBy("_card")

@@ -258,7 +258,7 @@ def identity_join_rate(spark: SparkSession, sf: str) -> DataFrame:
 # -- velocity ----------------------------------------------------------------------------------
 
 
-def _velocity_query(name: str, view: str, cte: str, hours: list[int], digits: int, **kwargs) -> None:
+def _velocity_query(name: str, view: str, cte: str, hours: list[int], digits: int) -> None:
     sql = (
         f"with {cte} select TransactionID, {velocity_columns(hours, digits)} from {view} {velocity_windows(hours)}"
     )
@@ -266,7 +266,7 @@ def _velocity_query(name: str, view: str, cte: str, hours: list[int], digits: in
     @register(name, sql)
     def query(spark: SparkSession, sf: str) -> DataFrame:
         df = getattr(views, view)(spark, sf).select("TransactionID", "card1", "event_time", "TransactionAmt")
-        out = velocity(df, hours, **kwargs).drop("card1", "event_time", "TransactionAmt")
+        out = velocity(df, hours).drop("card1", "event_time", "TransactionAmt")
         doubles = {f"velocity_{s}_{h}h": digits for h in hours for s in ("sum", "std")}
         return round_columns(out, **doubles)
 
@@ -274,7 +274,7 @@ def _velocity_query(name: str, view: str, cte: str, hours: list[int], digits: in
 for _h in (1, 6, 24):
     _velocity_query(f"velocity_{_h}h", "tx_events", TX_EVENTS, [_h], 4)
 _velocity_query("velocity_orders", "tx_orders", TX_ORDERS, [24, 168, 720], 2)
-_velocity_query("velocity_hot_cards", "tx_events", TX_EVENTS, [1, 6, 24], 4, method="grains")
+_velocity_query("velocity_hot_cards", "tx_events", TX_EVENTS, [1, 6, 24], 4)
 
 
 # The row-wise definition of the same windows: the oracle really is a range self-join that counts rows.

@@ -27,7 +27,6 @@ def build_features(
     card_stats: DataFrame | None = None,
     hours: Sequence[int] = (1, 6, 24),
     history: DataFrame | None = None,
-    method: str = "auto",
 ) -> DataFrame:
     """All features with nulls filled by 0.
 
@@ -39,7 +38,7 @@ def build_features(
         df = df.withColumn("event_time", tx.event_time(F.col("TransactionDT")))
     stats = profiles.card_stats(df) if card_stats is None else card_stats
     done = {f"velocity_{stat}_{h}h" for h in hours for stat in ("count", "sum", "std")} <= set(df.columns)
-    out = df if done else velocity(df, hours, history=history, method=method)
+    out = df if done else velocity(df, hours, history=history)
     out = out.withColumns(row_features(df.columns))
     out = profiles.add_card_aggregates(out, stats)
     if risk_profile is None:

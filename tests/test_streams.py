@@ -58,12 +58,11 @@ def velocity_rows(df):
     return {r.TransactionID: tuple(round(r[n], 4) for n in names) for r in df.collect()}
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_rows": 5}])
-def test_stream_velocity_equals_batch_under_disorder(spark, events, tmp_path, options):
+def test_stream_velocity_equals_batch_under_disorder(spark, events, tmp_path):
     small = events.select(*COLUMNS)
     folder = files_of(small, tmp_path / "in", 5, jitter_seconds=7200)
     base = str(tmp_path / "state")
-    process = VelocityStream(base, late_seconds=3 * 3600, **options).process
+    process = VelocityStream(base, late_seconds=3 * 3600).process
     run.run_batches(stream_of(spark, small, folder), base, process)
     got = velocity_rows(run.all_batches(spark, base, "velocity"))
     newest = small.agg(F.max("event_time")).first()[0]

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskspark.operators.velocity import hot_cards, velocity
+from riskspark.operators.velocity import velocity
 
 SCHEMA = "TransactionID long, card1 long, t long, TransactionAmt double"
 
@@ -37,22 +37,20 @@ def check(df, want, hours):
             assert r[f"velocity_std_{h}h"] == pytest.approx(d, abs=1e-5)
 
 
-@pytest.mark.parametrize("method", ["window", "grains", "auto"])
-def test_bounds_ties_and_nulls(spark, method):
+def test_bounds_ties_and_nulls(spark):
     times = [0, 100, 100, 100, 3600, 3700, 3701]
     amounts = [1.0, 2.0, 4.0, 8.0, 16.0, None, 64.0]
     rows = [(i, 1, t, a) for i, (t, a) in enumerate(zip(times, amounts))]
-    got = {r.TransactionID: r for r in velocity(frame(spark, rows), [1], method=method).collect()}
+    got = {r.TransactionID: r for r in velocity(frame(spark, rows), [1]).collect()}
     assert [got[i].velocity_count_1h for i in range(7)] == [0, 1, 1, 1, 4, 4, 1]
     assert [got[i].velocity_sum_1h for i in range(7)] == [0, 1, 1, 1, 15, 30, 16]
     stds = [0, 0, 0, 0, 3.095696, 6.191392, 0]
     assert [got[i].velocity_std_1h for i in range(7)] == pytest.approx(stds, abs=1e-5)
 
 
-@pytest.mark.parametrize("method", ["window", "grains"])
-def test_missing_card_or_time_gives_zero(spark, method):
+def test_missing_card_or_time_gives_zero(spark):
     rows = [(1, None, 0, 5.0), (2, None, 10, 5.0), (3, 1, None, 5.0), (4, 1, 10, 5.0), (5, 1, 20, 5.0)]
-    got = {r.TransactionID: r.velocity_count_1h for r in velocity(frame(spark, rows), [1], method=method).collect()}
+    got = {r.TransactionID: r.velocity_count_1h for r in velocity(frame(spark, rows), [1]).collect()}
     assert got == {1: 0, 2: 0, 3: 0, 4: 0, 5: 1}
 
 
@@ -67,12 +65,7 @@ def random_rows(seed, n=600):
     return rows
 
 
-@pytest.mark.parametrize("kwargs", [
-    {"method": "window"},
-    {"method": "grains"},
-    {"method": "grains", "grain_seconds": 600},
-    {"method": "auto", "hot_rows": 30},
-])
+@pytest.mark.parametrize("kwargs", [{}, {"grain_seconds": 600}])
 def test_equals_brute_force(spark, kwargs):
     rows, hours = random_rows(7), [1, 6, 24]
     check(velocity(frame(spark, rows), hours, **kwargs), brute(rows, hours), hours)
@@ -90,49 +83,53 @@ def test_equals_pandas_rolling(spark):
     rolled = pdf.set_index("dt").groupby("card1")["a"]
     pdf["n"] = rolled.transform(lambda x: x.rolling("6h", closed="left").count()).to_numpy()
     want = dict(zip(pdf["TransactionID"], pdf["n"].fillna(0)))
-    got = {r.TransactionID: r.velocity_count_6h for r in velocity(frame(spark, unique), [6], method="grains").collect()}
+    got = {r.TransactionID: r.velocity_count_6h for r in velocity(frame(spark, unique), [6]).collect()}
     assert got == want
 
 
-def test_hot_cards_are_found_and_split(spark):
+def test_hot_and_missing_cards_are_spread(spark):
+    # A third of the rows has no card, a third has one card.
+    rows = [(i, [None, 0, 1 + i % 40][i % 3], i * 60, 1.0) for i in range(3000)]
+    df = frame(spark, rows).repartition(8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = velocity(df).withColumn("task", F.spark_partition_id()).select("card1", "task").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(out) == len(rows)
+    for card in (None, 0):
+        tasks = [r.task for r in out if r.card1 == card]
+        assert len(set(tasks)) >= 4
+        assert max(tasks.count(t) for t in set(tasks)) <= len(tasks) / 2
+
+
+def test_rows_without_card_bypass_the_shuffle(spark):
     df = frame(spark, random_rows(9))
-    assert [r.card1 for r in hot_cards(df, 86400, "card1", "event_time", 30).collect()] == [0]
-    out = velocity(df, hot_rows=30)
-    assert out.count() == df.count()
-    assert out.select("TransactionID").distinct().count() == df.count()
+    plan = velocity(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lstrip().startswith("Union")
 
 
-@pytest.mark.parametrize("kwargs", [{"method": "window"}, {"method": "grains"}, {"hot_rows": 20}])
-def test_history_counts_but_is_not_emitted(spark, kwargs):
+def test_history_counts_but_is_not_emitted(spark):
     rows = random_rows(10)
     cut = 2 * 86400
     old, new = [r for r in rows if r[2] < cut], [r for r in rows if r[2] >= cut]
-    got = velocity(frame(spark, new), [24], history=frame(spark, old), **kwargs)
+    got = velocity(frame(spark, new), [24], history=frame(spark, old))
     assert got.count() == len(new)
     check(got, brute(rows, [24]), [24])
 
 
 def test_row_counting_variant(spark):
     rows = [(1, 1, 0, None), (2, 1, 10, 5.0), (3, 1, 20, 5.0)]
-    for method in ("window", "grains"):
-        out = velocity(frame(spark, rows), [1], method=method, count_null_amounts=True)
-        assert {r.TransactionID: r.velocity_count_1h for r in out.collect()} == {1: 0, 2: 1, 3: 2}
+    out = velocity(frame(spark, rows), [1], count_null_amounts=True)
+    assert {r.TransactionID: r.velocity_count_1h for r in out.collect()} == {1: 0, 2: 1, 3: 2}
 
 
 def test_equal_amounts_have_no_spread(spark):
     rows = [(i, 1, i * 60, 1e6 + 0.01) for i in range(200)]
-    for method in ("window", "grains"):
-        out = velocity(frame(spark, rows), [1, 6], method=method, grain_seconds=None)
-        assert max(abs(r.velocity_std_6h) for r in out.collect()) < 1e-4
+    out = velocity(frame(spark, rows), [1, 6])
+    assert max(abs(r.velocity_std_6h) for r in out.collect()) < 1e-4
 
 
 def test_grain_must_divide_the_windows(spark):
     with pytest.raises(ValueError):
-        velocity(frame(spark, [(1, 1, 0, 1.0)]), [1], method="grains", grain_seconds=7)
-
-
-def test_all_windows_share_one_shuffle_and_sort(spark):
-    plan = velocity(frame(spark, random_rows(1, 20)), method="window")._jdf.queryExecution().sparkPlan().toString()
-    full = velocity(frame(spark, random_rows(1, 20)), method="window")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Window [") == 1
-    assert full.count("Exchange ") == 1
+        velocity(frame(spark, [(1, 1, 0, 1.0)]), [1], grain_seconds=7)
