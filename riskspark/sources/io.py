@@ -53,9 +53,9 @@ def write_metrics(df: DataFrame, path: str) -> None:
 
 
 def to_json_records(df: DataFrame, key: str = "TransactionID", max_records: int | None = None) -> DataFrame:
-    """Rows as (key, value) messages, at most ``max_records`` of them when that is given. NaN becomes
+    """Rows as (key, value) messages, the first ``max_records`` by key when that is given. NaN becomes
     null and null fields stay in the JSON."""
-    df = df if max_records is None else df.limit(max_records)
+    df = df if max_records is None else df.orderBy(key, *[c for c in df.columns if c != key]).limit(max_records)
     floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     fields = [
         (F.when(~F.isnan(c), F.col(c)) if c in floating else F.col(c)).alias(c) for c in df.columns
