@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from riskspark.llm.common import stored, table
 
 SHAPES = ["log_words", "digits", "capitals", "symbols", "distinct", "word_length"]
+#: Ranges of hashes by which labelled ids are counted: 2**SLICE_BITS rows a domain.
+SLICE_BITS = 10
 #: Target weights of the registered query and the pipeline.
 TARGETS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 
@@ -63,9 +65,14 @@ def features(docs: DataFrame, lexicon: dict[str, list[str]]) -> DataFrame:
 
 def labelled_sample(docs: DataFrame, labelled: DataFrame, sample: int) -> DataFrame:
     """doc_id, text, domain of at most ``sample`` documents of each domain. Ids are chosen first and are few enough to be
-    sent to the texts."""
+    sent to the texts. Hashes are cut into 2**SLICE_BITS ranges; those that hold a domain's first ids are known from counts, and
+    only their ids are put in order."""
+    ids = labelled.dropDuplicates(["doc_id"]).withColumn("slice", F.shiftright(F.xxhash64("doc_id"), 64 - SLICE_BITS))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("domain").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    first = ids.groupBy("domain", "slice").agg(F.count("*").alias("n")).withColumn("before", before).where(F.col("before") < sample)
     place = F.row_number().over(W.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = labelled.dropDuplicates(["doc_id"]).withColumn("place", place).where(F.col("place") <= sample).select("doc_id", "domain")
+    near = ids.join(F.broadcast(first.select("domain", "slice")), ["domain", "slice"])
+    chosen = near.withColumn("place", place).where(F.col("place") <= sample).select("doc_id", "domain")
     return stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]))
 
 
