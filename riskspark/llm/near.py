@@ -33,8 +33,9 @@ MINIMUM = (75, 100)
 #: Pairs whose signatures agree in fewer places are not confirmed on sets: 5.7 standard deviations below 0.75.
 LEAST_AGREEING = 68
 WORDS_KEPT = 1 << 19
-#: Hashes kept of each set to estimate similarities, and members of a bucket that are compared in one task.
-BOTTOM, BLOCK = 128, 1024
+#: Hashes of a set that are compared inside buckets, and members of a bucket that are compared in one task. Sets that
+#: are no larger are compared whole.
+BOTTOM, BLOCK = 1024, 1024
 SLICE = 256
 
 _random = np.random.default_rng(20240607)
@@ -91,28 +92,24 @@ def class_name(shingle_set: np.ndarray) -> int | None:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class, signature, bottom of each row of docs (doc_id, text)."""
+    """doc_id, n_shingles, class, signature of each row of docs (doc_id, text)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sizes, names, signatures, bottoms = [], [], [], []
+            sizes, names, signatures = [], [], []
             for text in batch.column(1):
                 own = shingles(text.as_py(), hashes)
                 sizes.append(len(own))
                 names.append(class_name(own))
                 signatures.append(signature(own).tobytes() if len(own) else None)
-                bottoms.append((own[:BOTTOM] >> np.uint64(32)).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(signatures, pa.binary()),
-                    pa.array(bottoms, pa.binary()),
-                ],
-                ["doc_id", "n_shingles", "class", "signature", "bottom"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(signatures, pa.binary())],
+                ["doc_id", "n_shingles", "class", "signature"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, class long, signature binary, bottom binary"
+        sketch, "doc_id long, n_shingles long, class long, signature binary"
     )
 
 
@@ -147,19 +144,7 @@ def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs of classes (a, b) whose full shingle sets are similar enough. Only texts of classes in pairs are moved."""
     named = stored(pairs)
-    members = named.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    chosen = classes.join(members, "class", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).join(chosen, "doc_id", "left_semi")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            own = [shingles(t.as_py(), hashes) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([class_name(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], ["class", "own"]
-            )
-
-    own = stored(texts.mapInArrow(sets, "class long, own binary"))
+    own = stored(sets_of(named.select(F.explode(F.array("a", "b")).alias("class")).distinct(), classes, docs))
     both = named.join(own.toDF("a", "set_a"), "a").join(own.toDF("b", "set_b"), "b").select("a", "b", "set_a", "set_b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,6 +159,23 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return both.mapInArrow(compare, "a long, b long").distinct()
 
 
+def sets_of(members: DataFrame, classes: DataFrame, docs: DataFrame, most: int | None = None) -> DataFrame:
+    """class, own: the smallest ``most`` hashes, or all, of the shingle sets of the classes in ``members`` (class). Only
+    their texts are moved."""
+    chosen = classes.join(members, "class", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).join(chosen, "doc_id", "left_semi")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            own = [shingles(t.as_py(), hashes) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([class_name(x) for x in own], pa.int64()), pa.array([x[:most].tobytes() for x in own], pa.binary())], ["class", "own"]
+            )
+
+    return texts.mapInArrow(sets, "class long, own binary")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """node, component: the smallest node that each node of ``edges`` (a, b) reaches, by alternating large and small stars.
     A smallest node itself has no row.
@@ -203,7 +205,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row of ``docs`` (doc_id, text)."""
     drawn = stored(sketches(docs))
     whole = drawn.where("class is not null and doc_id is not null")
-    of_class = [F.first(c).alias(c) for c in ("n_shingles", "signature", "bottom")]
+    of_class = [F.first(c).alias(c) for c in ("n_shingles", "signature")]
     classes = stored(whole.groupBy("class").agg(F.min("doc_id").alias("rep"), *of_class))
     dealt = buckets(classes)
     hubs = stored(dealt.groupBy("bucket").agg(F.min("class").alias("hub"), F.max("class").alias("last")).where("hub <> last"))
@@ -216,7 +218,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     split = grouped.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"))
     rest = grouped.join(stored(split.where("x <> y").select("bucket", "members")), "bucket")
-    rest = stored(rest.join(classes.select("class", "n_shingles", "signature", "bottom"), "class"))
+    bottoms = stored(sets_of(rest.select("class").distinct(), classes, docs, BOTTOM).dropDuplicates(["class"]).toDF("class", "bottom"))
+    rest = rest.join(classes.select("class", "n_shingles", "signature"), "class").join(bottoms, "class")
     more = stored(confirmed(apart(rest).distinct(), classes, docs))
     if not more.isEmpty():
         groups = stored(components(links.union(more)))
@@ -239,8 +242,8 @@ def apart(rest: DataFrame) -> DataFrame:
 
     The members of a bucket are dealt into blocks, and each pair of blocks is compared in one task as matrices, so that
     a bucket of any size is split and only what may be a link is returned. A pair is looked at in the first band that it
-    shares. Its similarity is estimated from the smallest hashes of both sets; a pair that is surely linked is returned
-    only if it joins what nothing returned from these blocks has joined yet.
+    shares. Its similarity is computed from both sets, or estimated from the smallest hashes of sets larger than BOTTOM;
+    a pair that is surely linked is returned only if it joins what nothing returned from these blocks has joined yet.
     """
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("class"), blocks).cast("int")
@@ -283,7 +286,7 @@ def between(rows: pa.Table) -> list[tuple[int, int]]:
     i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
     bucket, own = rows.column("bucket")[0].as_py(), rows.column("own").to_numpy()
     names, component = rows.column("class").to_numpy(), rows.column("component").to_numpy()
-    sizes, bottoms = rows.column("n_shingles").to_numpy(), [np.frombuffer(b.as_py(), np.uint32) for b in rows.column("bottom")]
+    sizes, bottoms = rows.column("n_shingles").to_numpy(), [np.frombuffer(b.as_py(), np.uint64) for b in rows.column("bottom")]
     signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(len(own), BANDS * ROWS)
     keys = np.stack([bands(s) for s in signatures])
     left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
