@@ -104,6 +104,18 @@ def test_blocks_of_a_bucket_find_all_links(spark, monkeypatch):
     assert dict(zip(got.doc_id, got.component_id, strict=True)) == {k: root(k) for k in range(150)}
 
 
+@pytest.mark.parametrize("size", [40, near.BOTTOM, 3 * near.BOTTOM])
+@pytest.mark.parametrize("common", [0.5, 0.84, 0.858, 0.95])
+def test_similarity_inside_a_bucket(size, common):
+    hashes = np.random.default_rng(size).integers(1, 1 << 63, 2 * size, dtype=np.uint64)
+    shared = round(common * size)
+    a, b = np.sort(hashes[:size]), np.sort(hashes[size - shared : 2 * size - shared])
+    exact = shared / (2 * size - shared)
+    low, high = near.likely(a[: near.BOTTOM], b[: near.BOTTOM], size, size)
+    assert low <= exact <= high
+    assert (low == high) == (size <= near.BOTTOM)
+
+
 def test_components_of_long_chains(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 105)]
     got = near.components(spark.createDataFrame(edges, "a long, b long")).toPandas()
