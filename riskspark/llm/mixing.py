@@ -2,10 +2,11 @@
 
 A labelled table (doc_id, domain) trains a multinomial logistic classifier on shape features and on counts of words that
 are typical of a domain. It is fitted on at most ``sample`` labelled documents of each domain (a fixed hash order), which
-is the only thing that is sampled. Every document then has a posterior p over the domains and a number of tokens t, and
+is the only thing that is sampled. Labels count as far as their documents are in the input. Every document then has a posterior p over the domains and a number of tokens t, and
 nonnegative rates r are fitted so that the expected domain totals, the sums of r t p, come to the target totals:
 projected gradient on the weighted squared differences. A step needs one sum per domain
-over all documents and changes every row by itself. Rows aren't moved: the table of documents is never shuffled.
+over all documents and changes every row by itself. Rows aren't moved: of the documents nothing but the ids is
+shuffled, to see which labels count.
 
 Defined cases: a null text is empty and has no tokens; an empty table gives an empty result; without labelled documents
 every posterior is even; labels of documents that aren't there don't count; a domain that no document can belong to is
@@ -63,11 +64,17 @@ def features(docs: DataFrame, lexicon: dict[str, list[str]]) -> DataFrame:
     return out.withColumns(hits).fillna(0.0, SHAPES).drop("typical")
 
 
+def present(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """doc_id, domain of each labelled id that ``docs`` holds, once. Of the documents only ids move."""
+    ids = docs.select("doc_id").distinct()
+    return stored(labelled.dropDuplicates(["doc_id"]).join(ids, "doc_id", "left_semi").select("doc_id", "domain"))
+
+
 def labelled_sample(docs: DataFrame, labelled: DataFrame, sample: int) -> DataFrame:
-    """doc_id, text, domain of at most ``sample`` documents of each domain. Ids are chosen first and are few enough to be
+    """doc_id, text, domain of at most ``sample`` documents of each domain, of distinct labelled ids. Ids are chosen first and are few enough to be
     sent to the texts. Hashes are cut into 2**SLICE_BITS ranges; those that hold a domain's first ids are known from counts, and
     only their ids are put in order."""
-    ids = labelled.dropDuplicates(["doc_id"]).withColumn("slice", F.shiftright(F.xxhash64("doc_id"), 64 - SLICE_BITS))
+    ids = labelled.withColumn("slice", F.shiftright(F.xxhash64("doc_id"), 64 - SLICE_BITS))
     before = F.coalesce(F.sum("n").over(W.partitionBy("domain").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     first = ids.groupBy("domain", "slice").agg(F.count("*").alias("n")).withColumn("before", before).where(F.col("before") < sample)
     place = F.row_number().over(W.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id"))
@@ -99,7 +106,8 @@ def typical_words(rows: DataFrame, words: int = 40, least: int = 3, times: float
 def scorer(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = 3000) -> Callable[[DataFrame], DataFrame]:
     """A function that adds tokens and posterior, an array of probabilities in the order of ``names``, to any table with
     a column text. The classifier is fitted on labelled rows of ``docs``."""
-    rows = labelled_sample(docs, labelled.where(F.col("domain").isin(names)), sample)
+    labelled = present(docs, labelled.where(F.col("domain").isin(names)))
+    rows = labelled_sample(docs, labelled, sample)
     lexicon = typical_words(rows)
     seen = [n for n in names if n in lexicon]
     inputs = SHAPES + [f"hits_{n}" for n in lexicon]
@@ -110,7 +118,7 @@ def scorer(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int =
     points = VectorAssembler(inputCols=inputs, outputCol="point").transform(features(rows, lexicon).withColumn("class", domain))
     model = LogisticRegression(featuresCol="point", labelCol="class", family="multinomial", regParam=1e-4, maxIter=100).fit(stored(points.select("point", "class")))
     weights, offsets = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
-    # The sample has other shares of the domains than the labelled table has; the posterior must have the latter's.
+    # The sample has other shares of the domains than the labelled documents of the input; the posterior must have the latter's.
     taken, there = ({r["domain"]: r["n"] for r in d.groupBy("domain").agg(F.count("*").alias("n")).collect()} for d in (rows, labelled))
     offsets = offsets + np.array([np.log(there[n] / taken[n]) for n in seen])
     logits = [sum((F.col(c) * float(w) for c, w in zip(inputs, weights[k], strict=True)), F.lit(float(offsets[k]))) for k in range(len(seen))]

@@ -337,6 +337,49 @@ def test_mixing_meets_targets(docs, labels, rows):
     assert np.abs(totals.sum(0) - want).max() / got.tokens.sum() < 1e-4
 
 
+def parted(doc_id):
+    """A text of the domain poor for odd ids, else of good; a part of its words are the other domain's."""
+    rnd = random.Random(doc_id)
+    own, other = ("buy", "cheap") if doc_id % 2 else ("stone", "river"), ("buy", "river")
+    return " ".join(rnd.choice(own if rnd.random() < 0.5 else other) + rnd.choice(["", "", " x", " yz"]) for _ in range(rnd.randint(3, 8)))
+
+
+@pytest.mark.parametrize("sample", [3000, 40])
+def test_labels_of_removed_documents_do_not_count(spark, sample):
+    """An earlier stage removed nine tenths of poor: posteriors are those of a table that labels only what is left."""
+    known = pd.DataFrame([(k, "poor" if k % 2 else "good") for k in range(1000)], columns=["doc_id", "domain"])
+    left = known[(known.doc_id % 2 == 0) | (known.doc_id % 20 == 1)]
+    docs = spark.createDataFrame([(int(k), parted(int(k))) for k in left.doc_id], "doc_id long, text string")
+    got = mixing.scorer(docs, spark.createDataFrame(known), ["good", "poor"], sample)(docs).toPandas().set_index("doc_id")
+    want = mixing.scorer(docs, spark.createDataFrame(left), ["good", "poor"], sample)(docs).toPandas().set_index("doc_id")
+    assert np.abs(np.stack(got.posterior) - np.stack(want.posterior.loc[got.index])).max() < 1e-6
+    if sample == 3000:  # all are fitted on, and the mean posterior of a fit with offsets is the shares that are there
+        assert np.allclose(np.stack(got.posterior).mean(0), [500 / 550, 50 / 550], atol=0.005)
+
+
+def test_mixing_after_a_stage_that_removes_a_domain(spark, tmp_path):
+    """Near copies, most of poor, go in the stage before; the mixing stage then does what the labels of the rest say."""
+    rnd = random.Random(5)
+    base = [prose(rnd, "en", 60) + " buy cheap" for _ in range(4)]
+    texts = [(k, prose(rnd, "en", rnd.randint(40, 80)) + (" cheap" if k % 6 == 0 else "")) for k in range(60)] + [(100 + k, base[k % 4]) for k in range(80)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "x", "y") for i, t in texts], DOCS)
+    left = mixing.stored(corpus_pipeline.drop_near_copies(spark, docs, None))
+    there = {r["doc_id"] for r in left.select("doc_id").collect()}
+    assert len([i for i in there if i >= 100]) == 4
+    out = {}
+    for name, ids in (("all", {i for i, _ in texts}), ("left", there)):
+        known = spark.createDataFrame([(i, int(i < 100), 0) for i in sorted(ids)], "doc_id long, quality int, toxic int")
+        known.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        domains = mixing.domains_of(known)
+        out[name] = (
+            sorted(r["doc_id"] for r in corpus_pipeline.mix_domains(spark, left, f"{tmp_path}/{name}").collect()),
+            mixing.mix(left, domains, mixing.TARGETS).orderBy("doc_id").toPandas(),
+        )
+    assert out["all"][0] == out["left"][0]
+    assert np.abs(np.stack(out["all"][1].posterior) - np.stack(out["left"][1].posterior)).max() < 1e-6
+    assert np.abs(out["all"][1].rate - out["left"][1].rate).max() < 1e-4
+
+
 def test_mixing_without_labels(docs, labels, rows):
     got = mixing.mix(docs, mixing.domains_of(labels.limit(0)), {"a": 1.0, "b": 1.0}).toPandas()
     assert len(got) == len(rows) and set(got.posterior.map(tuple)) == {(0.5, 0.5)}
