@@ -15,6 +15,7 @@ left out of the fit; of rows that repeat a doc_id each has its rate and its draw
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from functools import reduce
 
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from riskspark.llm.common import stored, table
 
+log = logging.getLogger(__name__)
 SHAPES = ["log_words", "digits", "capitals", "symbols", "distinct", "word_length"]
 #: Ranges of hashes by which labelled ids are counted: 2**SLICE_BITS rows a domain.
 SLICE_BITS = 10
@@ -144,15 +146,23 @@ def rate_after(steps: list[np.ndarray]) -> Column:
 
 def goals(own: np.ndarray, targets: np.ndarray, budget: float | None) -> np.ndarray:
     """The domain totals to come to. Without a budget, the domain with the largest target is taken as it is, and a domain
-    that has less than its target then asks for is taken as it is too, so that nothing has to be repeated."""
+    that has less than its target then asks for is taken as it is too, so that no domain has to be repeated. The target
+    weights aren't met then; fit_rates says so (see missed)."""
     if budget is not None:
         return targets * budget
     main = int(targets.argmax())
     return np.minimum(targets * own[main] / targets[main], own) if own[main] > 0 else own
 
 
-def fit_rates(rows: DataFrame, targets: list[float], budget: float | None = None, rounds: int = 30, tolerance: float = 1e-5) -> list[np.ndarray]:
-    """The steps that bring the expected domain totals of ``rows`` (tokens, posterior) to the targets.
+def missed(goal: np.ndarray, targets: np.ndarray) -> dict[int, float]:
+    """The domains whose share of the goals differs from their target weight, with that share."""
+    shares = goal / goal.sum() if goal.sum() else goal
+    return {k: float(shares[k]) for k in range(len(targets)) if abs(shares[k] - targets[k]) > 1e-6}
+
+
+def fit_rates(rows: DataFrame, targets: list[float], budget: float | None = None, rounds: int = 30, tolerance: float = 1e-5, names: list[str] | None = None) -> list[np.ndarray]:
+    """The steps that bring the expected domain totals of ``rows`` (tokens, posterior) to the targets. Target weights that
+    the totals can't meet are logged as warnings, with the ``names`` of the domains.
 
     Differences are weighted by the inverse of the domains' second moments. Taken over all rows, these bound the
     curvature by 1, so that a step of length 1 always descends; taken over the rows whose rate isn't 0, a step is exact
@@ -173,6 +183,9 @@ def fit_rates(rows: DataFrame, targets: list[float], budget: float | None = None
             if not own.sum():
                 break
             goal = goals(own, np.array(targets), budget)
+            # A domain that no document can belong to has no share, whatever its goal is.
+            for j, share in missed(np.where(own > 0, goal, 0.0), np.array(targets)).items():
+                log.warning("mixing: domain %s gets a weight of %.6f, its target is %.6f", names[j] if names else j, share, targets[j])
         gap = np.where(own > 0, totals - goal, 0) / own.sum()
         if np.abs(gap).max() < tolerance or k == rounds:
             break
@@ -186,7 +199,7 @@ def fit_rates(rows: DataFrame, targets: list[float], budget: float | None = None
 
 def copies_of(rate: Column, doc_id: Column, steady: float = 0.1) -> Column:
     """How often a document is taken: its rate if that is within ``steady`` of a whole number, else the rate's floor or
-    ceiling, drawn by the hash of the doc_id so that the expectation is the rate."""
+    ceiling, drawn by the hash of the doc_id. The expectation is the rate only if ``steady`` is 0: mixing passes that."""
     chance = F.pmod(F.xxhash64(F.lit("mix"), doc_id), F.lit(1 << 20)) / float(1 << 20)
     return F.when(F.abs(rate - F.round(rate)) <= steady, F.round(rate)).otherwise(F.floor(rate + chance)).cast("long")
 
@@ -194,13 +207,13 @@ def copies_of(rate: Column, doc_id: Column, steady: float = 0.1) -> Column:
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | None = None) -> DataFrame:
     """doc_id, source, tokens, posterior, rate, copies of each row of ``docs`` (doc_id, text, source).
 
-    ``targets`` are weights of domains, scaled to 1. ``budget`` is the number of tokens to come to, by default the most
-    that needs no domain repeated (see goals).
+    ``targets`` are weights of domains, scaled to 1. ``budget`` is the number of tokens to come to, by default what takes
+    the largest target's domain whole and repeats no domain (see goals). The expectation of copies is the rate.
     """
     names, total = sorted(targets), sum(targets.values())
     rows = stored(scorer(docs, labelled, names)(docs.select("doc_id", "text", "source")).select("doc_id", "source", "tokens", "posterior"))
-    steps = fit_rates(rows, [targets[n] / total for n in names], budget)
-    return rows.withColumn("rate", rate_after(steps)).withColumn("copies", copies_of(F.col("rate"), F.col("doc_id")))
+    steps = fit_rates(rows, [targets[n] / total for n in names], budget, names=names)
+    return rows.withColumn("rate", rate_after(steps)).withColumn("copies", copies_of(F.col("rate"), F.col("doc_id"), steady=0.0))
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +228,7 @@ def resampled(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], b
     names, total = sorted(targets), sum(targets.values())
     score = scorer(docs, labelled, names)
     fitted = stored(score(docs.select("text")).select("tokens", "posterior"))
-    steps = fit_rates(fitted, [targets[n] / total for n in names], budget)
+    steps = fit_rates(fitted, [targets[n] / total for n in names], budget, names=names)
     rows = score(docs.select("text", F.struct(*docs.columns).alias("row")))
-    out = rows.withColumn("copies", copies_of(rate_after(steps), F.col("row.doc_id")))
+    out = rows.withColumn("copies", copies_of(rate_after(steps), F.col("row.doc_id"), steady=0.0))
     return out.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -392,6 +392,54 @@ def test_copies_of_whole_rates(spark):
     assert mean[0.0] == 0 and mean[0.97] == 1 and mean[1.08] == 1 and 0.4 < mean[0.5] < 0.6 and 2.2 < mean[2.3] < 2.4
 
 
+
+def soft_rows(spark, shares, n=1500):
+    """tokens and soft posteriors of documents of domains with the given shares."""
+    rnd = np.random.default_rng(8)
+    kinds = rnd.choice(len(shares), n, p=shares)
+    p = np.array([rnd.dirichlet(np.where(np.arange(len(shares)) == k, 40.0, 0.5)) for k in kinds])
+    rows = [(k, int(t), [float(x) for x in own]) for k, (t, own) in enumerate(zip(rnd.integers(20, 400, n), p, strict=True))]
+    return spark.createDataFrame(rows, "doc_id long, tokens long, posterior array<double>").coalesce(1)
+
+
+@pytest.mark.parametrize("budget_share", [None, 0.05])
+def test_copies_meet_the_targets(spark, monkeypatch, budget_share):
+    """The drawn copies, not only the rates, come to the target totals: within four deviations of the draw. Domains far
+    above their goals aren't emptied, and a small budget isn't either."""
+    rows, names, weights = mixing.stored(soft_rows(spark, [0.75, 0.13, 0.12])), ["good", "poor", "toxic"], np.array([0.97, 0.02, 0.01])
+    name = F.col("doc_id").cast("string")
+    # The scoring is replaced by the given posteriors; what mix does with them is tested.
+    monkeypatch.setattr(mixing, "scorer", lambda *_: lambda d: d.join(scored, "text"))
+    docs, scored = rows.select("doc_id", name.alias("text"), F.lit("s").alias("source")), rows.select(name.alias("text"), "tokens", "posterior")
+    budget = None if budget_share is None else budget_share * rows.agg(F.sum("tokens")).first()[0]
+    got = mixing.mix(docs, docs.limit(0), dict(zip(names, weights, strict=True)), budget).toPandas()
+    p, t = np.stack(got.posterior), got.tokens.to_numpy()[:, None]
+    want = weights * budget if budget else weights * (p * t).sum(0)[0] / weights[0]
+    assert (np.floor(got.rate) <= got.copies).all() and (got.copies <= np.ceil(got.rate)).all()
+    chance = (got.rate - np.floor(got.rate)).to_numpy()[:, None]
+    deviation = np.sqrt(((p * t) ** 2 * chance * (1 - chance)).sum(0))
+    assert (np.abs((p * t * got.copies.to_numpy()[:, None]).sum(0) - want) <= 4 * deviation + 1e-4 * t.sum()).all()
+    pure = got[p[:, 2] > 0.9]
+    assert pure.rate.sum() == 0 or pure.copies.sum() > 0
+    if budget is None:
+        kept = mixing.resampled(docs, docs.limit(0), dict(zip(names, weights, strict=True))).groupBy("doc_id").count().collect()
+        assert {r["doc_id"]: r["count"] for r in kept} == dict(got[got.copies > 0][["doc_id", "copies"]].to_numpy().tolist())
+
+
+def test_weights_that_cannot_be_met_are_reported(spark, caplog):
+    rows = mixing.stored(soft_rows(spark, [0.98, 0.005, 0.015], 500))
+    with caplog.at_level("WARNING", "riskspark.llm.mixing"):
+        mixing.fit_rates(rows, [0.5, 0.4, 0.1], names=["good", "poor", "toxic"])
+    own = np.array([r.tokens * np.array(r.posterior) for r in rows.collect()]).sum(0)
+    goal = np.minimum(np.array([0.5, 0.4, 0.1]) * own[0] / 0.5, own)
+    for k, n in enumerate(["good", "poor", "toxic"]):
+        assert f"domain {n} gets a weight of {goal[k] / goal.sum():.6f}" in caplog.text
+    caplog.clear()
+    with caplog.at_level("WARNING", "riskspark.llm.mixing"):
+        mixing.fit_rates(rows, [0.99, 0.002, 0.008], names=["good", "poor", "toxic"])
+    assert not caplog.records
+
+
 def test_top_k(spark):
     rnd = np.random.default_rng(4)
     vectors = [(k, [float(x) for x in rnd.normal(size=6).astype(np.float32)]) for k in range(300)]
