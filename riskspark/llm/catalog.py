@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from riskspark.llm import language, mixing, near, packing, pii, quality, repeats, search, urls, warc, winnow
+from riskspark.llm import language, mixing, near, packing, pii, quality, repeats, search, urls, variants, warc, whiten, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack": packing.op8_pack,
     "op9_language_id": language.op9_language_id,
     "op10_url_filter": urls.op10_url_filter,
+    "op11_whitening": whiten.op11_whitening,
+    "op12_spelling_variants": variants.op12_spelling_variants,
     "op13_substring_dedup": repeats.op13_substring_dedup,
     "pipeline": corpus_pipeline.run,
 }
