@@ -43,12 +43,12 @@ from riskspark.llm.common import stored, table
 
 WINDOW = 20
 #: Bytes of text in a block, and of a block that are split into words at once.
-BLOCK_BYTES, PIECE_BYTES = 8_000_000, 2_000_000
+BLOCK_BYTES, PIECE_BYTES = 5_000_000, 1_000_000
 #: Cells of the sketch for each window of the corpus, its rows, and the cells of a shard as a power of two.
 CELLS_PER_WINDOW, ROWS, SHARD_BITS = 8, 2, 24
 #: Windows of the corpus for each part in which repeated ones are grouped.
 PART_WINDOWS = 1 << 22
-WORDS_KEPT = 1 << 19
+WORDS_KEPT = 1 << 18
 #: Kinds of messages to a block that don't come from a shard or a part.
 OWN, COPIES = -1, -2
 
@@ -132,7 +132,7 @@ def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             ids, texts, counts, digests = zip(*rows, strict=True)
-            payload = packed(b"\n".join(texts))
+            payload = packed(b"\n".join(texts), level=6)
             kinds = pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.binary()
             arrays = [pa.array(c, t) for c, t in zip(([name], [ids], [counts], [digests], [payload]), kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, ["block", "doc_id", "n_words", "words", "payload"])
@@ -155,9 +155,9 @@ def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(pack, BLOCKS)
 
 
-def packed(data: bytes) -> bytes:
+def packed(data: bytes, level: int = 1) -> bytes:
     """Compressed, with its length before it."""
-    return len(data).to_bytes(8, "little") + (pa.compress(data, codec="zstd", asbytes=True) if data else b"")
+    return len(data).to_bytes(8, "little") + (pa.Codec("zstd", compression_level=level).compress(data, asbytes=True) if data else b"")
 
 
 def opened(data: bytes) -> bytes:
