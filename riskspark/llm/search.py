@@ -8,8 +8,11 @@ only documents that stay competitive are probed, term by term, and at last exact
 bounded sizes, every block meets every shard once, and the winners of the shards are merged by rank.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, nor do rows without an id; of
-rows that repeat an id one counts, the first by its components; shorter vectors are filled up with zeros; integers
-beyond 2**28 in size are taken as 2**28; ties go to the smaller id.
+rows that repeat an id one counts, the first by its components; shorter vectors are filled up with zeros; ties go to the
+smaller id. Scores are exact however large the components are: where sums of products may exceed what doubles hold exactly,
+thresholds are lowered by the largest possible rounding and the survivors scored in whole numbers. A score beyond a long
+is shown as the largest long of its sign; components beyond 2**400 are taken as 2**400. Other columns are ignored. An empty table,
+of vectors or of queries, gives an empty table.
 """
 
 from __future__ import annotations
@@ -25,7 +28,8 @@ from riskspark.llm.common import table
 SHARD_ROWS, BLOCK_QUERIES = 4096, 8192
 #: Queries that are searched together, and documents that are scored first to get a threshold.
 TOGETHER, FIRST = 128, 512
-LARGEST = 1 << 28
+LARGEST = 2.0**400
+MOST = (1 << 63) - 1
 STEP = 8
 
 
@@ -47,10 +51,10 @@ def matrix(rows: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Shard:
-    """The postings of a block of documents."""
+    """The postings of a block of documents. ``slack`` bounds how far a score in doubles may be from the true one."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, slack: float = 0.0):
+        self.ids, self.vectors, self.slack = ids, vectors, slack
         self.plus, self.minus = np.maximum(vectors, 0), np.maximum(-vectors, 0)
         self.most_plus, self.most_minus = self.plus.max(0), self.minus.max(0)
 
@@ -64,7 +68,7 @@ class Shard:
     def _together(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
         plus, minus = np.maximum(queries, 0), np.maximum(-queries, 0)
         bounds = plus * self.most_plus + minus * self.most_minus
-        threshold = self._thresholds(query_ids, queries, k)
+        threshold = self._thresholds(query_ids, queries, k) - 4 * self.slack
         order = np.argsort(bounds, 1)
         reach = np.cumsum(np.take_along_axis(bounds, order, 1), 1)
         split = (reach < threshold[:, None]).sum(1)
@@ -76,11 +80,18 @@ class Shard:
         for q, query in enumerate(query_ids):
             alive = np.flatnonzero((scores[q] + rest[q] >= threshold[q]) & (self.ids != query))
             alive = self._probe(alive, scores[q], rest[q], threshold[q], order[q, : split[q]][::-1], queries[q], bounds[q])
-            exact = self.vectors[alive] @ queries[q]
+            exact = self._exact(alive, queries[q])
             best = np.lexsort((self.ids[alive], -exact))[:k]
             out += [(int(query), int(self.ids[alive[b]]), int(exact[b])) for b in best]
         return out
 
+    def _exact(self, alive: np.ndarray, query: np.ndarray) -> np.ndarray:
+        if not self.slack:
+            return self.vectors[alive] @ query
+        whole = [int(x) for x in query.tolist()]
+        scores = [sum(int(x) * y for x, y in zip(row, whole, strict=True)) for row in self.vectors[alive].tolist()]
+        return np.array([max(-MOST - 1, min(MOST, s)) for s in scores], dtype=object)
+
     def _thresholds(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
         """The k-th best score among the first documents of the shard: no lower one can be among the k best."""
         first = queries @ self.vectors[:FIRST].T
@@ -121,8 +132,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         if len(documents) and len(asked):
             ids, own_vectors = matrix(documents, width)
             query_ids, own_queries = matrix(asked, width)
-            found = Shard(ids, own_vectors).search(query_ids, own_queries, k) if small(own_vectors, own_queries) else Shard(
-                ids, own_vectors.astype(np.int64)).search(query_ids, own_queries.astype(np.int64), k)
+            found = Shard(ids, own_vectors, rounding(own_vectors, own_queries)).search(query_ids, own_queries, k)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(search, "query_id long, vec_id long, score long")
@@ -130,10 +140,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def small(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether all sums of products are exact as doubles."""
-    most = lambda x: float(np.abs(x).max(initial=0))
-    return most(a) * most(b) * a.shape[1] < 2**52
+def rounding(a: np.ndarray, b: np.ndarray) -> float:
+    """How far sums of products of doubles may be from the true ones: not at all while they stay below 2**52."""
+    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+    return 0.0 if most < 2**52 else most * a.shape[1] * 2.0**-52
 
 
 def op2_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
