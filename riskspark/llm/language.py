@@ -6,12 +6,13 @@ bytes; otherwise the escape q / (n + q) is paid and the next shorter context is
 one has seen are excluded. Below the empty context all 256 bytes are equally likely. The statistics are frozen: texts to
 be judged don't change them, so code lengths add up over a text's distinct grams.
 
-The trees are trained on a sample of at most ``sample`` documents of at most ``sample_chars`` characters for each
-language, which bounds what is collected and broadcast.
+The trees are trained on a sample of at most ``sample`` documents for each language, and of a longer one on a part of
+``sample_chars`` characters that begins at a random place, which bounds what is collected and broadcast.
 
 Defined cases: a text that is null or has no letter gets ``und`` and score 0; so does every text when there is nothing to
 learn from. Ties go to the language that comes first by name. Documents with a null doc_id are held out. Rows that
-repeat a doc_id are judged one by one.
+repeat a doc_id are judged one by one. Texts of any length are judged whole. Other columns are ignored. An empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from riskspark.llm.grams import gram_runs, groups
 
 ORDER = 3
 UNKNOWN = "und"
+SLICE_BITS = 12
 
 
 @dataclass(frozen=True)
@@ -99,15 +101,24 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, sample: int = 400, sample_chars: int = 20_000) -> dict[str, list[Level]]:
-    """Models by language. The sample is the first documents of a language by the hash of their doc_id and text."""
+    """Models by language. The sample is the first documents of a language by the hash of their doc_id and text.
+
+    Counts by language and slice of the hash range tell in which slices the first ones lie; only these are ordered.
+    """
     chance = F.xxhash64("doc_id", "text")
-    allowed = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= sample_chars))
+    allowed = docs.select("doc_id", "lang", "text").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    allowed = allowed.withColumn("chance", chance).withColumn("slice", F.shiftright("chance", 64 - SLICE_BITS))
+    earlier = W.partitionBy("lang").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    counts = allowed.groupBy("lang", "slice").agg(F.count("*").alias("n"))
+    first = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).where(F.col("before") < sample).select("lang", "slice")
     place = F.row_number().over(W.partitionBy("lang").orderBy("chance", "doc_id"))
-    chosen = allowed.select("doc_id", "lang", chance.alias("chance")).withColumn("place", place).where(F.col("place") <= sample)
+    some = allowed.select("doc_id", "lang", "chance", "slice").join(first, ["lang", "slice"])
+    chosen = some.withColumn("place", place).where(F.col("place") <= sample).select("doc_id", "chance").distinct()
     # Ids first: the window doesn't carry texts. The chosen ids are at most ``sample`` for each language.
-    rows = allowed.withColumn("chance", chance).join(F.broadcast(chosen.select("doc_id", "chance").distinct()), ["doc_id", "chance"], "left_semi")
+    rows = allowed.join(F.broadcast(chosen), ["doc_id", "chance"], "left_semi")
+    start = F.pmod(F.col("chance"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1).cast("int") + 1
     texts: dict[str, list[bytes]] = defaultdict(list)
-    for lang, text in sorted({(r["lang"], r["text"]) for r in rows.select("lang", "text").collect()}):
+    for lang, text in sorted({(r["lang"], r["text"]) for r in rows.select("lang", F.col("text").substr(start, F.lit(sample_chars)).alias("text")).collect()}):
         texts[lang].append(text.encode())
     return {lang: train(own) for lang, own in texts.items()}
 
