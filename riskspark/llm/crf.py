@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -67,7 +68,10 @@ class Model:
 
 
 def emissions(model: Model, ids: np.ndarray) -> np.ndarray:
-    return model.weights[ids].sum(1)
+    out = np.zeros((len(ids), len(TAGS)))
+    for column in ids.T:
+        out += model.weights[column]
+    return out
 
 
 def laid_out(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,12 +123,11 @@ def train(labelled: pd.DataFrame, rounds: int = 110, rate: float = 0.15, decay:
     return Model(**params)
 
 
-def decode(model: Model, words: np.ndarray, lengths: np.ndarray, batch: int = 200_000) -> np.ndarray:
+def decode(model: Model, words: np.ndarray, lengths: np.ndarray, batch: int = 50_000) -> np.ndarray:
     """The most likely tags of chains laid end to end, by Viterbi over many chains at once; the longest go first."""
     out = np.zeros(len(words), np.int8)
     if not len(words):
         return out
-    e = emissions(model, feature_ids(words, lengths))
     starts = np.cumsum(lengths) - lengths
     order = np.argsort(-lengths, kind="stable")
     order = order[lengths[order] > 0]
@@ -132,7 +135,48 @@ def decode(model: Model, words: np.ndarray, lengths: np.ndarray, batch: int = 20
     sizes = np.cumsum(lengths[order])
     for part in np.split(order, np.unique(np.searchsorted(sizes, np.arange(batch, sizes[-1], batch)) + 1)):
         if len(part):
-            _viterbi(model, e, starts[part], lengths[part], out)
+            size = lengths[part]
+            own = np.cumsum(size) - size
+            at = np.repeat(starts[part] - own, size) + np.arange(size.sum())
+            tags = np.zeros(len(at), np.int8)
+            _viterbi(model, emissions(model, feature_ids(words[at], size)), own, size, tags)
+            out[at] = tags
+    return out
+
+
+def decode_long(model: Model, pieces: Iterable[np.ndarray]) -> np.ndarray:
+    """The most likely tags of one chain whose words come a piece at a time. Scores are carried from piece to piece; what
+    is kept of a word is a byte for each tag."""
+    score, back = None, []
+    previous, pending = None, None
+
+    def forward(words: np.ndarray, before: np.ndarray | None, after: np.ndarray | None) -> None:
+        nonlocal score
+        around = [x for x in (before, words, after) if x is not None]
+        e = emissions(model, feature_ids(np.concatenate(around), np.array([sum(map(len, around))])))
+        e = e[0 if before is None else 1 :][: len(words)]
+        for k, own in enumerate(e):
+            if score is None:
+                score = model.first + own
+                continue
+            moved = score[:, None] + model.moves
+            came = moved.argmax(0).astype(np.int8)
+            score = moved[came, np.arange(len(came))] + own
+            back.append(came)
+
+    for piece in pieces:
+        if pending is not None:
+            forward(pending, previous, piece[:1])
+            previous = pending[-1:]
+        pending = piece
+    if pending is not None:
+        forward(pending, previous, None)
+    if score is None:
+        return np.zeros(0, np.int8)
+    out = np.zeros(len(back) + 1, np.int8)
+    out[-1] = score.argmax()
+    for k in range(len(back) - 1, -1, -1):
+        out[k] = back[k][out[k + 1]]
     return out
 
 

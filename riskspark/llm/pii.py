@@ -5,10 +5,12 @@ with a leading plus. The field reads lines as chains of words and tags the same
 addresses, phone numbers without a plus, addresses with bracketed dots, card numbers that the pattern misses since other
 digits stand next to them. Of its spans those count that don't overlap a base span and hold what their kind needs.
 
-Lines without a digit, an @ or a spelled-out "dot" aren't decoded: no span in them could count.
+Lines without a digit, an @, or a spelled-out "at" or "dot" before or in a domain aren't decoded: no span in them could
+count.
 
-Defined cases: a null or empty text has no spans; rows that repeat a doc_id are searched one by one; texts of any length
-are searched whole; patterns run in time proportional to the text.
+Defined cases: a null or empty text has no spans; rows that repeat a doc_id are searched one by one; texts and lines of any
+length are searched whole, at about 20 bytes a word of the longest line; patterns run in time proportional to the text. Other
+columns are ignored by ``find`` and kept by ``masked``, whatever their names. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -17,16 +19,19 @@ import hashlib
 import random
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm import crf
 from riskspark.llm.common import table
 from riskspark.llm.crf import KINDS, luhn
+from riskspark.llm.grams import groups
 
 Span = tuple[int, int]
 
@@ -37,10 +42,12 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 #: A line is decoded if it holds one of these.
-TELLING = re.compile(r"[0-9@]|[\[({]dot[\])}]|\bdot\b", re.IGNORECASE)
+TELLING = re.compile(r"[0-9@]|[\[({](?:dot|at)[\])}]|\bdot\b|\sat\s+[A-Za-z0-9-]+\.", re.IGNORECASE)
 WORD = re.compile(r"\S+")
 MASKS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
 WORDS_KEPT = 1 << 18
+#: Characters of texts that are searched together, and of a line that is decoded in pieces.
+TOGETHER, LONG_LINE = 2_000_000, 1_000_000
 
 
 def emails(text: str) -> list[Span]:
@@ -113,25 +120,55 @@ class Finder:
     def added(self, texts: list[str], base: list[dict[str, list[Span]]]) -> list[dict[str, list[Span]]]:
         """What the field adds to the base spans of each text."""
         words, places, lengths, owners = [], [], [], []
+        out = [{k: [] for k in KINDS} for _ in texts]
         for owner, text in enumerate(texts):
             for low, high in telling_lines(text):
+                if high - low > LONG_LINE:
+                    self._long_line(text, low, high, base[owner], out[owner])
+                    continue
                 own = [m.span() for m in WORD.finditer(text, low, high)]
                 places += own
                 words += [self.describe(text[a:b]) for a, b in own]
                 lengths.append(len(own))
                 owners.append(owner)
         tags = crf.decode(self.model, np.array(words, np.int64).reshape(len(words), len(crf.SIZES)), np.array(lengths, np.int64))
-        out = [{k: [] for k in KINDS} for _ in texts]
         at = 0
         for owner, length in zip(owners, lengths, strict=True):
-            for kind, low, high in tagged(tags[at : at + length], places[at : at + length]):
-                span = trimmed(kind, texts[owner], low, high)
-                others = (s for k in KINDS for s in (*base[owner][k], *out[owner][k]))
-                if span and holds(kind, texts[owner][slice(*span)]) and not any(a < span[1] and span[0] < b for a, b in others):
-                    out[owner][kind].append(span)
+            self._counted(texts[owner], tagged(tags[at : at + length], places[at : at + length]), base[owner], out[owner])
             at += length
         return out
 
+    def _counted(self, text: str, runs: Iterator[tuple[str, int, int]], base: dict[str, list[Span]], out: dict[str, list[Span]]) -> None:
+        """Adds the spans of tagged runs that hold what they need and overlap nothing."""
+        for kind, low, high in runs:
+            span = trimmed(kind, text, low, high)
+            if span and holds(kind, text[slice(*span)]):
+                others = (s for k in KINDS for s in (*base[k], *out[k]))
+                if not any(a < span[1] and span[0] < b for a, b in others):
+                    out[kind].append(span)
+
+    def _long_line(self, text: str, low: int, high: int, base: dict[str, list[Span]], out: dict[str, list[Span]]) -> None:
+        """The same for a line that is too long to be laid out: words are described a piece at a time, and once more where
+        they are tagged."""
+
+        def described() -> Iterator[np.ndarray]:
+            words = (self.describe(m[0]) for m in WORD.finditer(text, low, high))
+            while piece := list(islice(words, 10_000)):
+                yield np.array(piece, np.int64)
+
+        tags = crf.decode_long(self.model, described())
+        run: list[Span] = []
+        own: list[int] = []
+        for tag, m in zip(tags, WORD.finditer(text, low, high), strict=True):
+            if tag:
+                own.append(tag)
+                run.append(m.span())
+            elif run:
+                self._counted(text, tagged(np.array(own), run), base, out)
+                run, own = [], []
+        if run:
+            self._counted(text, tagged(np.array(own), run), base, out)
+
 
 def telling_lines(text: str) -> Iterator[Span]:
     """The lines of a text that hold something telling."""
@@ -187,8 +224,8 @@ def find(docs: DataFrame, model: crf.Model) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(shared.value)
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
+            for rows in groups(pc.utf8_length(batch.column(1)).fill_null(0).to_pylist(), TOGETHER):
+                part = batch.slice(rows.start, rows.stop - rows.start)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 base = [base_spans(t) for t in texts]
                 added = finder.added(texts, base)
@@ -210,8 +247,8 @@ def masked(docs: DataFrame, model: crf.Model) -> DataFrame:
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(shared.value)
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
+            for rows in groups(pc.utf8_length(batch.column(place)).fill_null(0).to_pylist(), TOGETHER):
+                part = batch.slice(rows.start, rows.stop - rows.start)
                 texts = part.column(place).to_pylist()
                 plain = [t or "" for t in texts]
                 base = [base_spans(t) for t in plain]
@@ -235,7 +272,7 @@ def mask(text: str, spans: dict[str, list[Span]]) -> str:
     return "".join(out) + text[at:]
 
 
-def labelled_table(chains: int = 300, seed: int = 7) -> pd.DataFrame:
+def labelled_table(chains: int = 400, seed: int = 7) -> pd.DataFrame:
     """A small labelled table of chain, position, word, tag, made from a few sentence patterns."""
     rnd = random.Random(seed)
     digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
@@ -256,6 +293,7 @@ def labelled_table(chains: int = 300, seed: int = 7) -> pd.DataFrame:
             lambda: ("email", [f"{user()}@{host()}.{rnd.choice(['com', 'org', 'example.com'])}"]),
             lambda: ("email", [user(), "at", host(), "dot", rnd.choice(["com", "org", "net"])]),
             lambda: ("email", [user(), rnd.choice(["[at]", "(at)"]), host(), rnd.choice(["[dot]", "(dot)"]), rnd.choice(["com", "org", "net"])]),
+            lambda: ("email", [user(), rnd.choice(["[at]", "(at)", "at"]), f"{host()}.{rnd.choice(['com', 'org', 'net', 'example.com'])}"]),
             lambda: ("ip", [ip()]), lambda: ("ip", [ip("[.]")]),
             lambda: ("card", [card(True)]), lambda: ("card", [card(True)]), lambda: ("card", [".".join(quads(card(True)))]),
             lambda: ("phone", ["+" + digits(rnd.randint(1, 3)), f"({digits(3)})", f"{digits(3)}-{digits(4)}"]),
@@ -274,8 +312,10 @@ def labelled_table(chains: int = 300, seed: int = 7) -> pd.DataFrame:
     rows = []
     for chain in range(chains):
         words: list[tuple[str, str]] = []
-        for _ in range(rnd.randint(2, 6)):
-            words += [(w, "O") for w in plain()]
+        for _ in range(rnd.randint(1, 6)):
+            # A line may begin with what is looked for.
+            if words or rnd.random() < 0.7:
+                words += [(w, "O") for w in plain()]
             if rnd.random() < 0.5:
                 kind, own = found()
                 end = rnd.choice(["", "", "", ".", ",", "###", "&&&"])
