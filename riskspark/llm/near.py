@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import stored, table
+from riskspark.llm.common import fresh, stored, table
 
 WORDS = 5
 BANDS, ROWS = 32, 4
@@ -348,12 +348,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept: one of each component. Of rows that repeat the kept doc_id, one stays, the
     first by its text. Rows without a doc_id stay, since nothing tells that they are copies."""
     found = stored(near_duplicates(docs.select("doc_id", "text")))
-    keep = stored(found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct())
-    named = docs.where("doc_id is not null").join(keep, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
-    unnamed = docs.where("doc_id is null")
-    several = stored(found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("several")))
-    if several.isEmpty():
-        return named.unionByName(unnamed)
-    same = F.col("doc_id").cast("long") == F.col("several")
-    first = named.join(several, same, "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row"))
-    return named.join(several, same, "left_anti").unionByName(first.select("row.*")).unionByName(unnamed)
+    gone, several = fresh(docs, "gone_id"), fresh(docs, "several_id")
+    dropped = stored(found.where("doc_id is not null and not kept").select(F.col("doc_id").alias(gone)).distinct())
+    # Rows without a doc_id match nothing and stay; the ids that go are the smaller side.
+    left = docs.join(dropped, F.col("doc_id").cast("long") == F.col(gone), "left_anti")
+    repeated = stored(found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias(several)))
+    if repeated.isEmpty():
+        return left
+    same = F.col("doc_id").cast("long") == F.col(several)
+    first = left.join(repeated, same, "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row"))
+    return left.join(repeated, same, "left_anti").unionByName(first.select("row.*"))
