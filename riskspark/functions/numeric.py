@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Upper ends of the Poisson(1) distribution function for k = 0, 1, 2, ... (fixed values).
+# Upper ends of the Poisson(1) distribution function for k = 0, 1, 2, ..., as far as numbers of 20 bits reach (fixed values).
 POISSON_ONE_CDF = (
     0.36787944117144233,
     0.7357588823428847,
@@ -15,6 +15,7 @@ POISSON_ONE_CDF = (
     0.9994058151824183,
     0.999916758850712,
     0.9999897508033253,
+    0.999998874797402,
 )
 
 
@@ -39,21 +40,6 @@ def hex_to_unit(digest: Column, start: int = 1, digits: int = 8) -> Column:
     return part.cast("double") / F.lit(float(16**digits))
 
 
-def hex_bits(digest: str, start: int) -> Column:
-    """The 15 hex digits at ``start`` as a 60-bit integer."""
-    return F.expr(f"bigint(conv(substring(`{digest}`, {start}, 15), 16, 10))")
-
-
-def twenty_bits(bits: str, i: int) -> Column:
-    """The ``i``-th 20 bits (0 to 2, highest first) of a 60-bit column as a number in [0, 1)."""
-    return F.expr(f"(shiftright(`{bits}`, {40 - 20 * i}) & {0xFFFFF}) / {float(1 << 20)!r}D")
-
-
 def hash_uniform(seed: str, *keys: Column, digits: int = 8) -> Column:
     """A uniform number in [0, 1) that depends only on the seed and the keys."""
     return hex_to_unit(hashed(seed, *keys), 1, digits)
-
-
-def poisson_one(uniform: str) -> Column:
-    """Poisson(1) draw from a column of uniform numbers, by the inverse distribution function."""
-    return F.expr(" + ".join(f"int(`{uniform}` >= {bound!r}D)" for bound in POISSON_ONE_CDF))

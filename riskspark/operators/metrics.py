@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions.numeric import hashed, hex_bits, poisson_one, ratio, twenty_bits
-from riskspark.operators.ranking import cumulative, cut_points, exact_percentiles
+from riskspark.functions.numeric import ratio
+from riskspark.operators.ranking import cumulative, exact_percentiles
 
 
 def dataset_summary(df: DataFrame, label: str = "isFraud") -> DataFrame:
@@ -245,88 +245,19 @@ def latency_percentiles(df: DataFrame, latency: str, by: Sequence[str] = ()) ->
     return out.select(*by, *[F.col("percentiles")[i].alias(n) for i, n in enumerate(names)])
 
 
-# -- bootstrap ---------------------------------------------------------------------------------
-
-_PER_DIGEST = 6  # 30 of the 32 hex digits give six 20-bit uniforms
-
-
-def with_bootstrap_weights(df: DataFrame, replicates: range, key: str, seed: str) -> DataFrame:
-    """Adds the Poisson(1) weight ``w{r}`` of each row in each replicate, six replicates per digest.
-
-    Digests, numbers and weights are separate projections, so each is computed once per row.
-    """
-    groups = sorted({r // _PER_DIGEST for r in replicates})
-    digits = df.select("*", *[hashed(f"{seed}{g}", F.col(key)).alias(f"_d{g}") for g in groups])
-    bits = digits.select(
-        *df.columns, *[hex_bits(f"_d{g}", 1 + 15 * half).alias(f"_b{g}_{half}") for g in groups for half in (0, 1)]
-    )
-    uniforms = bits.select(
-        *df.columns,
-        *[twenty_bits(f"_b{r // _PER_DIGEST}_{r % _PER_DIGEST // 3}", r % 3).alias(f"_u{r}") for r in replicates],
-    )
-    return uniforms.select(
-        *df.columns, *[poisson_one(f"_u{r}").cast("bigint").alias(f"w{r}") for r in replicates]
-    )
-
-
-def bootstrap_auc(
-    df: DataFrame,
-    score: str,
-    label: str = "y",
-    key: str = "TransactionID",
-    replicates: int = 500,
-    seed: str = "42",
-    batch: int = 5,
-) -> DataFrame:
-    """``replicate, auc_pr, auc_roc`` of Poisson bootstrap resamples.
-
-    Rows are not multiplied: replicates are weight columns, ``batch`` of them per pass, summed per
-    distinct score before anything is ordered.
-    """
-    out, cuts = None, cut_points(df, score)
-    for start in range(0, replicates, batch):
-        reps = range(start, min(start + batch, replicates))
-        weighted = with_bootstrap_weights(df.select(key, score, label), reps, key, seed)
-        sums = {}
-        for r in reps:
-            sums[f"tp{r}"] = F.expr(f"if(`{label}` = 1, w{r}, 0)")
-            sums[f"fp{r}"] = F.expr(f"if(`{label}` = 0, w{r}, 0)")
-        cells = cumulative(weighted, score, sums, descending=True, cuts=cuts)
-        one = cells.agg(
-            *[
-                F.struct(
-                    F.lit(r).alias("replicate"),
-                    _average_precision(f"tp{r}", f"fp{r}").alias("auc_pr"),
-                    _roc_area(f"tp{r}", f"fp{r}").alias("auc_roc"),
-                ).alias(f"r{r}")
-                for r in reps
-            ]
-        ).select(F.inline(F.array(*[F.col(f"r{r}") for r in reps])))
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-def bootstrap_ci(df: DataFrame, score: str, label: str = "y", metric: str = "auc_pr", **kwargs) -> DataFrame:
-    """95 % interval of a metric. One value per replicate, so the plain percentile is enough."""
-    reps = bootstrap_auc(df, score, label, **kwargs)
-    return reps.agg(
-        F.percentile(metric, 0.025).alias("ci_low"),
-        F.percentile(metric, 0.975).alias("ci_high"),
-        F.count(F.lit(1)).alias("replicates"),
-    )
-
-
-def bootstrap_significance(
-    df: DataFrame, score_a: str, score_b: str, label: str = "y", alpha: float = 0.05, **kwargs
-) -> DataFrame:
-    """Share of resamples in which model b's AUC-PR is not above model a's; same weights for both."""
-    a = bootstrap_auc(df, score_a, label, **kwargs).select("replicate", F.col("auc_pr").alias("a"))
-    b = bootstrap_auc(df, score_b, label, **kwargs).select("replicate", F.col("auc_pr").alias("b"))
-    return a.join(b, "replicate").agg(
-        F.avg((F.col("b") - F.col("a") <= 0).cast("double")).alias("p_value"),
-        (F.avg((F.col("b") - F.col("a") <= 0).cast("double")) < alpha).alias("significant"),
-        F.count(F.lit(1)).alias("replicates"),
-    )
+def latency_summary(df: DataFrame, latency: str, by: Sequence[str] = ()) -> DataFrame:
+    """Percentiles, mean, extremes, number of requests and requests per second of latencies in milliseconds, one request
+    after the other."""
+    values = df.filter(F.col(latency).isNotNull())
+    about = [
+        F.count(F.lit(1)).alias("n_requests"), F.avg(latency).alias("mean"), F.min(latency).alias("min"), F.max(latency).alias("max"),
+        F.try_divide(F.count(F.lit(1)) * F.lit(1000.0), F.sum(latency)).alias("per_second"),
+    ]
+    percentiles = latency_percentiles(values, latency, by)
+    if by:
+        return values.groupBy(*by).agg(*about).join(percentiles, list(by))
+    row = percentiles.select(F.struct(*percentiles.columns)).scalar()
+    return values.agg(*about).withColumn("_p", row).select("*", "_p.*").drop("_p")
 
 
 def ablation_summary(

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.operators import metrics, sampling
+from riskspark.functions.numeric import rounded
+from riskspark.functions.text import fixed
+from riskspark.ml import calibrate
+from riskspark.operators import bootstrap, metrics, sampling
+from riskspark.plans import reports
 from riskspark.plans.oracle import SCORES, TX_EVENTS, div, poisson, r, u
-from riskspark.plans.registry import register, round_columns
+from riskspark.plans.registry import ORACLES, register, round_columns
+from riskspark.session import stored
 from riskspark.sources import views
 
 CONFUSION = f"""{SCORES},
@@ -189,17 +196,83 @@ def latency_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(out, p50=4, p75=4, p95=4, p99=4)
 
 
+@register(
+    "latency_summary",
+    f"""select event_type, count(*) as n_requests, {r('avg(value)', 4)} as mean, {r('min(value)', 4)} as min, {r('max(value)', 4)} as max,
+      {r('count(*) * 1000.0::double / sum(value)', 4)} as per_second, """
+    + ", ".join(f"{r(f'quantile_cont(value, {p})', 4)} as p{int(p * 100)}" for p in (0.5, 0.75, 0.95, 0.99))
+    + " from events group by event_type",
+)
+def latency_summary(spark: SparkSession, sf: str) -> DataFrame:
+    out = metrics.latency_summary(views.table(spark, sf, "events"), "value", ["event_type"])
+    return round_columns(out, **{c: 4 for c in ("mean", "min", "max", "per_second", "p50", "p75", "p95", "p99")})
+
+
+def _long(sql: str, section: str, item: str, measures: Sequence[str]) -> str:
+    """Rows (section, item, measure, value) of a query's columns."""
+    return " union all ".join(f"select '{section}' as section, {item} as item, '{m}' as measure, {r(m, 4)} as value from ({sql}) x" for m in measures)
+
+
+def _flat(record: DataFrame, section: str, struct: str, measures: Sequence[str], item: Column) -> DataFrame:
+    """The same of a record: ``struct`` is a struct or an array of structs."""
+    source = F.col(struct) if record.schema[struct].dataType.typeName() == "array" else F.array(struct)
+    rows = record.select(F.explode(source).alias("x"))
+    each = F.array(*[F.struct(F.lit(m).alias("measure"), rounded(F.col(f"x.{m}").cast("double"), 4).alias("value")) for m in measures])
+    return rows.select(F.lit(section).alias("section"), item.alias("item"), F.explode(each).alias("m")).select("section", "item", "m.*")
+
+
+_RATES = ("precision", "recall", "f1")
+
+
+@register(
+    "evaluation_record",
+    _long(ORACLES["evaluate"], "metrics", "''", ("auc_pr", "auc_roc", *_RATES, "false_negative_rate"))
+    + " union all " + _long(ORACLES["pr_curve"], "curve", "printf('%.6f', threshold)", ("precision", "recall"))
+    + " union all " + _long(ORACLES["classification_report"], "report", "class", (*_RATES, "support"))
+    + " union all " + _long(ORACLES["evaluate"], "confusion", "''", ("true_negatives", "false_positives", "false_negatives", "true_positives")),
+)
+def evaluation_record(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole evaluation of a model, as it is kept for a training run, in rows."""
+    record = stored(reports.evaluation_record(views.scores(spark, sf), "pa"))
+    whole = record.withColumn("metrics", F.struct("auc_pr", "auc_roc", *_RATES, "false_negative_rate"))
+    matrix = [[("true_negatives"), ("false_positives")], [("false_negatives"), ("true_positives")]]
+    whole = whole.withColumn("confusion", F.struct(*[F.col("confusion_matrix")[i][j].alias(n) for i, row in enumerate(matrix) for j, n in enumerate(row)]))
+    out = _flat(whole, "metrics", "metrics", ("auc_pr", "auc_roc", *_RATES, "false_negative_rate"), F.lit(""))
+    out = out.unionByName(_flat(whole, "curve", "precision_recall_curve", ("precision", "recall"), fixed(rounded(F.col("x.threshold"), 6), 6)))
+    out = out.unionByName(_flat(whole, "report", "classification_report", (*_RATES, "support"), F.col("x.class")))
+    return out.unionByName(_flat(whole, "confusion", "confusion", [n for row in matrix for n in row], F.lit("")))
+
+
+_CALIBRATED = "1 / (1 + exp(-(9.5::double * pa - 7.0::double)))"
+_SPREAD = ("score_min", "p10", "p50", "p90", "score_max", "share_gt_40", "share_gt_50")
+
+
+@register(
+    "calibration_record",
+    _long(ORACLES["score_distribution"], "before", "''", _SPREAD)
+    + " union all " + _long(ORACLES["score_distribution"].replace(f"with {SCORES}", f"with {SCORES.replace('scores as (', 'raw as (')}, scores as (select y, {_CALIBRATED} as pa from raw)"), "after", "''", _SPREAD)
+    + " union all " + _long(ORACLES["threshold_sweep"].replace(f"with {SCORES}", f"with {SCORES.replace('scores as (', 'raw as (')}, scores as (select y, {_CALIBRATED} as pa from raw)"), "sweep", "printf('%.2f', threshold)", (*_RATES, "improvement_pct")),
+)
+def calibration_record(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole calibration report of a fixed Platt calibrator, in rows."""
+    scores = stored(calibrate.Platt(9.5, -7.0).transform(views.scores(spark, sf), "pa", "calibrated"))
+    record = stored(reports.calibration_record(scores, "pa", "calibrated", "y", "platt"))
+    out = _flat(record, "before", "distribution_before", _SPREAD, F.lit(""))
+    out = out.unionByName(_flat(record, "after", "distribution_after", _SPREAD, F.lit("")))
+    return out.unionByName(_flat(record, "sweep", "sweep", (*_RATES, "improvement_pct"), fixed(F.col("x.threshold"), 2)))
+
+
 # -- bootstrap ---------------------------------------------------------------------------------
 
-REPLICATES = 20
+REPLICATES = 500
 
 
 def _boot_cte(score: str, name: str) -> str:
-    digest = "md5(concat_ws(':', '42' || (k // 6), cast(TransactionID as varchar)))"
-    bits = f"cast('0x' || substr({digest}, 1 + 15 * (k % 6 // 3), 15) as bigint)"
-    unit = f"(({bits} >> (40 - 20 * (k % 3))) & 1048575)::double / 1048576.0::double"
-    return f"""{name}_w as (
-  select k, {score} as s, y, {poisson(unit)} as w from scores, range({REPLICATES}) t(k)),
+    digest = "md5(concat_ws(':', '42' || g, cast(TransactionID as varchar)))"
+    bits = "cast('0x' || substr(d, 1 + 15 * (j // 3), 15) as bigint)"
+    unit = f"(({bits} >> (40 - 20 * (j % 3))) & 1048575)::double / 1048576.0::double"
+    return f"""{name}_d as (select {score} as s, y, g, {digest} as d from scores, range({-(-REPLICATES // 6)}) t(g)),
+{name}_w as (select g * 6 + j as k, s, y, {poisson(unit)} as w from {name}_d, range(6) x(j) where g * 6 + j < {REPLICATES}),
 {name}_cells as (select k, s, sum(w * y) as tp, sum(w * (1 - y)) as fp from {name}_w group by k, s),
 {name}_curve as (select k, tp, fp, sum(tp) over o as ctp, sum(fp) over o as cfp,
     sum(tp) over (partition by k) as ntp from {name}_cells window o as (partition by k order by s desc)),
@@ -214,7 +287,7 @@ def _boot_cte(score: str, name: str) -> str:
       count(*) as replicates from a_ap""",
 )
 def bootstrap_ci(spark: SparkSession, sf: str) -> DataFrame:
-    out = metrics.bootstrap_ci(views.scores(spark, sf), "pa", replicates=REPLICATES)
+    out = bootstrap.bootstrap_ci(views.scores(spark, sf), "pa", replicates=REPLICATES)
     return round_columns(out, ci_low=6, ci_high=6)
 
 
@@ -227,7 +300,7 @@ def bootstrap_ci(spark: SparkSession, sf: str) -> DataFrame:
     from a_ap join b_ap on a_ap.k = b_ap.k""",
 )
 def bootstrap_significance(spark: SparkSession, sf: str) -> DataFrame:
-    out = metrics.bootstrap_significance(views.scores(spark, sf), "pb", "pa", replicates=REPLICATES)
+    out = bootstrap.bootstrap_significance(views.scores(spark, sf), "pb", "pa", replicates=REPLICATES)
     return round_columns(out, p_value=6).withColumn("significant", F.col("significant").cast("int"))
 
 
@@ -307,7 +380,11 @@ def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("is_train", F.col("is_train").cast("int"))
 
 
-@register("kfold_assign", f"with {_RANKED} select TransactionID, isFraud, cast(rk % 5 as integer) as fold from ranked")
+@register(
+    "kfold_assign",
+    f"""with {_RANKED} select TransactionID, isFraud,
+      {' + '.join(f'cast(rk >= n * {j} // 5 as integer)' for j in range(1, 5))} as fold from ranked""",
+)
 def kfold_assign(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.kfold(views.tx_events(spark, sf).select("TransactionID", "isFraud"))
 

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from riskspark.ml import calibrate
 from riskspark.operators import metrics, profiles, sampling
+from riskspark.plans import reports
 from riskspark.plans.features import build_features, drop_features
 from riskspark.plans.model import RiskModel, Settings, fit_model
 from riskspark.session import stored
 from riskspark.sources import io
-from riskspark.sources.schema import ADDRESS, MERCHANT, VELOCITY, feature_columns
+from riskspark.sources.schema import ADDRESS, FEATURES, MERCHANT, VELOCITY, feature_columns
 
 
 def prepare(
@@ -26,7 +27,9 @@ def prepare(
     ``history`` the test windows also see the training rows. Returns train, test, feature names, risk
     profile and card statistics.
     """
-    split = sampling.stratified_split(df, fraction)
+    # Stored once, as narrow as the features allow: the split, the statistics and both builds read it.
+    needed = {"TransactionID", "isFraud", "TransactionDT", "event_time", "TransactionAmt", "ProductCD", "card1", "addr1", "addr2", *FEATURES}
+    split = stored(sampling.stratified_split(df.select(*[c for c in df.columns if c in needed]), fraction))
     train, test = (split.filter(c).drop("is_train") for c in (F.col("is_train"), ~F.col("is_train")))
     risk, cards = stored(profiles.risk_profile(train)), stored(profiles.card_stats(train))
     past = train.select("card1", "event_time", "TransactionAmt") if history else None
@@ -120,21 +123,6 @@ def ablation(
     return table, scores
 
 
-def ablation_significance(scores: dict[str, DataFrame], replicates: int = 500) -> DataFrame:
-    """Paired bootstrap of the full model against each baseline."""
-    full = scores[SUBJECT].select("TransactionID", "isFraud", F.col("fraud_score").alias("b"))
-    out = None
-    for name in BASELINES:
-        if name not in scores:
-            continue
-        theirs = scores[name].select("TransactionID", F.col("fraud_score").alias("a"))
-        both = stored(full.join(theirs, "TransactionID"))
-        one = metrics.bootstrap_significance(both, "a", "b", "isFraud", replicates=replicates)
-        one = one.select(F.lit(name).alias("baseline"), *one.columns)
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 # -- jobs over files ---------------------------------------------------------------------------
 
 
@@ -145,8 +133,8 @@ def run_training(
     settings: Settings = Settings(),
     fraction: float = 0.8,
 ) -> DataFrame:
-    """From raw tables to a saved model: writes the profiles, test features, metrics and model under
-    ``out`` and returns the metrics row."""
+    """From raw tables to a saved model: writes the profiles, test features, the evaluation record and the model under
+    ``out`` and returns the record."""
     spark = transactions.sparkSession
     train, test, names, risk, cards = prepare(profiles.join_identity(transactions, identity), fraction)
     io.write_table(risk, f"{out}/risk_profile")
@@ -154,17 +142,37 @@ def run_training(
     io.write_table(test, f"{out}/test_features")
     model = fit_model(train, names, settings)
     model.save(spark, f"{out}/model")
-    io.write_metrics(evaluate_model(model, test), f"{out}/metrics")
-    return spark.read.json(f"{out}/metrics")
+    scored = stored(model.score(test, keep=("TransactionID", "isFraud")))
+    return _kept(reports.evaluation_record(scored, "fraud_score", "isFraud"), f"{out}/metrics")
 
 
 def run_calibration(spark: SparkSession, out: str, method: str = "platt") -> DataFrame:
-    """Calibrates the model saved under ``out`` on its test features, saves it again with the calibrator
-    and returns the before/after table."""
+    """Calibrates the model saved under ``out`` on 40 % of its test features, saves it again with the calibrator and returns
+    the calibration record of the other 60 %."""
     model = RiskModel.load(spark, f"{out}/model")
     model.calibrator = None
     scored = stored(model.score(io.read_features(spark, f"{out}/test_features"), keep=("TransactionID", "isFraud")))
-    table, model.calibrator = calibrate_and_compare(scored, "raw_score", "isFraud", method)
+    split = stored(sampling.stratified_split(scored, 0.4, "isFraud"))
+    model.calibrator = calibrate.FITTERS[method](split.filter("is_train"), "raw_score", "isFraud")
+    rest = stored(model.calibrator.transform(split.filter("not is_train"), "raw_score", "calibrated"))
     model.save(spark, f"{out}/calibrated_model")
-    io.write_metrics(table, f"{out}/calibration")
-    return spark.read.json(f"{out}/calibration")
+    return _kept(reports.calibration_record(rest, "raw_score", "calibrated", "isFraud", method), f"{out}/calibration")
+
+
+def run_ablation(
+    transactions: DataFrame,
+    identity: DataFrame | None,
+    out: str,
+    settings: Settings = Settings(),
+    variants: Sequence[str] = tuple(VARIANTS),
+    replicates: int = 500,
+) -> DataFrame:
+    """Fits and tests every variant and returns the ablation record, which is kept under ``out``."""
+    train, test, names, _, _ = prepare(profiles.join_identity(transactions, identity))
+    table, scores = ablation(train, test, names, settings, variants)
+    return _kept(reports.ablation_record(stored(table), scores, SUBJECT, BASELINES, replicates=replicates), f"{out}/ablation")
+
+
+def _kept(record: DataFrame, path: str) -> DataFrame:
+    io.write_metrics(record, path)
+    return record.sparkSession.read.schema(record.schema).json(path)

@@ -108,31 +108,6 @@ def test_pr_curve_starts_at_the_lowest_threshold(spark):
     assert got[0].recall == 1
 
 
-def test_bootstrap(spark):
-    df = scored(spark, random_scores(9, 300, hot=0))
-    reps = metrics.bootstrap_auc(df, "p", replicates=30, batch=8)
-    values = sorted(r.auc_pr for r in reps.collect())
-    assert len(values) == 30 and [r.replicate for r in reps.orderBy("replicate").collect()] == list(range(30))
-    point = metrics.auc(df, "p").first().auc_pr
-    ci = metrics.bootstrap_ci(df, "p", replicates=30).first()
-    assert ci.ci_low < point < ci.ci_high
-    again = metrics.bootstrap_ci(df.repartition(7), "p", replicates=30).first()
-    assert (again.ci_low, again.ci_high) == pytest.approx((ci.ci_low, ci.ci_high))
-
-
-def test_bootstrap_weights_are_poisson(spark):
-    df = spark.range(20000).select(F.col("id").alias("TransactionID"))
-    w = metrics.with_bootstrap_weights(df, range(5), "TransactionID", "1")
-    row = w.agg(*[F.avg(f"w{r}") for r in range(5)], *[F.var_pop(f"w{r}") for r in range(5)], F.corr("w0", "w1")).first()
-    assert all(abs(x - 1) < 0.05 for x in row[:10]) and abs(row[10]) < 0.03
-
-
-def test_significance_of_a_model_against_itself(spark):
-    df = scored(spark, random_scores(10)).withColumn("q", F.col("p"))
-    row = metrics.bootstrap_significance(df, "p", "q", replicates=8).first()
-    assert row.p_value == 1 and not row.significant
-
-
 def test_ablation_summary(spark):
     table = spark.createDataFrame(
         [("full", 0.1655, 0.141), ("a", 0.158, 0.119), ("b", 0.2163, 0.239), ("c", 0.4538, 0.21)],
