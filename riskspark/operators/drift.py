@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskspark.functions.numeric import ratio
-from riskspark.operators.ranking import cumulative, exact_percentiles, interpolated, percentile_cells, percentile_picks
+from riskspark.functions.text import fill, fixed
+from riskspark.operators.ranking import column_percentiles, cumulative, exact_percentiles, interpolated, percentile_cells, percentile_picks
 from riskspark.session import stored
 
-# Alert limits (fixed values).
+# Limits of the checks and the sentences of their alerts (fixed values). Numbers in braces have that many decimals.
 KS_P = 0.01
 KS_THRESHOLD = 0.05
 KS_CRITICAL = 0.2
@@ -22,6 +24,63 @@ METRIC_DROP = 0.05
 METRIC_DROP_CRITICAL = 0.1
 MIN_SCORES = 100
 EMPTY_SHARE = 1e-6
+KS_TEXT = "Score distribution drift detected (KS={value}, p={p}). Model may need retraining."
+PSI_TEXT = "PSI={value} ≥ 0.2. Score distribution has shifted significantly."
+PRECISION_TEXT = "Precision dropped from {base} to {value} (Δ={by} > threshold=0.05)"
+RECALL_TEXT = "Recall dropped from {base} to {value} (Δ={by} > threshold=0.05)"
+
+
+@dataclass(frozen=True)
+class Rule:
+    """One check of a row of measures: an alert is raised where ``fires`` holds, critical where ``critical`` does."""
+
+    metric: str
+    value: str
+    base: str
+    limit: float
+    fires: str
+    critical: str
+    text: str
+
+
+#: What an alert may be raised for, as conditions over ``MEASURES``.
+RULES = (
+    Rule("score_distribution_ks", "ks_stat", "0D", KS_THRESHOLD, f"p_value < {KS_P}D", f"ks_stat >= {KS_CRITICAL}D", KS_TEXT),
+    Rule("score_psi", "psi", "0D", PSI_THRESHOLD, f"psi >= {PSI_THRESHOLD}D", f"psi >= {PSI_CRITICAL}D", PSI_TEXT),
+    *(
+        Rule(
+            f"{name}_drift",
+            f"cur_{name}",
+            f"base_{name}",
+            METRIC_DROP,
+            f"cur_labelled > 0 and base_{name} - cur_{name} > {METRIC_DROP}D",
+            f"base_{name} - cur_{name} > {METRIC_DROP_CRITICAL}D",
+            text,
+        )
+        for name, text in (("precision", PRECISION_TEXT), ("recall", RECALL_TEXT))
+    ),
+)
+MEASURES = ("n_baseline", "n_current", "ks_stat", "p_value", "psi", "base_precision", "cur_precision", "base_recall", "cur_recall", "cur_labelled")
+
+
+def alerts_of(measures: DataFrame, keep: Sequence[str] = (), rules: Sequence[Rule] = RULES, min_scores: int = MIN_SCORES) -> DataFrame:
+    """The alerts of each row of measures, a table or a stream: ``keep``, metric, current_value, baseline_value, threshold,
+    severity, message. None below ``min_scores`` current scores or without a baseline."""
+    raised = []
+    for rule in rules:
+        value, base = F.expr(rule.value), F.expr(rule.base)
+        numbers = {"value": value, "base": base, "by": base - value, "p": F.col("p_value")}
+        alert = F.struct(
+            F.lit(rule.metric).alias("metric"),
+            value.alias("current_value"),
+            base.alias("baseline_value"),
+            F.lit(rule.limit).alias("threshold"),
+            F.when(F.expr(rule.critical), F.lit("critical")).otherwise(F.lit("warning")).alias("severity"),
+            fill(rule.text, {name: fixed(x, 4) for name, x in numbers.items()}).alias("message"),
+        )
+        raised.append(F.when(F.expr(rule.fires), alert))
+    enough = measures.filter((F.col("n_current") >= min_scores) & (F.col("n_baseline") > 0))
+    return enough.select(*keep, F.explode(F.array_compact(F.array(*raised))).alias("a")).select(*keep, "a.*")
 
 
 def sides(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -62,6 +121,11 @@ def _psi_of(bins_table: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
         return F.expr(f"array({each}) as {side}")
 
     wide = bins_table.groupBy(*by).agg(counts("b"), counts("c")) if by else bins_table.agg(counts("b"), counts("c"))
+    return _index(wide, by)
+
+
+def _index(wide: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by``, psi, n_baseline, n_current of rows with the counts of all bins as arrays ``b`` and ``c``."""
     keys = [f"`{c}`" for c in by]
     sized = wide.selectExpr(
         *keys, "b", "c", *[f"aggregate({s}, 0L, (a, x) -> a + x) as {n}" for s, n in (("b", "n_baseline"), ("c", "n_current"))]
@@ -110,18 +174,20 @@ def psi_of(cells: DataFrame, value: str = "score", bins: int = 10) -> DataFrame:
 
 
 def feature_psi(baseline: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
-    """PSI of every feature. The edges are one row per feature, a size fixed by the feature list."""
+    """PSI of every feature: feature, psi, n_baseline, n_current. The edges are numbers of the plan, and each table is
+    counted in one wide aggregate, without multiplying or moving its rows."""
+    edges = column_percentiles(baseline, features, [i / bins for i in range(1, bins)])
 
-    def long(df: DataFrame) -> DataFrame:
-        doubles = df.select(*[F.col(c).cast("double").alias(c) for c in features])
-        return doubles.unpivot([], list(features), "feature", "value").filter(F.col("value").isNotNull())
+    def counted(df: DataFrame) -> Column:
+        per_feature = []
+        for c in features:
+            at = _bin(F.col(c).cast("double"), edges[c])
+            per_feature.append(F.array(*[F.count(F.when(F.col(c).isNotNull() & (at == i), F.lit(1))) for i in range(bins)]))
+        return df.agg(F.array(*per_feature).alias("counts")).scalar()
 
-    edges = psi_edges(long(baseline), "value", bins, ["feature"])
-    both = sides(long(baseline), long(current), ["feature", "value"]).join(F.broadcast(edges), "feature")
-    at = _bin(F.col("value"), [F.col("percentiles")[i] for i in range(bins - 1)])
-    binned = both.select("feature", (1 - F.col("current")).alias("b"), F.col("current").alias("c"), at.alias("bin"))
-    counts = binned.groupBy("feature", "bin").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
-    return _psi_of(counts, ["feature"], bins)
+    names = F.array(*[F.lit(c) for c in features])
+    wide = baseline.sparkSession.range(1).select(names.alias("feature"), counted(baseline).alias("b"), counted(current).alias("c"))
+    return _index(wide.select(F.explode(F.arrays_zip("feature", "b", "c")).alias("x")).select("x.*"), ["feature"])
 
 
 def psi_by(baseline: DataFrame, current: DataFrame, by: str, value: str = "score", bins: int = 10) -> DataFrame:
@@ -218,7 +284,17 @@ def side_metrics(cells: DataFrame, score: str, threshold: float) -> DataFrame:
     return cells.agg(*aggs)
 
 
-ALERT = "metric string, current_value double, baseline_value double, threshold double, severity string, message string"
+def measures(baseline: DataFrame, current: DataFrame, score: str = "score", label: str | None = "y", threshold: float = 0.5) -> DataFrame:
+    """``MEASURES`` of two tables as one row. Labelled and unlabelled rows may be mixed: precision and recall use the
+    labelled ones. Without ``label`` there are none."""
+    cells = monitor_cells(baseline, current, score, label)
+    performance = ("base_precision", "cur_precision", "base_recall", "cur_recall", "cur_labelled")
+    if label is None:
+        known = cells.sparkSession.range(1).select(*[F.lit(0.0).alias(n) for n in performance])
+    else:
+        known = side_metrics(cells, score, threshold)
+    of = {"psi": psi_of(cells, score).select("psi").scalar(), "known": known.select(F.struct(*performance)).scalar()}
+    return ks_of(cells).withColumns(of).select("*", "known.*").select(*MEASURES)
 
 
 def drift_alerts(
@@ -229,40 +305,8 @@ def drift_alerts(
     threshold: float = 0.5,
     min_scores: int = MIN_SCORES,
 ) -> DataFrame:
-    """Alert rows: metric, current_value, baseline_value, threshold, severity, message.
-
-    No alerts below ``min_scores`` current scores. Labelled and unlabelled rows may be mixed:
-    precision and recall use the labelled ones. The data is reduced to one row of measures by Spark;
-    the at most four alerts follow from those numbers.
-    """
-    cells = monitor_cells(baseline, current, score, label)
-    ks = ks_of(cells).first()
-    alerts = []
-
-    def add(metric: str, value: float, base: float, limit: float, critical: bool, message: str) -> None:
-        alerts.append((metric, value, base, limit, "critical" if critical else "warning", message))
-
-    if ks["n_current"] >= min_scores and ks["n_baseline"] > 0:
-        stat, p = ks["ks_stat"], ks["p_value"]
-        if p < KS_P:
-            text = f"Score distribution drift detected (KS={stat:.4f}, p={p:.4f}). Model may need retraining."
-            add("score_distribution_ks", stat, 0.0, KS_THRESHOLD, stat >= KS_CRITICAL, text)
-        index = psi_of(cells, score).first()["psi"]
-        if index >= PSI_THRESHOLD:
-            text = f"PSI={index:.4f} ≥ {PSI_THRESHOLD}. Score distribution has shifted significantly."
-            add("score_psi", index, 0.0, PSI_THRESHOLD, index >= PSI_CRITICAL, text)
-        measured = None if label is None else side_metrics(cells, score, threshold).first()
-        if measured is not None and measured["cur_labelled"] > 0:
-            for name in ("precision", "recall"):
-                base, now = measured[f"base_{name}"], measured[f"cur_{name}"]
-                drop = base - now
-                if drop > METRIC_DROP:
-                    text = (
-                        f"{name.capitalize()} dropped from {base:.4f} to {now:.4f} "
-                        f"(Δ={drop:.4f} > threshold={METRIC_DROP})"
-                    )
-                    add(f"{name}_drift", now, base, METRIC_DROP, drop > METRIC_DROP_CRITICAL, text)
-    return baseline.sparkSession.createDataFrame(alerts, ALERT)
+    """Alert rows: metric, current_value, baseline_value, threshold, severity, message."""
+    return alerts_of(measures(baseline, current, score, label, threshold), min_scores=min_scores)
 
 
 def drift_summary(baseline: DataFrame, window: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
@@ -293,34 +337,14 @@ def last_n(df: DataFrame, n: int = 1000, time: str = "event_time", key: str = "T
 # -- alert cooldown ----------------------------------------------------------------------------
 
 
-def cooldown(
-    alerts: DataFrame,
-    key: str = "metric",
-    time: str = "event_time",
-    seconds: int = 3600,
-    fold_limit: int = 100_000,
-) -> DataFrame:
+def cooldown(alerts: DataFrame, key: str = "metric", time: str = "event_time", seconds: int = 3600) -> DataFrame:
     """(key, time) of the alerts to send: the first one, then each first one at least ``seconds``
     after the last one sent.
 
-    Keys with at most ``fold_limit`` distinct times are folded in order. Beyond that the chain is
-    followed by pointer doubling, which no key can turn into one large task.
+    The chain is followed by pointer doubling, which no key can turn into one large task.
     """
-    times = alerts.filter(F.col(time).isNotNull()).select(key, F.unix_micros(time).alias("us")).distinct()
-    largest = times.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    gap = seconds * 1_000_000
-    kept = _cooldown_fold(times, key, gap) if largest <= fold_limit else _cooldown_doubling(times, key, gap)
-    return kept.select(key, F.timestamp_micros("us").alias(time))
-
-
-def _cooldown_fold(times: DataFrame, key: str, gap: int) -> DataFrame:
-    def step(acc: Column, t: Column) -> Column:
-        due = (F.size(acc) == 0) | (t - F.element_at(acc, F.when(F.size(acc) == 0, F.lit(None)).otherwise(-1)) >= gap)
-        return F.when(due, F.concat(acc, F.array(t))).otherwise(acc)
-
-    empty = F.array().cast("array<bigint>")
-    sent = F.aggregate(F.array_sort(F.collect_list("us")), empty, step)
-    return times.groupBy(key).agg(sent.alias("sent")).select(key, F.explode("sent").alias("us"))
+    times = stored(alerts.filter(F.col(time).isNotNull()).select(key, F.unix_micros(time).alias("us")).distinct())
+    return _cooldown_doubling(times, key, seconds * 1_000_000).select(key, F.timestamp_micros("us").alias(time))
 
 
 def _cooldown_doubling(times: DataFrame, key: str, gap: int) -> DataFrame:

@@ -3,51 +3,55 @@ not depend on partitioning and every retry of a task gives the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskspark.functions.numeric import hash_uniform
-from riskspark.operators.ranking import hash_rank
 
 
 SLICES = 1 << 16
 
 
-def first_of_class(df: DataFrame, wanted: Column, label: str, key: str, seed: str) -> Column:
-    """A condition that holds for the ``wanted`` first rows of each class in hash order.
+def first_of_class(df: DataFrame, wanted: Sequence[Column], label: str, key: str, seed: str) -> list[Column]:
+    """Conditions that hold for the ``wanted`` first rows of each class in hash order, one for each of ``wanted``.
 
-    Counts per class and slice of the hash range (combined before the shuffle) tell in which slice a
-    class reaches its number; only the rows of that slice are ordered. One cut-off row per class comes
-    back, so the condition is a row expression and neither the table nor its keys are shuffled.
+    Counts per class and slice of the hash range (combined before the shuffle) tell in which slices a
+    class reaches its numbers; only the rows of these slices are ordered. One cut-off row per class and number comes
+    back, so the conditions are row expressions and neither the table nor its keys are shuffled.
     ``wanted`` may use the label and ``group_rows``.
     """
     u = hash_uniform(seed, F.col(key), digits=13)
     piece = F.floor(u * SLICES).cast("int")
     earlier = W.partitionBy(label).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    reached = (F.col("_before") < F.col("_wanted")) & (F.col("_wanted") <= F.col("_before") + F.col("_n"))
     counts = (
         df.groupBy(label, piece.alias("_slice"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .withColumn("group_rows", F.sum("_n").over(W.partitionBy(label)))
-        .withColumn("_wanted", wanted)
-        .filter((F.col("_before") < F.col("_wanted")) & (F.col("_wanted") <= F.col("_before") + F.col("_n")))
+        .select("*", F.posexplode(F.array(*[w.cast("bigint") for w in wanted])).alias("_which", "_wanted"))
+        .filter(reached)
     )
-    chosen = here = F.lit(False)
-    found = {r[label]: r for r in counts.collect()}  # one row per class
-    for row in found.values():
-        here = here | (F.col(label).eqNullSafe(F.lit(row[label])) & (piece == F.lit(row["_slice"])))
+    chosen = [F.lit(False) for _ in wanted]
+    found = counts.collect()  # one row per class and number
     if not found:
         return chosen
-    rank = F.row_number().over(W.partitionBy(label).orderBy("_u", key))
-    slices = df.filter(here).select(label, key, u.alias("_u")).withColumn("_rank", rank)
-    last = F.lit(False)
-    for row in found.values():
-        place = F.col("_rank") == F.lit(row["_wanted"] - row["_before"])
-        last = last | (F.col(label).eqNullSafe(F.lit(row[label])) & place)
-    for row in slices.filter(last).collect():  # one row per class
+    mine = lambda row: F.col(label).eqNullSafe(F.lit(row[label]))
+    places = sorted({(row[label] is None, row[label], row["_slice"]) for row in found}, key=repr)
+    here = reduce(or_, [F.col(label).eqNullSafe(F.lit(c)) & (piece == F.lit(s)) for _, c, s in places])
+    rank = F.row_number().over(W.partitionBy(label, "_slice").orderBy("_u", key))
+    slices = df.filter(here).select(label, key, u.alias("_u"), piece.alias("_slice")).withColumn("_rank", rank)
+    last = [mine(r) & (F.col("_slice") == r["_slice"]) & (F.col("_rank") == r["_wanted"] - r["_before"]) for r in found]
+    at = {(r[label], r["_slice"], r["_rank"]): r for r in slices.filter(reduce(or_, last)).collect()}
+    for r in found:
+        row = at[r[label], r["_slice"], r["_wanted"] - r["_before"]]
         upto = (u < F.lit(row["_u"])) | ((u == F.lit(row["_u"])) & (F.col(key) <= F.lit(row[key])))
-        chosen = chosen | (F.col(label).eqNullSafe(F.lit(row[label])) & upto)
+        chosen[r["_which"]] = chosen[r["_which"]] | (mine(r) & upto)
     return chosen
 
 
@@ -57,7 +61,7 @@ def stratified_split(
     """Adds ``is_train``: exactly ceil(fraction * n) rows of each class."""
     # The small slack keeps a product such as 0.8 * 10 from being rounded above the whole number.
     wanted = F.ceil(F.lit(fraction) * F.col("group_rows") - F.lit(1e-9))
-    return df.withColumn("is_train", first_of_class(df, wanted, label, key, seed))
+    return df.withColumn("is_train", first_of_class(df, [wanted], label, key, seed)[0])
 
 
 def hash_split(df: DataFrame, fraction: float = 0.8, key: str = "TransactionID", seed: str = "42") -> DataFrame:
@@ -68,16 +72,17 @@ def hash_split(df: DataFrame, fraction: float = 0.8, key: str = "TransactionID",
 def kfold(
     df: DataFrame, k: int = 5, label: str = "isFraud", key: str = "TransactionID", seed: str = "42"
 ) -> DataFrame:
-    """Adds ``fold`` 0..k-1; folds of a class differ by at most one row."""
-    ranked = hash_rank(df, seed, key, [label])
-    return ranked.withColumn("fold", F.pmod(F.col("hash_rank"), F.lit(k)).cast("int")).select(*df.columns, "fold")
+    """Adds ``fold`` 0..k-1, consecutive parts of each class in hash order; folds of a class differ by at most one row.
+    A fold is a row expression, so the table stays where it is."""
+    borders = first_of_class(df, [F.expr(f"group_rows * {j} div {k}") for j in range(1, k)], label, key, seed)
+    return df.withColumn("fold", sum(((~b).cast("int") for b in borders), F.lit(0)))
 
 
 def _per_class(df: DataFrame, n_fraud: int, n_legit: int, label: str, key: str, seed: str) -> DataFrame:
     wanted = F.when(F.col(label) == 1, F.least(F.lit(n_fraud), F.col("group_rows"))).when(
         F.col(label) == 0, F.least(F.lit(n_legit), F.col("group_rows"))
     )
-    return df.filter(first_of_class(df, wanted, label, key, seed))
+    return df.filter(first_of_class(df, [wanted], label, key, seed)[0])
 
 
 def _class_counts(df: DataFrame, label: str) -> tuple[int, int]:

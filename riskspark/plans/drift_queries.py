@@ -68,7 +68,7 @@ def psi(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(drift.psi(*views.baseline_and_current(spark, sf)), psi=6)
 
 
-_PSI_FEATURES = ("TransactionAmt", "C1", "addr1")
+_PSI_FEATURES = ("TransactionDT", "TransactionAmt", "card1", "C1", "addr1", "addr2", "isFraud")
 
 
 def _feature_psi_sql() -> str:
@@ -76,7 +76,7 @@ def _feature_psi_sql() -> str:
     for c in _PSI_FEATURES:
         parts.append(
             f"select '{c}' as feature, cast({c} as double) as value, "
-            f"cast(event_time >= timestamp '{BASELINE_END}' as integer) as side from tx_events"
+            f"cast(event_time >= timestamp '{BASELINE_END}' as integer) as side from tx_events where {c} is not null"
         )
     edges = _EDGES.replace("score", "value")
     return f"""with {TX_EVENTS}, long as ({' union all '.join(parts)}),
@@ -138,6 +138,50 @@ def drift_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(out, current_value=6, baseline_value=6)
 
 
+def alerts_by_part(parts: int) -> str:
+    """The alerts of the newest 1000 later scores after each of ``parts`` parts of equal time."""
+    return f"""with {SIDES},
+    span as (select min(epoch_us(event_time)) as low, max(epoch_us(event_time)) as high from current_scores),
+    arrived as (select c.*, least({parts - 1}, cast(floor((epoch_us(event_time) - low) * {parts} / cast(high - low + 1 as double)) as integer)) as part
+      from current_scores c, span),
+    checks as (select distinct part as upto from arrived),
+    held as (select upto, event_time, score, y from (
+        select upto, a.*, row_number() over (partition by upto order by event_time desc, TransactionID desc) as place
+        from checks join arrived a on a.part <= upto) x where place <= 1000),
+    sizes as (select upto, count(*) as m, max(epoch_us(event_time)) as sent_us, (select count(*) from baseline) as n,
+        count(*) filter (score >= 0.5::double and y = 1)::double as hits, count(*) filter (score >= 0.5::double) as flagged,
+        count(*) filter (y = 1) as pos from held group by upto),
+    base as (select count(*) filter (score >= 0.5::double and y = 1)::double / greatest(count(*) filter (score >= 0.5::double), 1) as p,
+        count(*) filter (score >= 0.5::double and y = 1)::double / greatest(count(*) filter (y = 1), 1) as rc from baseline),
+    edges as (select {_EDGES} as e from baseline),
+    base_bins as (select i, case when count(bin) = 0 then 1e-6 else count(bin)::double / (select count(*) from baseline) end as b
+      from range(10) t(i) left join (select {_bin()} as bin from baseline, edges) q on bin = i group by i),
+    held_bins as (select s.upto, i, case when count(q.bin) = 0 then 1e-6 else count(q.bin)::double / any_value(m) end as c
+      from (select * from sizes, range(10) t(i)) s left join (select upto, {_bin()} as bin from held, edges) q
+        on q.upto = s.upto and q.bin = s.i group by s.upto, i),
+    psi_rows as (select upto, sum((c - b) * ln(c / b)) as psi from held_bins join base_bins using (i) group by upto),
+    pooled as (select upto, score, sum(b) as b, sum(c) as c from (
+        select upto, score, 1 as b, 0 as c from baseline, checks union all select upto, score, 0, 1 from held) x group by upto, score),
+    ecdf as (select upto, sum(b) over w / (sum(b) over p)::double as fb, sum(c) over w / (sum(c) over p)::double as fc
+      from pooled window w as (partition by upto order by score), p as (partition by upto)),
+    ks_rows as (select upto, max(abs(fb - fc)) as ks_stat from ecdf group by upto),
+    measured as (select *, {ks_p('ks_stat', 'n', 'm')} as p_value, hits / greatest(flagged, 1) as cp, hits / greatest(pos, 1) as cr
+      from sizes join psi_rows using (upto) join ks_rows using (upto), base where m >= 100),
+    alerts as (
+      select sent_us, 'score_distribution_ks' as metric, ks_stat as cur, 0.0::double as base, 0.05::double as threshold,
+        ks_stat >= 0.2::double as critical,
+        printf('Score distribution drift detected (KS=%.4f, p=%.4f). Model may need retraining.', ks_stat, p_value) as message
+      from measured where p_value < 0.01::double
+      union all select sent_us, 'score_psi', psi, 0.0::double, 0.2::double, psi >= 0.25::double,
+        printf('PSI=%.4f ≥ 0.2. Score distribution has shifted significantly.', psi) from measured where psi >= 0.2::double
+      union all select sent_us, 'precision_drift', cp, p, 0.05::double, p - cp > 0.1::double,
+        printf('Precision dropped from %.4f to %.4f (Δ=%.4f > threshold=0.05)', p, cp, p - cp) from measured where p - cp > 0.05::double
+      union all select sent_us, 'recall_drift', cr, rc, 0.05::double, rc - cr > 0.1::double,
+        printf('Recall dropped from %.4f to %.4f (Δ=%.4f > threshold=0.05)', rc, cr, rc - cr) from measured where rc - cr > 0.05::double)
+    select sent_us, metric, {r('cur')} as current_value, {r('base')} as baseline_value, threshold,
+      case when critical then 'critical' else 'warning' end as severity, message from alerts"""
+
+
 @register("drift_summary", f"""with {SIDES}, {SIDE_METRICS}
     select count(*) as window_size, {r('avg(score)')} as avg_fraud_score,
       {r('avg(cast(score >= 0.5::double as integer))')} as fraud_rate, 1 as baseline_set,
@@ -150,15 +194,16 @@ def drift_summary(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(out, avg_fraud_score=6, fraud_rate=6, baseline_precision=6, baseline_recall=6)
 
 
-@register("drift_status", f"""with {SIDES}, {PSI}, {KS}, {SIDE_METRICS}
-    select (select count(*) from current_scores) as window_size,
-      (select cast({ks_p('ks_stat', 'n', 'm')} < 0.01::double and m >= 100 as integer) from ks_row)
-      + (select cast(psi >= 0.2::double as integer) from psi_row)
-      + (select cast(count(*) as integer) from drops where base - cur > 0.05::double) as n_alerts""")
+@register("drift_status", f"""with {SIDES}, {ALERTS}
+    select (select count(*) from current_scores) as window_size, (select {r('avg(score)')} from current_scores) as avg_fraud_score,
+      metric, {r('cur')} as current_value, {r('base')} as baseline_value, case when critical then 'critical' else 'warning' end as severity,
+      message from alerts""")
 def drift_status(spark: SparkSession, sf: str) -> DataFrame:
+    """The status row, its alerts listed one below the other."""
     base, cur = views.baseline_and_current(spark, sf)
     out = drift.drift_status(drift.drift_summary(base, cur), drift.drift_alerts(base, cur))
-    return out.select("window_size", F.size("alerts").alias("n_alerts"))
+    out = out.select("window_size", "avg_fraud_score", F.inline("alerts")).drop("threshold")
+    return round_columns(out, avg_fraud_score=6, current_value=6, baseline_value=6)
 
 
 @register("rolling_last_n", f"""with {SCORES}
@@ -263,25 +308,25 @@ def top_risk_factors(spark: SparkSession, sf: str) -> DataFrame:
 
 def _wide(spark: SparkSession, sf: str) -> DataFrame:
     df = contributions(spark, sf)
-    return df.select("isFraud", *[F.col("contributions")[i]["shap_value"].alias(c) for i, c in enumerate(COEFFICIENTS)][:3])
+    return df.select(F.col("isFraud").alias("class"), *[F.col("contributions")[i]["shap_value"].alias(c) for i, c in enumerate(COEFFICIENTS)])
 
 
 @register("global_importance", f"""with {_CONTRIB},
-    g as (select feature, avg(abs(v)) as m, stddev_pop(abs(v)) as s from long where feature <> 'isFraud' group by feature)
+    g as (select feature, avg(abs(v)) as m, stddev_pop(abs(v)) as s from long group by feature)
     select cast(row_number() over (order by m desc, feature) as integer) as rank, feature, {r('m')} as shap_mean,
       {r('s')} as shap_std, cast(s >= 0.5::double * m as integer) as unstable from g""")
 def global_importance(spark: SparkSession, sf: str) -> DataFrame:
-    out = attribution.importance(_wide(spark, sf), list(COEFFICIENTS)[:3], top=30)
+    out = attribution.importance(_wide(spark, sf), list(COEFFICIENTS), top=30)
     return round_columns(out.withColumn("unstable", F.col("unstable").cast("int")), shap_mean=6, shap_std=6)
 
 
 @register("importance_by_class", f"""with {_CONTRIB},
-    g as (select isFraud, feature, avg(abs(v)) as m from long where feature <> 'isFraud' group by isFraud, feature),
-    k as (select *, row_number() over (partition by isFraud order by m desc, feature) as rank from g)
-    select isFraud, cast(rank as integer) as rank, feature, {r('m')} as shap_mean from k where rank <= 2""")
+    g as (select isFraud as class, feature, avg(abs(v)) as m from long group by isFraud, feature),
+    k as (select *, row_number() over (partition by class order by m desc, feature) as rank from g)
+    select class, cast(rank as integer) as rank, feature, {r('m')} as shap_mean from k where rank <= 15""")
 def importance_by_class(spark: SparkSession, sf: str) -> DataFrame:
-    out = attribution.importance(_wide(spark, sf), list(COEFFICIENTS)[:3], by="isFraud", top=2)
-    return round_columns(out.select("isFraud", "rank", "feature", "shap_mean"), shap_mean=6)
+    out = attribution.importance(_wide(spark, sf), list(COEFFICIENTS), by="class", top=15)
+    return round_columns(out.select("class", "rank", "feature", "shap_mean"), shap_mean=6)
 
 
 def _explained(spark: SparkSession, sf: str) -> DataFrame:

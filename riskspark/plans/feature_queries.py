@@ -219,17 +219,17 @@ def card_stats(spark: SparkSession, sf: str) -> DataFrame:
         coalesce(card_std_amt, 0) as s, coalesce(card_tx_count, 0) as n
       from tx_orders t left join cards c on t.card1 = c.card1)
     select TransactionID, {r('m', 2)} as card_avg_amt, {r('s', 2)} as card_std_amt, n as card_tx_count,
-      {r('case when s > 0 then (TransactionAmt - m) / (s + 1e-6) else 0 end', 4)} as amt_zscore
+      case when s > 0 then {r('(TransactionAmt - m) / (s + 1e-6)', 4)} else {r('(TransactionAmt - m) / (s + 1e-6) * 1e-6', 2)} end as amt_zscore
     from joined""",
 )
 def card_aggregates(spark: SparkSession, sf: str) -> DataFrame:
     df = views.tx_orders(spark, sf)
     train = df.filter(F.col("event_time") < F.to_timestamp(F.lit("1998-01-01")))
     out = profiles.add_card_aggregates(df.select("TransactionID", "card1", "TransactionAmt"), profiles.card_stats(train))
-    # With std 0 the z-score is the amount's last-digit noise times a million; it is reported as 0 here.
-    z = F.when(F.col("card_std_amt") > 0, F.col("amt_zscore")).otherwise(F.lit(0.0))
+    # With std 0 the z-score is a million times the distance from the mean; it is shown in millions, to two places.
+    z = F.when(F.col("card_std_amt") > 0, rounded(F.col("amt_zscore"), 4)).otherwise(rounded(F.col("amt_zscore") * 1e-6, 2))
     out = out.withColumn("amt_zscore", z).drop("card1", "TransactionAmt")
-    return round_columns(out, card_avg_amt=2, card_std_amt=2, amt_zscore=4)
+    return round_columns(out, card_avg_amt=2, card_std_amt=2)
 
 
 @register(
