@@ -110,33 +110,66 @@ def pattern_tables(leaves: Sequence[Leaf]) -> list[np.ndarray]:
     return tables
 
 
+@dataclass(frozen=True)
+class Conditions:
+    """The distinct conditions of all leaves of a model, (feature, low, high], and for each leaf the rows of its own."""
+
+    distinct: tuple[tuple[int, float, float], ...]
+    of_leaf: tuple[tuple[int, ...], ...]
+
+    def hold(self, columns: np.ndarray) -> np.ndarray:
+        """A row of zeros and ones for each condition, from features by rows. Each threshold is compared once; a missing
+        value takes the right branch, as in the model."""
+        upto: dict[tuple[int, float], np.ndarray] = {}
+
+        def below(f: int, t: float) -> np.ndarray:
+            if (f, t) not in upto:
+                upto[f, t] = columns[f] <= t
+            return upto[f, t]
+
+        out = np.ones((len(self.distinct), columns.shape[1]), np.uint8)
+        for row, (f, low, high) in zip(out, self.distinct):
+            if high < math.inf:
+                row &= below(f, high)
+            if low > -math.inf:
+                row &= ~below(f, low)
+        return out
+
+
+def conditions(leaves: Sequence[Leaf]) -> Conditions:
+    places: dict[tuple[int, float, float], int] = {}
+    of_leaf = tuple(tuple(places.setdefault(c, len(places)) for c in zip(leaf.features, leaf.low, leaf.high)) for leaf in leaves)
+    return Conditions(tuple(places), of_leaf)
+
+
 def batch_contributions(
-    x: np.ndarray, leaves: Sequence[Leaf], tables: Sequence[np.ndarray] | None = None, rows: int = 4096
+    x: np.ndarray, leaves: Sequence[Leaf], tables: Sequence[np.ndarray] | None = None, known: Conditions | None = None, rows: int = 4096
 ) -> np.ndarray:
-    """Shapley values of the margin for a batch: rows by features. Rows are taken in blocks that fit a cache.
-    A missing value takes the right branch, as in the model."""
+    """Shapley values of the margin for a batch: rows by features. Rows are taken in blocks that fit a cache; in a block
+    every condition is evaluated once, however many leaves of however many trees have it."""
     tables = pattern_tables(leaves) if tables is None else tables
+    known = conditions(leaves) if known is None else known
     out = np.zeros(x.shape)
     for start in range(0, len(x), rows):
         columns = np.ascontiguousarray(x[start : start + rows].T)
-        phi = np.zeros(columns.shape)
-        whole = np.ones(columns.shape[1], bool)
-        for leaf, table in zip(leaves, tables):
-            if not leaf.features:
+        phi, hold = np.zeros(columns.shape), known.hold(columns)
+        pattern, bits, bit, part = (np.empty(columns.shape[1], t) for t in (np.intp, np.uint8, np.uint8, np.float64))
+        for leaf, own, table in zip(leaves, known.of_leaf, tables):
+            if not own:
                 continue
-            # Conditions are bits of a byte each; longer paths take the next byte.
-            pattern: np.ndarray | int = 0
-            for low in range(0, len(leaf.features), 8):
-                bits = np.zeros(len(whole), np.uint8)
-                for i, k in enumerate(range(low, min(low + 8, len(leaf.features)))):
-                    values, least, most = columns[leaf.features[k]], leaf.low[k], leaf.high[k]
-                    holds = values <= most if most < math.inf else whole
-                    if least > -math.inf:
-                        holds = holds > (values <= least)
-                    bits |= holds.view(np.uint8) << np.uint8(i)
-                pattern = pattern | (bits.astype(np.intp) << low)
+            # Bits are put together in bytes, eight conditions at a time.
+            for low in range(0, len(own), 8):
+                bits[:] = hold[own[low]]
+                for i, row in enumerate(own[low + 1 : low + 8], 1):
+                    np.left_shift(hold[row], i, out=bit)
+                    bits |= bit
+                if low:
+                    pattern |= bits.astype(np.intp) << low
+                else:
+                    pattern[:] = bits
             for f, values in zip(leaf.features, table):
-                phi[f] += values.take(pattern, mode="clip")
+                values.take(pattern, mode="clip", out=part)
+                phi[f] += part
         out[start : start + rows] = phi.T
     return out
 
@@ -153,9 +186,9 @@ def tree_contributions(
     kept = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns if c not in keep])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = pattern_tables(shared.value)
+        tables, known = pattern_tables(shared.value), conditions(shared.value)
         for batch in batches:
-            phi = batch_contributions(batch[list(columns)].to_numpy(dtype=float), shared.value, tables)
+            phi = batch_contributions(batch[list(columns)].to_numpy(dtype=float), shared.value, tables, known)
             part = pd.DataFrame(phi, columns=names, index=batch.index)
             part["sum_shap"] = phi.sum(axis=1)
             part["expected_value"] = base

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.numeric import hash_uniform
+from riskspark.ml.trim import best_rounds, trimmed
 
 
 def assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -43,6 +44,15 @@ def fit_logistic(df: DataFrame, columns: Sequence[str], label: str = "isFraud",
     return estimator.fit(weighted.select("features", label, "_w"))
 
 
+#: Rows of a training partition at least: more and smaller ones only add to the time of each of many short jobs.
+PARTITION_ROWS = 20_000
+
+
+def held_out(key: str, seed: int, share: float = 0.15) -> Column:
+    """Picks the rows that only decide how many rounds to keep."""
+    return hash_uniform(f"stop{seed}", F.col(key)) < share
+
+
 def fit_trees(
     df: DataFrame,
     columns: Sequence[str],
@@ -54,24 +64,25 @@ def fit_trees(
     subsample: float = 0.8,
     feature_share: float = 0.8,
     min_rows: int = 5,
-    min_gain: float = 0.0,
+    penalty: float = 1.0,
+    patience: int = 30,
     validation_share: float = 0.15,
     positive_weight: float | None = None,
     seed: int = 42,
+    stop: Column | None = None,
 ) -> GBTClassificationModel:
-    """Boosted trees; a hash-picked share of the rows stops the boosting when it no longer improves.
+    """Boosted trees. A hash-picked share of the rows (or those where ``stop`` holds) is left out of the training; its
+    loss is taken after every round, and the rounds up to the lowest one before ``patience`` rounds without improvement are
+    kept. Splits that save less than ``penalty`` are then pruned.
 
     ``positive_weight`` defaults to negatives per positive. Features are sampled per node.
     """
-    if positive_weight is None:
-        pos, neg = class_ratio(df, label)
-        positive_weight = neg / max(pos, 1)
-    rows = assemble(df, columns).select(
-        "features",
-        F.col(label).cast("double").alias("label"),
-        F.when(F.col(label) == 1, F.lit(float(positive_weight))).otherwise(F.lit(1.0)).alias("weight"),
-        (hash_uniform(f"stop{seed}", F.col(key)) < validation_share).alias("held_out"),
-    )
+    stop = held_out(key, seed, validation_share) if stop is None else stop
+    rows = assemble(df, columns).select("features", F.col(label).cast("double").alias("label"), stop.alias("_stop"))
+    pos, neg = class_ratio(rows.filter("not _stop"), "label")
+    weight = neg / max(pos, 1) if positive_weight is None else positive_weight
+    rows = rows.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
+    training, checked = rows.filter("not _stop").drop("_stop"), rows.filter("_stop").drop("_stop")
     trees = GBTClassifier(
         labelCol="label",
         weightCol="weight",
@@ -81,12 +92,12 @@ def fit_trees(
         subsamplingRate=subsample,
         featureSubsetStrategy=str(feature_share),
         minInstancesPerNode=min_rows,
-        minInfoGain=min_gain,
         seed=seed,
     )
-    if validation_share > 0:
-        trees = trees.setValidationIndicatorCol("held_out")
-    return trees.fit(rows)
+    model = trees.fit(training.coalesce(max(1, -(-(pos + neg) // PARTITION_ROWS))))
+    losses = [] if checked.isEmpty() else model.evaluateEachIteration(checked)
+    keep = best_rounds(losses, patience) if losses else model.getNumTrees
+    return trimmed(df.sparkSession, model, keep, penalty)
 
 
 def probability(df: DataFrame, model, columns: Sequence[str], out: str = "probability") -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,44 +14,91 @@ from riskspark.session import stored
 
 
 def nearest_neighbours(
-    rows: DataFrame, k: int = 5, key: str = "TransactionID", values: str = "values", block_rows: int = 4096
+    rows: DataFrame, k: int = 5, key: str = "TransactionID", values: str = "values", block_rows: int = 2048, lines: int = 12, seed: int = 42
 ) -> DataFrame:
-    """Exact ``key, rank, neighbour, distance`` of the ``k`` nearest other rows.
+    """``key, rank, neighbour, distance`` of the ``k`` nearest other rows, with work linear in the rows.
 
-    Rows are dealt into blocks by hash. Each pair of blocks is one bounded matrix product in one task
-    and returns only ``k`` rows per query row; the lists of all blocks are then merged. Equal
-    distances are ordered by key.
+    Rows are put in order along a few random directions, and on each of them cut into blocks by rank. A row is compared
+    exactly with all rows of its block and with the nearer halves of both neighbouring blocks, and every block is one
+    bounded matrix product. What the lines have found is merged; then the neighbours of a row's neighbours are tried as
+    its own once. The distances are exact, the neighbours are those among the rows compared: all of them while the rows fit a
+    block. Equal distances are ordered by key.
     """
-    n_blocks = max(1, ceil(rows.count() / block_rows))
-    block = F.floor(hash_uniform("block", F.col(key)) * n_blocks).cast("int")
-    narrow = rows.select(F.col(key).alias("id"), F.col(values).alias("v"), block.alias("own"))
-    others = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
-    queries = narrow.select("id", "v", F.col("own").alias("q"), others.alias("c"))
-    candidates = narrow.select("id", "v", others.alias("q"), F.col("own").alias("c"))
-
-    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"id": [], "neighbour": [], "distance": []})
-        right = right.sort_values("id")
-        a, b = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
-        ids = right["id"].to_numpy()
-        found = []
-        for i, own in enumerate(left["id"].to_numpy()):
-            square = ((b - a[i]) ** 2).sum(axis=1)
-            square[ids == own] = np.inf
-            best = np.argsort(square, kind="stable")[:k]
-            best = best[np.isfinite(square[best])]
-            found.append(pd.DataFrame({"id": own, "neighbour": ids[best], "distance": np.sqrt(square[best])}))
-        return pd.concat(found)
-
-    pairs = (
-        queries.groupBy("q", "c")
-        .cogroup(candidates.groupBy("q", "c"))
-        .applyInPandas(match, "id bigint, neighbour bigint, distance double")
-    )
+    vectors = stored(rows.select(F.col(key).cast("long").alias("id"), F.col(values).alias("v")).filter("id is not null and v is not null"))
+    found = stored(_best(_along_lines(_projected(vectors, lines, seed), lines, block_rows, k), k))
+    # What a neighbour's neighbours add: at most k * k pairs a row.
+    ahead = found.select(F.col("id").alias("neighbour"), F.col("neighbour").alias("further"))
+    pairs = found.select("id", "neighbour").join(ahead, "neighbour").select("id", F.col("further").alias("neighbour")).filter("id <> neighbour")
+    pairs = pairs.distinct().join(found.select("id", "neighbour"), ["id", "neighbour"], "left_anti")
+    mine, theirs = vectors.toDF("id", "v"), vectors.toDF("neighbour", "w")
+    square = F.aggregate(F.zip_with("v", "w", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+    tried = pairs.join(mine, "id").join(theirs, "neighbour").select("id", "neighbour", F.sqrt(square).alias("distance"))
+    merged = _best(found.select("id", "neighbour", "distance").unionByName(tried), k)
+    return merged.select(F.col("id").alias(key), "rank", "neighbour", "distance")
+
+
+def _best(pairs: DataFrame, k: int) -> DataFrame:
+    """id, rank, neighbour, distance: the ``k`` nearest of each row."""
     order = W.partitionBy("id").orderBy("distance", "neighbour")
-    ranked = pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select(F.col("id").alias(key), "rank", "neighbour", "distance")
+    once = pairs.groupBy("id", "neighbour").agg(F.min("distance").alias("distance"))
+    return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("id", "rank", "neighbour", "distance")
+
+
+def _projected(vectors: DataFrame, lines: int, seed: int) -> DataFrame:
+    """id, v, line, x: each row's place on each line."""
+
+    def project(batches):
+        for batch in batches:
+            if len(batch):
+                data = np.stack(batch["v"].to_numpy())
+                directions = np.random.default_rng(seed).standard_normal((data.shape[1], lines))
+                yield batch.assign(x=list(data @ directions))
+
+    return stored(vectors.mapInPandas(project, "id long, v array<double>, x array<double>")).select("id", "v", F.posexplode("x").alias("line", "x"))
+
+
+def _along_lines(placed: DataFrame, lines: int, block_rows: int, k: int) -> DataFrame:
+    """id, neighbour, distance: the ``k`` nearest of the rows that each row meets on each line."""
+    cuts = 2 * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = [i / cuts for i in range(1, cuts)] or [0.5]
+    borders = placed.groupBy("line").agg(F.percentile_approx("x", steps, 4 * cuts).alias("cuts")).collect()  # one row per line
+    listed = {r["line"]: r["cuts"] for r in borders}
+    known = F.array(*[F.array(*[F.lit(float(c)) for c in listed.get(i, [0.0])]) for i in range(lines)])
+    cut = F.size(F.filter(F.get(known, F.col("line")), lambda c: c <= F.col("x")))
+    placed = placed.withColumn("cut", cut)
+    before = W.partitionBy("line").orderBy("cut").rowsBetween(W.unboundedPreceding, -1)
+    offsets = placed.groupBy("line", "cut").agg(F.count(F.lit(1)).alias("n")).select("line", "cut", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(W.partitionBy("line", "cut").orderBy("x", "id")) - 1
+    ranked = placed.withColumn("place", inside).join(offsets, ["line", "cut"]).withColumn("place", F.col("place") + F.col("before"))
+    block, at, half = F.floor(F.col("place") / block_rows), F.col("place") % block_rows, block_rows // 2
+    ways = F.array_compact(
+        F.array(
+            F.struct(block.alias("block"), F.lit(True).alias("own")),
+            F.when(at < half, F.struct((block - 1).alias("block"), F.lit(False).alias("own"))),
+            F.when(at >= block_rows - half, F.struct((block + 1).alias("block"), F.lit(False).alias("own"))),
+        )
+    )
+    sent = ranked.select("line", "id", "v", F.explode(ways).alias("to")).select("line", "to.block", "to.own", "id", "v")
+
+    def match(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id")
+        ids, own, b = rows["id"].to_numpy(), rows["own"].to_numpy(), np.stack(rows["v"].to_numpy())
+        mine, a = ids[own], b[own]
+        if not len(mine):
+            return pd.DataFrame({"id": [], "neighbour": [], "distance": []})
+        # The product gives the nearest up to rounding, their distances are then taken exactly.
+        near = (b * b).sum(1)[None, :] - 2 * (a @ b.T)
+        near[ids[None, :] == mine[:, None]] = np.inf
+        few = min(k + 8, len(ids))
+        best = np.sort(np.argpartition(near, few - 1, axis=1)[:, :few], 1)
+        square = ((b[best] - a[:, None, :]) ** 2).sum(2)
+        square[ids[best] == mine[:, None]] = np.inf
+        order = np.argsort(square, 1, kind="stable")[:, :k]
+        neighbour, square = ids[np.take_along_axis(best, order, 1)], np.take_along_axis(square, order, 1)
+        out = pd.DataFrame({"id": np.repeat(mine, order.shape[1]), "neighbour": neighbour.ravel(), "distance": np.sqrt(square.ravel())})
+        return out[np.isfinite(out["distance"])]
+
+    return sent.groupBy("line", "block").applyInPandas(match, "id long, neighbour long, distance double")
 
 
 def smote(
@@ -63,7 +108,7 @@ def smote(
     values: str = "values",
     label: str = "isFraud",
     seed: str = "42",
-    block_rows: int = 4096,
+    block_rows: int = 2048,
 ) -> DataFrame:
     """The synthetic rows that bring the minority (label 1) to the size of the majority.
 

@@ -9,7 +9,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
 from pyspark.ml.feature import PCAModel
 from pyspark.ml.regression import IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.ml import anomaly, attribute, calibrate, classify
@@ -29,6 +29,8 @@ class Settings:
     resample: str = "weights"
     rounds: int = 500
     depth: int = 6
+    patience: int = 30
+    penalty: float = 1.0
     bottleneck: int = anomaly.BOTTLENECK
     anomaly_percent: float = 95.0
     seed: int = 42
@@ -65,9 +67,19 @@ class RiskModel:
         anomalous = F.col(name) if name else F.lit(0.0)
         return scored.select(*keep, "raw_score", "fraud_score", anomalous.alias("anomaly_score"))
 
-    def contributions(self, df: DataFrame, path: str, keep: Sequence[str]) -> DataFrame:
-        """Per-row tree contributions; ``path`` is where this model is saved."""
-        return attribute.tree_contributions(self.prepared(df), self.classifier, f"{path}/classifier", self.inputs, keep)
+    def contributions(self, df: DataFrame, path: str | None, keep: Sequence[str]) -> DataFrame:
+        """Per-row contributions to the margin: ``keep``, ``phi_<input>``, ``expected_value``, ``sum_shap``. For trees ``path``
+        is where this model is saved. A logistic model's are linear, against inputs of 0, the mean of a scaled feature."""
+        prepared = self.prepared(df)
+        if self.settings.kind == "trees":
+            return attribute.tree_contributions(prepared, self.classifier, f"{path}/classifier", self.inputs, keep)
+        phi = {f"phi_{c}": F.lit(float(w)) * F.col(c) for c, w in zip(self.inputs, self.classifier.coefficients)}
+        found = prepared.select(*keep, *[x.alias(name) for name, x in phi.items()])
+        return found.withColumns({"expected_value": F.lit(float(self.classifier.intercept)), "sum_shap": sum((F.col(n) for n in phi), F.lit(0.0))})
+
+    def probability_of(self, margin: Column) -> Column:
+        """The raw score that a margin stands for."""
+        return 1 / (1 + F.exp((-2 if self.settings.kind == "trees" else -1) * margin))
 
     # -- saving ----------------------------------------------------------------------------
 
@@ -144,23 +156,24 @@ def fit_model(
         scaled = stored(_with_anomaly(scaled, pca, scaler.names).select(key, label, *inputs))
         legit_scores = scaled.filter(F.col(label) == 0).select("ae_anomaly_score")
         threshold = percentile_threshold(legit_scores, "ae_anomaly_score", settings.anomaly_percent).first()["threshold"]
-    rows = scaled.select(key, label, *inputs)
-    weight = None
+    # What decides about the number of rounds is set apart first, so no synthetic row is drawn from or towards it.
+    stop = F.lit(False) if settings.kind == "logistic" else classify.held_out(key, settings.seed)
+    rows, weight = scaled.select(key, label, *inputs, stop.alias("_stop")), None
     if settings.resample == "smote":
-        rows, weight = _resampled(rows, inputs, label, key, str(settings.seed)), 1.0
+        rows, weight = stored(_resampled(rows, inputs, label, key, str(settings.seed))), 1.0
     if settings.kind == "logistic":
-        classifier = classify.fit_logistic(rows, inputs, label)
+        classifier = classify.fit_logistic(rows.drop("_stop"), inputs, label)
     else:
         classifier = classify.fit_trees(
-            rows, inputs, label, key, settings.rounds, settings.depth, positive_weight=weight, seed=settings.seed
-        )
+            rows, inputs, label, key, settings.rounds, settings.depth, patience=settings.patience, penalty=settings.penalty,
+            positive_weight=weight, seed=settings.seed, stop=F.col("_stop"),
+        )
     return RiskModel(features, settings, scaler, classifier, pca, threshold, None, inputs)
 
 
 def _resampled(rows: DataFrame, inputs: Sequence[str], label: str, key: str, seed: str) -> DataFrame:
-    """Rows and synthetic minority rows. The stop share of the boosting is picked by key hash, so the
-    synthetic rows of a base row stay on its side and none leaks into the held-out part."""
-    packed = rows.select(key, label, F.array(*inputs).alias("values"))
+    """Rows and synthetic minority rows between rows that are trained on."""
+    packed = rows.filter("not _stop").select(key, label, F.array(*inputs).alias("values"))
     made = smote(packed, key=key, label=label, seed=seed)
-    unpacked = made.select(key, label, *[F.col("values")[i].alias(c) for i, c in enumerate(inputs)])
+    unpacked = made.select(key, label, *[F.col("values")[i].alias(c) for i, c in enumerate(inputs)], F.lit(False).alias("_stop"))
     return rows.unionByName(unpacked)

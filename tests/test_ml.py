@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from riskspark.ml import anomaly, calibrate, classify
 from riskspark.ml.attribute import Leaf, batch_contributions, expected_margin, read_leaves
 from riskspark.ml.scale import fit_scaler
+from riskspark.ml import smote as smote_module
+from riskspark.ml import trim
 from riskspark.ml.smote import nearest_neighbours, smote
 from riskspark.operators import attribution, metrics
-from riskspark.plans import training
+from riskspark.plans import reports, training
 from riskspark.plans.model import RiskModel, Settings, fit_model
 from riskspark.plans.scoring import explain_batch, score_batch
 from riskspark.sources import io, views
@@ -157,17 +159,40 @@ def test_logistic_and_smote_models(table):
         assert training.evaluate_model(fit_model(table, NAMES, settings), table).first().auc_roc > 0.8
 
 
-def test_neighbours_equal_brute_force_over_many_blocks(spark):
-    rng = np.random.RandomState(0)
-    x = rng.rand(60, 3)
+def recall_of(spark, x, k=5, **options):
     rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "TransactionID long, values array<double>")
     got = {}
-    for r in nearest_neighbours(rows, 5, block_rows=13).collect():
-        got.setdefault(r.TransactionID, {})[r.rank] = r.neighbour
-    for i in range(60):
-        d = ((x - x[i]) ** 2).sum(axis=1)
+    for r in nearest_neighbours(rows, k, **options).collect():
+        got.setdefault(r.TransactionID, {})[r.rank] = (r.neighbour, r.distance)
+    hit = 0
+    for i in range(len(x)):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
         d[i] = np.inf
-        assert [got[i][k] for k in range(1, 6)] == list(np.argsort(d, kind="stable")[:5])
+        want = np.argsort(d, kind="stable")[:k]
+        assert [got[i][n + 1][1] for n in range(k)] == pytest.approx([d[got[i][n + 1][0]] for n in range(k)])
+        hit += len({got[i][n + 1][0] for n in range(k)} & set(want))
+    return hit / (k * len(x))
+
+
+def test_neighbours_are_exact_while_rows_fit_a_block(spark):
+    assert recall_of(spark, np.random.RandomState(0).rand(60, 3)) == 1
+
+
+def test_neighbours_of_many_blocks_are_nearly_all_found(spark):
+    rng = np.random.RandomState(1)
+    centres = rng.randn(40, 32) * 2
+    assert recall_of(spark, centres[rng.randint(40, size=3000)] + rng.randn(3000, 32) * 0.5, block_rows=256) >= 0.9
+    assert recall_of(spark, rng.rand(2000, 3), block_rows=100) >= 0.9
+
+
+def test_work_of_neighbours_is_linear(spark):
+    """Each row is compared with at most two blocks on each line."""
+    rows = spark.range(4000).select(F.col("id").alias("TransactionID"), F.array(F.rand(1), F.rand(2), F.rand(3)).alias("values")).cache()
+    vectors = rows.toDF("id", "v")
+    sent = smote_module._along_lines(smote_module._projected(vectors, 3, 1), 3, 64, 5)
+    plan = sent._jdf.queryExecution().optimizedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert sent.groupBy("id").count().agg(F.max("count")).first()[0] <= 3 * 5
 
 
 def test_smote_balances_and_stays_on_segments(spark):
@@ -175,7 +200,7 @@ def test_smote_balances_and_stays_on_segments(spark):
     x = rng.rand(100, 4)
     rows = [(i, int(i < 12), [float(v) for v in r]) for i, r in enumerate(x)]
     df = spark.createDataFrame(rows, "TransactionID long, isFraud int, values array<double>")
-    made = smote(df, block_rows=5).collect()
+    made = smote(df, block_rows=16).collect()
     assert len(made) == 100 - 12 - 12
     for r in made:
         a, b = x[r.TransactionID], x[r.neighbour]
@@ -185,8 +210,8 @@ def test_smote_balances_and_stays_on_segments(spark):
     for r in made:
         copies[r.TransactionID] = copies.get(r.TransactionID, 0) + 1
     assert set(copies.values()) <= {6, 7}
-    assert smote(df, block_rows=50).select("TransactionID", "copy", "neighbour").exceptAll(
-        smote(df, block_rows=5).select("TransactionID", "copy", "neighbour")).count() == 0
+    again = smote(df.repartition(7), block_rows=50).select("TransactionID", "copy", "neighbour")
+    assert again.exceptAll(smote(df, block_rows=16).select("TransactionID", "copy", "neighbour")).count() == 0
 
 
 def test_smote_without_minority(spark):
@@ -275,8 +300,11 @@ def test_cross_validation_and_ablation(spark, table):
     result, scores = training.ablation(table, table, NAMES, TINY, variants)
     assert [r.variant for r in result.collect()] == variants
     assert metrics.ablation_summary(result, training.SUBJECT, training.BASELINES).count() == 1
-    significance = training.ablation_significance(scores, replicates=8).collect()
-    assert {r.baseline for r in significance} == set(variants[:2])
+    record = reports.ablation_record(result, scores, training.SUBJECT, training.BASELINES, replicates=8).first()
+    assert {r.baseline for r in record.significance} == set(variants[:2]) and len(record.variants) == 3
+    assert record.interval.replicates == 8 and record.interval.ci_low <= record.interval.ci_high
+    assert all(0 <= r.p_value <= 1 and r.significant == (r.p_value < 0.05) for r in record.significance)
+    assert record.improvement.best_baseline_precision is not None
 
 
 def test_training_and_calibration_jobs_over_files(spark, sf, tmp_path):
@@ -289,15 +317,69 @@ def test_training_and_calibration_jobs_over_files(spark, sf, tmp_path):
     out = str(tmp_path / "out")
     tx_table, id_table = io.read_transactions(spark, str(tmp_path / "tx")), io.read_identity(spark, str(tmp_path / "ids"))
     row = training.run_training(tx_table, id_table, out, TINY).first()
-    assert 0 <= row.auc_roc <= 1 and row.true_positives + row.false_negatives > 0
+    assert 0 <= row.auc_roc <= 1 and sum(map(sum, row.confusion_matrix)) > 0
+    assert {r["class"] for r in row.classification_report} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+    curve = row.precision_recall_curve
+    assert 0 < len(curve) <= 100 and [p.threshold for p in curve] == sorted(p.threshold for p in curve) and curve[0].recall == 1
     test = io.read_features(spark, f"{out}/test_features")
     assert "id_01" in test.columns and "C14" in test.columns
     got = training.run_calibration(spark, out, "isotonic")
-    assert {r.metric for r in got.collect()} == {"precision", "recall", "f1", "auc_pr", "auc_roc"}
+    record = got.first()
+    assert record.method == "isotonic" and record.n_rows > 0 and len(record.sweep) <= 11
+    assert record.delta.f1 == pytest.approx(record.after.f1 - record.before.f1)
+    assert record.distribution_before.score_min <= record.distribution_before.p50 <= record.distribution_after.score_max + 1
     again = RiskModel.load(spark, f"{out}/calibrated_model")
     assert again.score(test).filter("fraud_score between 0 and 1").count() == test.count()
 
 
+def test_rounds_are_kept_up_to_the_lowest_loss_before_patience_ends():
+    assert trim.best_rounds([5, 4, 3, 4, 4, 4, 1], patience=3) == 3
+    assert trim.best_rounds([5, 4, 3, 4, 4, 4, 1], patience=10) == 7
+    assert trim.best_rounds([5, 5, 5], patience=1) == 1
+
+
+def noisy(spark, n=600):
+    rng = random.Random(8)
+    rows = [(i, rng.random(), rng.random(), int(rng.random() < 0.5)) for i in range(n)]
+    return spark.createDataFrame(rows, "TransactionID long, a double, b double, isFraud int").cache()
+
+
+def test_patience_stops_trees_that_learn_nothing(spark):
+    df = noisy(spark)
+    short = classify.fit_trees(df, ["a", "b"], rounds=25, depth=3, patience=4, penalty=0.0)
+    long = classify.fit_trees(df, ["a", "b"], rounds=25, depth=3, validation_share=0.0, penalty=0.0)
+    assert long.getNumTrees == 25 and short.getNumTrees < 12
+    # The trees that stay are the first ones, unchanged.
+    rows = classify.probability(df, short, ["a", "b"]).filter("probability between 0 and 1")
+    assert rows.count() == df.count()
+
+
+def test_a_model_keeps_its_scores_when_nothing_is_cut(spark):
+    df = noisy(spark, 300)
+    model = classify.fit_trees(df, ["a", "b"], rounds=3, depth=3, validation_share=0.0, penalty=0.0)
+    again = trim.trimmed(spark, model, 3, 0.0)
+    a, b = (sorted((r.TransactionID, r.probability) for r in classify.probability(df, m, ["a", "b"]).collect()) for m in (model, again))
+    assert a == b
+    two = trim.trimmed(spark, model, 2, 0.0)
+    assert two.getNumTrees == 2 and list(two.treeWeights) == list(model.treeWeights)[:2]
+
+
+def test_the_penalty_prunes_splits_that_save_little(spark):
+    df = noisy(spark)
+    sizes = [classify.fit_trees(df, ["a", "b"], rounds=4, depth=4, validation_share=0.0, penalty=p).totalNumNodes for p in (0.0, 5.0, 1e9)]
+    assert sizes[0] > sizes[1] > sizes[2] == 4
+    clear = spark.createDataFrame([(i, i / 400, int(i >= 200)) for i in range(400)], "TransactionID long, a double, isFraud int")
+    assert classify.fit_trees(clear, ["a"], rounds=1, depth=3, validation_share=0.0, penalty=5.0).totalNumNodes == 3
+
+
+def test_explanations_of_a_logistic_model_add_up(spark, table, tmp_path):
+    model = fit_model(table, NAMES, Settings(kind="logistic", use_anomaly=False))
+    model.save(spark, str(tmp_path))
+    rows = explain_batch(table, model, str(tmp_path), k=3).collect()
+    direct = {r.TransactionID: r.fraud_score for r in model.score(table).collect()}
+    assert all(r.fraud_score == pytest.approx(direct[r.TransactionID], abs=1e-9) and len(r.factors) == 3 for r in rows)
+
+
 # -- explanations ------------------------------------------------------------------------------
 
 
