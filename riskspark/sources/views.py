@@ -17,13 +17,6 @@ def tx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_transactions(table(spark, sf_dir, "events"))
 
 
-def tx_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream."""
-    schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return as_transactions(stream)
-
-
 def as_transactions(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     time = F.col("ts").cast("timestamp")

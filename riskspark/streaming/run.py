@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from riskspark.session import stored
+
+
+def arriving(df: DataFrame, part: Column, parts: int, base: str, files: int = 2) -> DataFrame:
+    """The table as a file stream that brings the rows of ``part`` 0, 1, ... in turn, one micro-batch each. Every part is
+    written as ``files`` files, and as many are read at a time."""
+    rows = stored(df.withColumn("_part", part))
+    for k in range(parts):
+        rows.filter(F.col("_part") == k).drop("_part").repartition(files).write.mode("append").parquet(f"{base}/arriving")
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/arriving")
+
 
 def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
@@ -27,16 +37,5 @@ def run_to_table(stream: DataFrame, base: str, mode: str = "append") -> DataFram
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{base}/out")
 
 
-def run_batches(stream: DataFrame, base: str, process: Callable[[DataFrame, int], None]) -> None:
-    """Everything available now through a ``foreachBatch`` function."""
-    query = (
-        stream.writeStream.foreachBatch(process)
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    finish(query)
-
-
 def all_batches(spark: SparkSession, base: str, table: str) -> DataFrame:
     return spark.read.option("basePath", f"{base}/{table}").parquet(f"{base}/{table}/batch=*")

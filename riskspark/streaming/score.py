@@ -1,62 +1,68 @@
-"""Stream scoring: JSON in, scored rows and dead letters out, each batch written exactly once."""
+"""Scoring on arrival: JSON records in; scored rows and dead letters out, both from one micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from riskspark.plans.model import RiskModel
 from riskspark.plans.scoring import score_batch
 from riskspark.sources import io
-from riskspark.streaming import tables
+from riskspark.streaming import velocity
 from riskspark.streaming.enrich import parse
-from riskspark.streaming.velocity import VelocityStream
+from riskspark.streaming.sinks import Sink
 
 
 class ScoringStream:
-    """``process`` is the ``foreachBatch`` function of a raw record stream.
+    """Every valid record is scored in the micro-batch that brings it, however late it is, with the velocity of what had
+    arrived by then; every other record becomes a dead letter of the same micro-batch.
 
-    Bad records go to ``dead_letters`` at once. Good ones wait for the watermark in the velocity table
-    and are then scored with the same features as in batch, into ``scores``. ``publish`` receives the
-    stored scores as (key, JSON value) records, for a topic for instance; it may see a batch again after
-    a failure. ``model_path`` adds factors and explanations.
+    ``scores`` and ``dead_letters`` receive (rows, batch_id): see ``sinks``. Velocity lives in Spark's state, so a replayed
+    micro-batch sees the same history and gives the same rows. A record that is redelivered inside a micro-batch is
+    scored once. ``model_path`` adds factors and explanations.
     """
 
     def __init__(
         self,
-        base: str,
         model: RiskModel,
         risk_profile: DataFrame,
         card_stats: DataFrame,
+        scores: Sink,
+        dead_letters: Sink,
         threshold: float = 0.5,
         topic: str = "transactions",
         keep: Sequence[str] = (),
         model_path: str | None = None,
-        publish: Callable[[DataFrame, int], None] | None = None,
-        **velocity_options,
+        hours: Sequence[int] = velocity.HOURS,
     ) -> None:
-        self.base, self.model, self.threshold, self.topic = base, model, threshold, topic
+        self.model, self.threshold, self.topic = model, threshold, topic
         self.risk_profile, self.card_stats = risk_profile, card_stats
-        self.keep, self.model_path, self.publish = tuple(keep), model_path, publish
-        self.velocity = VelocityStream(base, emit=self._score, **velocity_options)
+        self.scores, self.dead_letters = scores, dead_letters
+        self.keep, self.model_path, self.hours = tuple(keep), model_path, tuple(hours)
+
+    def with_history(self, raw: DataFrame) -> DataFrame:
+        """The records of a raw stream (value, and ``keep``): valid ones with their velocity, the others with their error."""
+        parsed = parse(raw, keep=self.keep)
+        good = velocity.velocity_on_arrival(io.valid_rows(parsed), self.hours)
+        return good.unionByName(parsed.filter(F.col("error_type").isNotNull()), allowMissingColumns=True)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        """The ``foreachBatch`` function of ``with_history``."""
         batch = batch.persist()
         try:
-            parsed = parse(batch, keep=self.keep)
-            tables.put(io.dead_letters(parsed, self.topic), self.base, "dead_letters", batch_id)
-            self.velocity.process(io.valid_rows(parsed), batch_id)
+            self.dead_letters(io.dead_letters(batch, self.topic), batch_id)
+            good = io.valid_rows(batch).dropDuplicates(["TransactionID"])
+            scored = score_batch(
+                good, self.model, self.risk_profile, self.card_stats, threshold=self.threshold, model_path=self.model_path, also=velocity.names(self.hours)
+            )
+            self.scores(scored.withColumn("scored_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")), batch_id)
         finally:
             batch.unpersist()
 
-    def _score(self, rows: DataFrame, batch_id: int) -> None:
-        scored = score_batch(
-            rows, self.model, self.risk_profile, self.card_stats, threshold=self.threshold, model_path=self.model_path
-        )
-        scored = scored.withColumn("scored_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        tables.put(scored, self.base, "scores", batch_id)
-        if self.publish is not None:
-            done = tables.get(rows.sparkSession, self.base, "scores", [batch_id], scored.schema)
-            self.publish(io.to_json_records(done), batch_id)
+    def writer(self, raw: DataFrame, checkpoint: str, **trigger) -> DataStreamWriter:
+        """Call ``start`` on it. Every 5 seconds by default."""
+        writer = self.with_history(raw).writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+        return writer.trigger(**(trigger or {"processingTime": "5 seconds"}))

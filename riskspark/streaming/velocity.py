@@ -1,78 +1,247 @@
-"""Exact per-event velocity on a stream, equal to the batch operator.
-
-An event is held until the watermark passes it, so every earlier event of its card has arrived; then
-it is emitted once with its final windows. Each micro-batch stores its events in a batch-numbered
-table and runs the batch operator over the events the watermark has just passed, with the stored
-events of the longest window before them as history. Keeping the history in a table instead of in
-per-card state means that a hot card is split by the same code as in batch, and that a lost executor
-costs a re-read.
+"""Exact per-event velocity on a stream, in Spark's own keyed state.
+
+State is keyed by card and time block, a block being as long as the longest window, so a window touches the block of its
+event and the one before. Every event therefore travels twice: to its own block, where it will be emitted, and as context
+to the next one. Inside a key amounts lie in time grains that divide every window: a window is the end of one grain, some
+whole grains of which only count, sum and spread are needed, and the beginning of the event's own grain.
+
+``velocity_in_order`` holds an event until Spark's watermark has passed it, when all earlier events of its card have
+arrived, so its windows equal the batch operator's. Later ones are dropped by Spark. ``velocity_on_arrival`` emits every
+event in its own micro-batch, however late, with the windows over what had arrived by then, its own micro-batch included.
+There the blocks of a card share a ring of ``RING`` keys, and a key forgets what lies more than two blocks behind its newest
+event, so what is kept of a card is bounded without any clock.
+
+Watermark, timers, checkpoints and replay are Spark's.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from math import gcd
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
+
+from riskspark.operators.velocity import MICROS
+
+HOURS = (1, 6, 24)
+RING = 8
+AMOUNTS = np.dtype([("at", "<i8"), ("amount", "<f8")])
+CELLS = np.dtype([("grain", "<i8"), ("n", "<f8"), ("sum", "<f8"), ("mean", "<f8"), ("m2", "<f8")])
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def names(hours: Sequence[int]) -> list[str]:
+    return [f"velocity_{stat}_{h}h" for h in hours for stat in ("count", "sum", "std")]
+
+
+class Windows:
+    """The amounts of a key by grain, and windows over them. ``read`` gives a grain's stored amounts, ``cells`` all sums."""
+
+    def __init__(self, hours: Sequence[int], read, cells: np.ndarray):
+        self.spans = [h * 3600 * MICROS for h in hours]
+        self.grain = reduce(gcd, self.spans)
+        self.read, self.rows, self.cells = read, {}, cells
+
+    def amounts(self, grain: int) -> np.ndarray:
+        if grain not in self.rows:
+            data = self.read(grain)
+            self.rows[grain] = np.frombuffer(data, AMOUNTS) if data else np.zeros(0, AMOUNTS)
+        return self.rows[grain]
+
+    def add(self, at: np.ndarray, amount: np.ndarray) -> list[int]:
+        """Adds amounts, of which none is missing; returns the grains that changed."""
+        grains = at // self.grain
+        changed = np.unique(grains).tolist()
+        for g in changed:
+            mine = grains == g
+            new = np.empty(int(mine.sum()), AMOUNTS)
+            new["at"], new["amount"] = at[mine], amount[mine]
+            rows = np.concatenate((self.amounts(g), new))
+            self.rows[g] = rows[np.argsort(rows["at"], kind="stable")]
+        kept = self.cells[~np.isin(self.cells["grain"], changed)]
+        fresh = np.empty(len(changed), CELLS)
+        for cell, g in zip(fresh, changed, strict=True):
+            a = self.rows[g]["amount"]
+            cell["grain"], cell["n"], cell["sum"], cell["mean"], cell["m2"] = g, len(a), a.sum(), a.mean(), ((a - a.mean()) ** 2).sum()
+        self.cells = np.concatenate((kept, fresh))
+        return changed
+
+    def over(self, at: np.ndarray) -> dict[str, np.ndarray]:
+        """Count, sum and sample deviation of the amounts in [t - span, t) for each span and each time t."""
+        out = np.zeros((len(self.spans), 3, len(at)))
+        grains = at // self.grain
+        for g in np.unique(grains).tolist():
+            mine = np.flatnonzero(grains == g)
+            own, t = self.amounts(g), at[mine]
+            for k, span in enumerate(self.spans):
+                edge = self.amounts(g - span // self.grain)
+                before = self.cells[(self.cells["grain"] > g - span // self.grain) & (self.cells["grain"] < g)]
+                out[k][:, mine] = self._pieces(own, edge, before, t, t - span)
+        return out
+
+    @staticmethod
+    def _pieces(own: np.ndarray, edge: np.ndarray, whole: np.ndarray, upto: np.ndarray, since: np.ndarray) -> np.ndarray:
+        n_whole = whole["n"].sum()
+        seen = np.concatenate((own["amount"], edge["amount"], whole["mean"]))
+        centre = seen.mean() if len(seen) else 0.0
+
+        def running(rows: np.ndarray) -> list[np.ndarray]:
+            a = rows["amount"]
+            return [np.concatenate(([0.0], np.cumsum(x))) for x in (a, a - centre, (a - centre) ** 2)]
+
+        first, last = np.searchsorted(own["at"], upto, "left"), np.searchsorted(edge["at"], since, "left")
+        n = first + (len(edge) - last) + n_whole
+        mine, theirs = running(own), running(edge)
+        total, off, square = (x[first] + y[-1] - y[last] for x, y in zip(mine, theirs, strict=True))
+        total = total + whole["sum"].sum()
+        off = off + (whole["n"] * (whole["mean"] - centre)).sum()
+        square = square + (whole["m2"] + whole["n"] * (whole["mean"] - centre) ** 2).sum()
+        spread = np.maximum(square - off * off / np.maximum(n, 1), 0) / np.maximum(n - 1, 1)
+        return np.stack((n, np.where(n > 0, total, 0.0), np.where(n > 1, np.sqrt(spread), 0.0)))
+
+
+class VelocityState(StatefulProcessor):
+    """Amounts of a card around one block; with ``in_order`` also the events that wait for the watermark."""
+
+    def __init__(self, hours: Sequence[int], in_order: bool):
+        self.hours, self.in_order = tuple(hours), in_order
+        self.block = max(hours) * 3600 * MICROS
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.amounts = handle.getMapState("amounts", "grain long", "rows binary")
+        self.cells = handle.getValueState("cells", "rows binary")
+        if self.in_order:
+            self.waiting = handle.getListState("waiting", "at long, row string")
+            self.timer = handle.getValueState("timer", "at long")
+
+    def close(self) -> None:
+        pass
+
+    def _windows(self) -> Windows:
+        def read(grain: int) -> bytes | None:
+            found = self.amounts.getValue((grain,))
+            return None if found is None else bytes(found[0])
+
+        held = self.cells.get()
+        cells = np.zeros(0, CELLS) if held is None else np.frombuffer(bytes(held[0]), CELLS)
+        return Windows(self.hours, read, cells)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows), ignore_index=True)
+        windows = self._windows()
+        known = new[new["s_amount"].notna()]
+        if not self.in_order:
+            known = known[known["s_at"] // windows.grain >= self._forget(windows, known["s_at"])]
+        changed = windows.add(known["s_at"].to_numpy(np.int64), known["s_amount"].to_numpy(float))
+        for grain in changed:
+            self.amounts.updateValue((grain,), (windows.rows[grain].tobytes(),))
+        if changed:
+            self.cells.update((windows.cells.tobytes(),))
+        mine = new[new["s_mine"]]
+        if self.in_order:
+            if len(mine):
+                self.waiting.appendList(list(zip(mine["s_at"].tolist(), mine["s_row"].tolist(), strict=True)))
+            self._wake(min([*mine["s_at"], (key[1] + 1) * self.block]))
+        elif len(mine):
+            yield self._emitted(windows, mine["s_at"].to_numpy(np.int64), mine["s_row"])
+
+    def _forget(self, windows: Windows, at: pd.Series) -> int:
+        """Drops what lies more than two blocks behind the newest event of the key; returns the first grain that stays."""
+        newest = max([*windows.cells["grain"].tolist(), *(at // windows.grain).tolist()], default=0)
+        first = newest - 2 * self.block // windows.grain
+        old = windows.cells["grain"] < first
+        for grain in windows.cells["grain"][old].tolist():
+            self.amounts.removeKey((grain,))
+        if old.any():
+            windows.cells = windows.cells[~old]
+            self.cells.update((windows.cells.tobytes(),))
+        return first
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.timer.clear()
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = list(self.waiting.get())
+        due = sorted((r for r in waiting if r[0] <= passed), key=lambda r: r[0])
+        if due:
+            yield self._emitted(self._windows(), np.array([r[0] for r in due], np.int64), [r[1] for r in due])
+        end = (key[1] + 1) * self.block
+        rest = [r for r in waiting if r[0] > passed]
+        if passed >= end and not rest:
+            for state in (self.waiting, self.amounts, self.cells):
+                state.clear()
+            return
+        if due:
+            if rest:
+                self.waiting.put(rest)
+            else:
+                self.waiting.clear()
+        self._wake(min([*(r[0] for r in rest), max(end, passed + 1)]))
+
+    def _wake(self, at: int) -> None:
+        """One timer, at the first waiting event or at the end of the block, when nothing more can come."""
+        at_ms, held = -(-int(at) // 1000), self.timer.get()
+        if held is not None and held[0] <= at_ms:
+            return
+        if held is not None:
+            self.handle.deleteTimer(held[0])
+        self.handle.registerTimer(at_ms)
+        self.timer.update((at_ms,))
+
+    def _emitted(self, windows: Windows, at: np.ndarray, rows) -> pd.DataFrame:
+        found = windows.over(at)
+        out = {"s_row": list(rows)}
+        for k, h in enumerate(self.hours):
+            out[f"velocity_count_{h}h"] = found[k, 0].astype(np.int64)
+            out[f"velocity_sum_{h}h"], out[f"velocity_std_{h}h"] = found[k, 1], found[k, 2]
+        return pd.DataFrame(out)
+
+
+def velocity_in_order(
+    stream: DataFrame, hours: Sequence[int] = HOURS, late: str = "1 hour", card: str = "card1", time: str = "event_time", amount: str = "TransactionAmt"
+) -> DataFrame:
+    """The stream's rows with ``velocity_{count,sum,std}_{h}h``, emitted when the watermark ``late`` behind the newest
+    event has passed them. Rows without card or time have zeros and do not wait."""
+    return _velocity(stream.withWatermark(time, late), hours, card, time, amount, VelocityState(hours, True), "EventTime")
+
+
+def velocity_on_arrival(
+    stream: DataFrame, hours: Sequence[int] = HOURS, card: str = "card1", time: str = "event_time", amount: str = "TransactionAmt"
+) -> DataFrame:
+    """The stream's rows with their windows over what has arrived, in the micro-batch that brings them. Of a card that has
+    newer events ``RING`` - 2 blocks later, older ones may be forgotten already."""
+    return _velocity(stream, hours, card, time, amount, VelocityState(hours, False), "None")
+
 
-from riskspark.operators.velocity import MICROS, velocity
-from riskspark.session import temporary_tables
-from riskspark.streaming import tables
-
-PROGRESS = "watermark_us bigint, live array<struct<batch:int,max_us:bigint>>, expired array<int>"
-Emit = Callable[[DataFrame, int], None]
-
-
-class VelocityStream:
-    """``process`` is the ``foreachBatch`` function; ``emit(rows, batch_id)`` receives finished events."""
-
-    def __init__(
-        self,
-        base: str,
-        emit: Emit | None = None,
-        hours: Sequence[int] = (1, 6, 24),
-        late_seconds: int = 3600,
-        **options,
-    ) -> None:
-        self.base = base
-        self.emit = emit or (lambda rows, batch_id: tables.put(rows, base, "velocity", batch_id))
-        self.hours = tuple(hours)
-        self.late_us = late_seconds * MICROS
-        self.options = options
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        passed, live, expired = self._previous(batch, batch_id)
-        # What the batch before last still needed; no replay can ask for it any more.
-        tables.drop(spark, self.base, "events", expired)
-        us = F.unix_micros("event_time")
-        rows = batch.withColumn("event_us", us)
-        # Rows without a time cannot be placed and go to the late table with the ones that came too late.
-        in_time = F.coalesce(us > F.lit(passed), F.lit(False))
-        tables.put(rows.filter(in_time), self.base, "events", batch_id)
-        tables.put(rows.filter(~in_time), self.base, "late", batch_id)
-
-        stored = tables.get(spark, self.base, "events", [batch_id], rows.schema)
-        newest = stored.agg(F.max("event_us")).first()[0]
-        now = passed if newest is None else max(passed, newest - self.late_us)
-        if newest is not None:
-            live = [*live, (batch_id, newest)]
-
-        horizon = passed - max(self.hours) * 3600 * MICROS
-        events = tables.get(spark, self.base, "events", [b for b, _ in live], rows.schema)
-        due = events.filter((F.col("event_us") > passed) & (F.col("event_us") <= now)).drop("event_us")
-        past = events.filter((F.col("event_us") <= passed) & (F.col("event_us") >= horizon))
-        history = past.select("card1", "event_time", "TransactionAmt")
-        with temporary_tables(spark):
-            self.emit(velocity(due, self.hours, history=history, **self.options), batch_id)
-
-        keep_from = now - max(self.hours) * 3600 * MICROS
-        kept = [(b, t) for b, t in live if t >= keep_from]
-        gone = [b for b, t in live if t < keep_from]
-        tables.put(spark.createDataFrame([(now, kept, gone)], PROGRESS), self.base, "progress", batch_id)
-
-    def _previous(self, batch: DataFrame, batch_id: int) -> tuple[int, list[tuple[int, int]], list[int]]:
-        if batch_id == 0:
-            return -(2**62), [], []
-        row = batch.sparkSession.read.parquet(tables.batch_path(self.base, "progress", batch_id - 1)).first()
-        return row["watermark_us"], [(x["batch"], x["max_us"]) for x in row["live"]], row["expired"]
+def _velocity(stream, hours, card, time, amount, processor: VelocityState, mode: str) -> DataFrame:
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    fields = stream.schema.fields
+    stamps = {f.name for f in fields if isinstance(f.dataType, T.TimestampType)}
+    # A row waits as JSON; timestamps as microseconds, since their text has fewer digits.
+    packed = F.to_json(F.struct(*[(F.unix_micros(f.name) if f.name in stamps else F.col(f.name)).alias(f.name) for f in fields]))
+    narrow = T.StructType([T.StructField(f.name, T.LongType() if f.name in stamps else f.dataType) for f in fields])
+    placed = F.col(card).isNotNull() & F.col(time).isNotNull()
+    at = F.unix_micros(time)
+    block = F.floor(at / F.lit(max(hours) * 3600 * MICROS))
+    both = F.array(F.struct(block.alias("block"), F.lit(True).alias("mine")), F.struct((block + 1).alias("block"), F.lit(False).alias("mine")))
+    sent = stream.filter(placed).select(time, F.col(card).cast("string").alias("s_card"), at.alias("s_at"), F.col(amount).cast("double").alias("s_amount"), packed.alias("s_row"), F.explode(both).alias("s_to"))
+    sent = sent.select("*", F.col("s_to.block").alias("s_block"), F.col("s_to.mine").alias("s_mine")).drop("s_to")
+    # Only the copy that will be emitted carries its row.
+    sent = sent.withColumn("s_row", F.when(F.col("s_mine"), F.col("s_row")))
+    if not processor.in_order:
+        sent = sent.withColumn("s_block", F.pmod("s_block", F.lit(RING).cast("bigint")))
+    out = "s_row string, " + ", ".join(f"{n} {'bigint' if '_count_' in n else 'double'}" for n in names(hours))
+    found = sent.groupBy("s_card", "s_block").transformWithStateInPandas(processor, out, "Append", mode)
+    row = F.from_json("s_row", narrow).alias("r")
+    found = found.select(row, *names(hours)).select(
+        *[(F.timestamp_micros(F.col(f"r.{f.name}")) if f.name in stamps else F.col(f"r.{f.name}")).alias(f.name) for f in fields], *names(hours)
+    )
+    zeros = [(F.lit(0).cast("bigint") if "_count_" in n else F.lit(0.0)).alias(n) for n in names(hours)]
+    return found.unionByName(stream.filter(~placed).select("*", *zeros))
