@@ -75,6 +75,9 @@ def fit_trees(
     loss is taken after every round, and the rounds up to the lowest one before ``patience`` rounds without improvement are
     kept. Splits that save less than ``penalty`` are then pruned.
 
+    Boosting is run for a few rounds first, and for twice as many as long as patience has not ended within them: the first
+    rounds are the same however many follow.
+
     ``positive_weight`` defaults to negatives per positive. Features are sampled per node.
     """
     stop = held_out(key, seed, validation_share) if stop is None else stop
@@ -94,10 +97,14 @@ def fit_trees(
         minInstancesPerNode=min_rows,
         seed=seed,
     )
-    model = trees.fit(training.coalesce(max(1, -(-(pos + neg) // PARTITION_ROWS))))
-    losses = [] if checked.isEmpty() else model.evaluateEachIteration(checked)
-    keep = best_rounds(losses, patience) if losses else model.getNumTrees
-    return trimmed(df.sparkSession, model, keep, penalty)
+    training = training.coalesce(max(1, -(-(pos + neg) // PARTITION_ROWS)))
+    run = rounds if checked.isEmpty() else min(rounds, 2 * patience)
+    while True:
+        model = trees.setMaxIter(run).fit(training)
+        keep = run if checked.isEmpty() else best_rounds(model.evaluateEachIteration(checked), patience)
+        if run >= rounds or keep + patience <= run:
+            return trimmed(df.sparkSession, model, keep, penalty)
+        run = min(rounds, 2 * run)
 
 
 def probability(df: DataFrame, model, columns: Sequence[str], out: str = "probability") -> DataFrame:

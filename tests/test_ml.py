@@ -354,6 +354,14 @@ def test_patience_stops_trees_that_learn_nothing(spark):
     assert rows.count() == df.count()
 
 
+def test_first_rounds_do_not_depend_on_how_many_follow(spark):
+    df = noisy(spark, 300)
+    few, many = (classify.fit_trees(df, ["a", "b"], rounds=n, depth=2, validation_share=0.0, penalty=0.0) for n in (3, 6))
+    cut = trim.trimmed(spark, many, 3, 0.0)
+    a, b = (sorted((r.TransactionID, r.probability) for r in classify.probability(df, m, ["a", "b"]).collect()) for m in (few, cut))
+    assert a == b
+
+
 def test_a_model_keeps_its_scores_when_nothing_is_cut(spark):
     df = noisy(spark, 300)
     model = classify.fit_trees(df, ["a", "b"], rounds=3, depth=3, validation_share=0.0, penalty=0.0)

@@ -8,7 +8,8 @@ from riskspark.sources import views
 
 SLOW = {
     "ablation", "cross_validate", "train_eval", "score_batch", "gbt_scores", "logistic_baseline", "explain_batch",
-    "tree_contributions", "tree_importance", "bootstrap_ci", "bootstrap_significance",
+    "tree_contributions", "tree_importance", "tree_importance_by_class", "tree_additivity", "score_batch_rows",
+    "logistic_by_formula", "bootstrap_ci", "bootstrap_significance",
 }
 NAMES = sorted(n for n in entry.queries() if not n.startswith("stream_") and n not in SLOW)
 
