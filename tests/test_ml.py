@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskspark.functions.text import fixed
 from riskspark.ml import anomaly, calibrate, classify
 from riskspark.ml.attribute import Leaf, batch_contributions, expected_margin, read_leaves
 from riskspark.ml.scale import fit_scaler
@@ -427,3 +428,12 @@ def test_prompt(spark):
     )).first()[0]
     assert "- Card: ending in 3456" in text and "- Amount: $3.50" in text and "Category: Unknown" in text
     assert "  1. amt_zscore: ↑ increases fraud risk (SHAP=+0.2500)" in text and "Score: 91.2%" in text
+
+
+def test_fixed_text_is_rounded_by_the_exact_value(spark):
+    values = [0.25 / 5000, -0.25 / 5000, 0.125, 2.5, -0.5, 1.5, 0.00015, 123456789.00005, 64.03875, 0.0, -1e-9]
+    values += [(2 * n + 1) * 5 / 10**k for n in range(0, 4000, 7) for k in range(2, 7)]
+    df = spark.createDataFrame([(float(x),) for x in values], "x double")
+    for digits in (0, 1, 2, 4):
+        rows = df.select("x", fixed(F.col("x"), digits).alias("plain"), fixed(F.col("x"), digits, plus=True).alias("signed")).collect()
+        assert [(r.plain, r.signed) for r in rows] == [(f"{r.x:.{digits}f}", f"{r.x:+.{digits}f}") for r in rows]
