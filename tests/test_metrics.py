@@ -162,5 +162,12 @@ def test_folds_and_samples(spark):
     assert sampling.first_by_hash(df, "1", 17).count() == 17
 
 
+def test_folds_are_dealt_in_turn_by_rank(spark):
+    df = labelled(spark, 1003)
+    folds = {r.TransactionID: r.fold for r in sampling.kfold(df, 5).collect()}
+    ranked = hash_rank(df, "42", "TransactionID", ["isFraud"]).collect()
+    assert len(ranked) == 1003 and all(folds[r.TransactionID] == r.hash_rank % 5 for r in ranked)
+
+
 def test_split_of_an_empty_table(spark):
     assert sampling.stratified_split(labelled(spark).filter("false")).count() == 0
