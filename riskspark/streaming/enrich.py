@@ -79,12 +79,16 @@ def tumbling_24h(df: DataFrame, late: str = "24 hours") -> DataFrame:
 
 
 def tumbling_7d(df: DataFrame, late: str = "7 days") -> DataFrame:
+    """The mean adds the amounts up in order of time: means of cents often end in a half, where another order of the same
+    sum is rounded the other way. So a window keeps its amounts until it closes."""
     amount = F.col("TransactionAmt")
+    pairs = F.collect_list(F.when(amount.isNotNull(), F.struct("event_time", amount.cast("double").alias("amount"))))
+    total = F.aggregate(F.array_sort(pairs), F.lit(0.0), lambda acc, x: acc + x["amount"])
     return _tumbling(
         df,
         "7 days",
         late,
-        {"card_avg_amt": F.avg(amount), "card_std_amt": F.coalesce(F.stddev_samp(amount), F.lit(0.0))},
+        {"card_avg_amt": total / F.nullif(F.size(pairs), F.lit(0)), "card_std_amt": F.coalesce(F.stddev_samp(amount), F.lit(0.0))},
     )
 
 

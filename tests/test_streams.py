@@ -158,6 +158,19 @@ def test_tumbling_stream_equals_batch_on_closed_windows(spark, events, tmp_path)
         assert got.select(*rounded).exceptAll(batch.select(*rounded)).count() == 0
 
 
+def test_weekly_mean_adds_up_in_order_of_time(spark, tmp_path):
+    # 0.1 + 0.7 + ... in this order is not the sum of any other order.
+    amounts = [0.1, 0.7, 1e15, 0.3, -1e15, 2.2, 0.05, 0.6]
+    rows = [(1, 60 * i, x, i % 3) for i, x in enumerate(amounts)] + [(2, 0, None, 0), (-1, 86400 * 60, 1.0, 3)]
+    df = spark.createDataFrame(rows, "card1 int, t long, TransactionAmt double, part int").withColumn("event_time", F.timestamp_seconds("t"))
+    total = 0.0
+    for x in amounts:
+        total += x
+    stream = run.arriving(df.drop("t"), F.col("part"), 4, str(tmp_path), files=2)
+    for out in (run.run_to_table(enrich.tumbling_7d(stream), str(tmp_path / "run")), enrich.tumbling_7d(df)):
+        assert {r.card1: r.card_avg_amt for r in out.filter("card1 > 0").collect()} == {1: total / len(amounts), 2: None}
+
+
 def raw_messages(events):
     value = F.to_json(F.struct("TransactionID", "TransactionDT", "TransactionAmt", "ProductCD", "card1", "addr1", "addr2", "isFraud"))
     broken = F.when(F.col("TransactionID") % 10 == 0, F.substring(value, 1, 30)).when(
