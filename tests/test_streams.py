@@ -2,6 +2,7 @@ import random
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +19,7 @@ from riskspark.streaming import drift, enrich, run
 from riskspark.streaming.join import range_join
 from riskspark.streaming.score import ScoringStream
 from riskspark.streaming.sinks import TableSink, TopicSink, to_all
-from riskspark.streaming.velocity import CELLS, Windows, velocity_in_order, velocity_on_arrival
+from riskspark.streaming.velocity import CELLS, SHORT, Windows, velocity_in_order, velocity_on_arrival, windows_of_cards
 
 COLUMNS = ["TransactionID", "card1", "event_time", "TransactionAmt"]
 
@@ -120,6 +121,29 @@ def test_velocity_on_arrival_sees_what_has_arrived(spark, tmp_path):
     assert got == {1: (0, 0, 0), 2: (1, 1, 1), 3: (11, 3, 11), 4: (1, 1, 1), 5: (1, 1, 1), 6: (4, 5, 31), 7: (0, 1, 32)}
 
 
+def test_velocity_on_arrival_of_blocks_that_share_a_key_in_one_part(spark, tmp_path):
+    # Days 0 to 9 of one card come at once, and blocks of eight days apart meet in a key.
+    rows = [(10 * d + i, "a", 86400 * d + 3600 * i, float(2**i)) for d in range(10) for i in range(4)]
+    df = spark.createDataFrame(rows, "TransactionID long, card1 string, t long, TransactionAmt double")
+    df = df.withColumn("event_time", F.timestamp_seconds("t")).drop("t")
+    stream = run.arriving(df, F.lit(0), 1, str(tmp_path), files=1)
+    got = velocity_rows(run.run_to_table(velocity_on_arrival(stream), str(tmp_path / "run")))
+    assert got == velocity_rows(velocity(df))
+
+
+def test_windows_of_many_cards_equal_brute_force():
+    rng = random.Random(5)
+    rows = [(f"c{min(rng.randrange(40), 12)}", rng.randrange(0, 2 * 86400) * 1_000_000, rng.choice([7.5, 1e6 + rng.random()])) for _ in range(900)]
+    known = pd.DataFrame(rows, columns=["card", "at", "amount"])
+    wanted = pd.concat([known[["card", "at"]].iloc[::3], pd.DataFrame({"card": ["none"], "at": [5]})], ignore_index=True)
+    found = windows_of_cards((1, 24), known, wanted)
+    assert found[1, 0].max() > SHORT > found[1, 0].min()
+    for n, (card, t) in enumerate(wanted.itertuples(index=False)):
+        for k, h in enumerate((1, 24)):
+            x = [a for c, s, a in rows if c == card and t - h * 3_600_000_000 <= s < t]
+            assert found[k, :, n] == pytest.approx((len(x), sum(x), np.std(x, ddof=1) if len(x) > 1 else 0), rel=1e-9, abs=1e-6)
+
+
 def test_windows_of_a_key_equal_brute_force():
     rng = random.Random(3)
     at = sorted(rng.choice([rng.randrange(0, 3 * 86400), 3600 * rng.randrange(72)]) * 1_000_000 for _ in range(300))
