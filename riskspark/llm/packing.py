@@ -229,7 +229,8 @@ def pack_shard(documents: list[np.ndarray], corpus: Corpus) -> list[tuple[int, i
                 place(int(document))
                 if fill == WINDOW:
                     break
-            if fill < WINDOW:
+            # After as many as a search returns, the next search finds those that follow.
+            if fill < WINDOW and len(found) < NEIGHBOURS:
                 # What is left shares no term with the last document: go on with the next in order.
                 rest = np.flatnonzero(unused[seed:])
                 if not len(rest):

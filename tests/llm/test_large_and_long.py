@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from riskspark.llm import crf, language, near, pii, quality, search
+from riskspark.llm import crf, language, near, packing, pii, quality, search
 
 
 def best(vectors, queries, k):
@@ -101,3 +101,12 @@ def test_clashing_columns_pass_the_filters(spark):
     assert left.columns == docs.columns and sorted(-1 if r.doc_id is None else r.doc_id for r in left.collect()) == [-1, *range(30)]
     kept = quality.filtered(docs, labels)
     assert kept.columns == docs.columns and kept.count() >= 25
+
+
+def test_packing_searches_on_after_a_full_set_of_neighbours():
+    # Two hundred short documents of either word, in turn: those that share the seed's word come before any other.
+    documents = [np.array([5 + 2 * (k % 2)] * 9 + [packing.END]) for k in range(400)]
+    pieces = packing.pack_shard(documents, packing.Corpus(np.ones(8), 10.0))
+    first = [d for d, _, _, sequence, _ in pieces if sequence == 0]
+    assert len(first) > 200 > 2 * packing.NEIGHBOURS and all(d % 2 == 0 for d in first[:200])
+    assert sorted((d, n) for d, _, n, _, _ in pieces if n == 10)[-1][0] == 399 and sum(n for _, _, n, _, _ in pieces) == 4000
