@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskspark.functions.text import fixed
-from riskspark.ml import anomaly, calibrate, classify
+from riskspark.ml import anomaly, attribute, calibrate, classify
 from riskspark.ml.attribute import Leaf, batch_contributions, expected_margin, read_leaves
 from riskspark.ml.scale import fit_scaler
 from riskspark.ml import smote as smote_module
@@ -107,6 +107,24 @@ def test_contributions_equal_brute_force_shapley(spark, table):
         assert list(phi) == pytest.approx(brute_shapley(leaves, row), abs=1e-9)
 
 
+def test_leaves_are_looked_up_in_groups():
+    """A chain of nine features, then a full tree of depth 3: leaves with more conditions than a group, and groups of leaves."""
+    inf, leaves, way = math.inf, [], {}
+    for f in range(9):
+        leaves.append(Leaf(1.0 + f, (*way, f), (*([-inf] * f), 0.5), (*([0.5] * f), inf), (*way.values(), 0.25)))
+        way[f] = 0.75
+    leaves.append(Leaf(-3.0, tuple(way), (-inf,) * 9, (0.5,) * 9, tuple(way.values())))
+    for sides in itertools.product((0, 1), repeat=3):
+        low, high = tuple(0.3 if s else -inf for s in sides), tuple(inf if s else 0.3 for s in sides)
+        leaves.append(Leaf(float(sum(sides)) - 0.7, (0, 4, 8), low, high, tuple(0.6 if s else 0.4 for s in sides)))
+    _, groups = attribute.grouped(leaves)
+    assert len(groups) < len(leaves) / 2
+    x = np.random.default_rng(5).random((40, 9))
+    x[0] = 0.5
+    for row, phi in zip(x, batch_contributions(x, leaves)):
+        assert list(phi) == pytest.approx(brute_shapley(leaves, row), abs=1e-9)
+
+
 def test_repeated_feature_on_one_path():
     leaves = [
         Leaf(1.0, (0,), (-math.inf,), (0.0,), (0.5,)),
