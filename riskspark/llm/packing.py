@@ -38,6 +38,7 @@ QUERY_TERMS, NEIGHBOURS = 24, 64
 #: Windows shorter than this are padded.
 SHORTEST = 64
 WORDS_KEPT = 1 << 19
+WORDS_TOGETHER = 1024
 
 
 class WordIds(dict):
@@ -52,17 +53,28 @@ class WordIds(dict):
 
     def forget(self) -> None:
         self.clear()
+        self.new: list[bytes] = []
         # Machine integers: a list of numbers takes five times the memory and is slow to turn into an array.
         self.starts, self.lengths, self.ids = array("q", [0]), array("q", [1]), array("I", [END])
 
     def __missing__(self, word: bytes) -> int:
-        own = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        self.starts.append(len(self.ids))
-        self.lengths.append(len(own))
-        self.ids.extend(own)
-        self[word] = place = len(self.starts) - 1
+        self.new.append(word)
+        self[word] = place = len(self) + 1
         return place
 
+    def learn(self) -> None:
+        """Encodes new words, many at once with a blank between them: calls for single words cost more than the words."""
+        for k in range(0, len(self.new), WORDS_TOGETHER):
+            words = [w.decode() for w in self.new[k : k + WORDS_TOGETHER]]
+            found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+            ends = np.cumsum([len(w) + 1 for w in words])
+            at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found))
+            sizes = np.bincount(np.searchsorted(ends, at, "right"), minlength=len(words))
+            self.starts.frombytes((len(self.ids) + np.cumsum(sizes) - sizes).astype(np.int64).tobytes())
+            self.lengths.frombytes(sizes.astype(np.int64).tobytes())
+            self.ids.extend(found.ids)
+        self.new = []
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text and the end id."""
         if len(self) > WORDS_KEPT:
@@ -72,6 +84,7 @@ class WordIds(dict):
             words = text.split()
             places.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
             places.append(np.zeros(1, np.int64))
+        self.learn()
         every = np.concatenate(places) if places else np.zeros(0, np.int64)
         starts, lengths, ids = np.array(self.starts), np.array(self.lengths), np.array(self.ids, np.uint32)
         size = lengths[every]

@@ -110,3 +110,28 @@ def test_packing_searches_on_after_a_full_set_of_neighbours():
     first = [d for d, _, _, sequence, _ in pieces if sequence == 0]
     assert len(first) > 200 > 2 * packing.NEIGHBOURS and all(d % 2 == 0 for d in first[:200])
     assert sorted((d, n) for d, _, n, _, _ in pieces if n == 10)[-1][0] == 399 and sum(n for _, _, n, _, _ in pieces) == 4000
+
+
+def test_new_words_are_encoded_together():
+    """The ids are those of every word by itself, and calls of the tokenizer don't grow with the words."""
+    import public_tokenizers
+
+    from riskspark.llm import packing
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.calls = inner, 0
+
+        def encode(self, *args, **kwargs):
+            self.calls += 1
+            return self.inner.encode(*args, **kwargs)
+
+    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    plain = words.tokenizer
+    words.tokenizer = counted = Counting(plain)
+    odd = "é ́x <|endoftext|>a ﬁ Å İ 's d 't\x0b'S ​ x\x1fy ﻿ 漢字"
+    texts = [odd, "", "  ", " ".join(f"w{k}ord" for k in range(3000)), odd]
+    got = words.encode([t.encode() for t in texts])
+    want = [[i for w in t.encode().split() for i in plain.encode(w.decode(), add_special_tokens=False).ids] + [packing.END] for t in texts]
+    assert [x.tolist() for x in got] == want
+    assert counted.calls <= 4
