@@ -455,3 +455,22 @@ def test_fixed_text_is_rounded_by_the_exact_value(spark):
     for digits in (0, 1, 2, 4):
         rows = df.select("x", fixed(F.col("x"), digits).alias("plain"), fixed(F.col("x"), digits, plus=True).alias("signed")).collect()
         assert [(r.plain, r.signed) for r in rows] == [(f"{r.x:.{digits}f}", f"{r.x:+.{digits}f}") for r in rows]
+
+
+def test_blocks_are_compared_in_slices():
+    """A row's neighbours in a block are those of the whole block, and no matrix is larger than a slice of it."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    b, ids = rng.random((4096, 64)), np.arange(4096)
+    squares, own = (b * b).sum(1), 2048
+    tracemalloc.start()
+    parts = [smote_module.nearest(ids[k : k + smote_module.TOGETHER], b[k : k + smote_module.TOGETHER], ids, b, squares, 5) for k in range(0, own, smote_module.TOGETHER)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    for at in (0, 255, 256, 2047):
+        got = [p[p["id"] == at]["neighbour"].tolist() for p in parts if (p["id"] == at).any()]
+        distance = ((b - b[at]) ** 2).sum(1)
+        distance[at] = np.inf
+        assert got == [np.argsort(distance, kind="stable")[:5].tolist()]
