@@ -474,3 +474,32 @@ def test_blocks_are_compared_in_slices():
         distance = ((b - b[at]) ** 2).sum(1)
         distance[at] = np.inf
         assert got == [np.argsort(distance, kind="stable")[:5].tolist()]
+
+
+def test_smallest_values_of_a_row():
+    """Ties, missing values and short rows are treated as by a full sort."""
+    rng = np.random.default_rng(5)
+    equal = np.ones((3, 4000))
+    for values in (rng.random((50, 4096)), rng.integers(0, 9, (20, 3001)).astype(float), rng.random((4, 200)), equal, np.where(rng.random((9, 3500)) < 0.9, np.nan, 1.0)):
+        got = np.take_along_axis(values, smote_module.smallest(values, 13), 1)
+        np.testing.assert_array_equal(np.sort(got, 1), np.sort(values, 1)[:, :13])
+    assert set(smote_module.smallest(equal, 13)[0]) == set(range(13))
+
+
+def test_variants_and_folds_are_fitted_at_once(spark, table, monkeypatch):
+    """Fits meet in threads of their own, and the order and values of the results don't depend on that."""
+    import threading
+
+    meeting = threading.Barrier(3, timeout=60)
+
+    def fit(*args, **kwargs):
+        meeting.wait()
+        return fit_model(*args, **kwargs)
+
+    monkeypatch.setattr(training, "fit_model", fit)
+    plain = Settings(kind="logistic", use_anomaly=False)
+    folds = training.cross_validate(table, NAMES, plain, k=3).collect()
+    assert [r.fold for r in folds] == [0, 1, 2] and len({r.auc_pr for r in folds}) == 3
+    variants = ["3_trees_costsensitive", "1_logistic_baseline", "8_no_smote"]
+    result, scores = training.ablation(table, table, NAMES, TINY, variants)
+    assert [r.variant for r in result.collect()] == variants == list(scores)
