@@ -197,7 +197,10 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     built = stored(build_features(train, risk, cards).select("TransactionID", "isFraud", *names))
     model = fit_model(built, names, Settings(kind="logistic", use_anomaly=False))
     scoring = ScoringStream(model, risk, cards, TableSink(base, "scores"), TableSink(base, "dead_letters"), keep=["offset"])
-    run.finish(scoring.writer(_raw(spark, sf), f"{base}/checkpoint", availableNow=True).start())
+    writer = scoring.writer(_raw(spark, sf), f"{base}/checkpoint", availableNow=True)
+    with run.state_by_cores(spark):
+        query = writer.start()
+    run.finish(query)
     scored = run.all_batches(spark, base, "scores")
     features = scored.select("TransactionID", "velocity_count_24h", "velocity_sum_24h")
     again = model.score(built.drop("velocity_count_24h", "velocity_sum_24h").join(features, "TransactionID"))

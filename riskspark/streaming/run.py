@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +21,24 @@ def arriving(df: DataFrame, part: Column, parts: int, base: str, files: int = 2)
     return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/arriving")
 
 
+#: Partitions of a stream's state for each core at most.
+STATE_PARTITIONS = 2
+
+
+@contextmanager
+def state_by_cores(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside have at most ``STATE_PARTITIONS`` partitions of state for each core. Each one is a store that
+    every micro-batch opens, commits and uploads, whether it holds anything or not. The session's own number of shuffle
+    partitions is set again afterwards; a stream keeps what it was started with."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), STATE_PARTITIONS * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -26,13 +47,14 @@ def finish(query: StreamingQuery) -> None:
 
 def run_to_table(stream: DataFrame, base: str, mode: str = "append") -> DataFrame:
     """Everything available now through the stream into a parquet table."""
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode(mode)
         .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True)
-        .start(f"{base}/out")
     )
+    with state_by_cores(stream.sparkSession):
+        query = writer.start(f"{base}/out")
     finish(query)
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{base}/out")
 

@@ -352,3 +352,20 @@ def test_stream_schema_is_the_transaction_schema(spark):
     row = enrich.parse(spark.createDataFrame([('{"TransactionID":1}',)], "value string")).first()
     assert row.error_type == "MissingTime" and set(TRANSACTION.names) <= set(row.asDict())
     assert isinstance(TRANSACTION["TransactionAmt"].dataType, T.DoubleType)
+
+
+def test_state_has_few_partitions_a_core(spark, tmp_path):
+    """A store of the state is opened in every micro-batch, so a session's many shuffle partitions aren't taken over."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    rows = spark.range(40).select("id", F.timestamp_seconds(1_700_000_000 + F.col("id") * 60).alias("event_time"))
+    try:
+        spark.conf.set(name, "50")
+        stream = run.arriving(rows, (F.col("id") % 2).cast("int"), 2, str(tmp_path / "in"))
+        out = run.run_to_table(enrich.deduplicate(stream, "id"), str(tmp_path / "out"))
+        assert spark.conf.get(name) == "50"
+    finally:
+        spark.conf.set(name, before)
+    stores = [p for p in (tmp_path / "out" / "checkpoint" / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(stores) == run.STATE_PARTITIONS * spark.sparkContext.defaultParallelism == 16
+    assert sorted(r.id for r in out.collect()) == list(range(40))
