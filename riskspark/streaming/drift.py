@@ -8,11 +8,12 @@ scores with their places, from which every measure follows; a third holds, for e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from math import isqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -156,7 +157,7 @@ def drift_alert_stream(
     known = side_metrics(_cells(scored, empty), "score", threshold).first()
     cuts, cells, before = _slots(scored)
 
-    slot = F.lit(0) if not cuts else F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("score")))
+    slot = slot_of(cuts, F.col("score"))
     # Per task only the newest rows can be among the newest of all.
     rows = stream.select(F.col("TransactionID").alias("id"), F.unix_micros("event_time").alias("us"), F.col("score").cast("double").alias("score"), F.col("y").cast("double").alias("y"))
     rows = rows.filter("id is not null and us is not null and score is not null and not isnan(score)")
@@ -190,13 +191,25 @@ def _cells(baseline: DataFrame, current: DataFrame) -> DataFrame:
     return both.groupBy("score").agg(*[c.alias(n) for n, c in sums.items()])
 
 
+def slot_of(cuts: Sequence[float], value: Column) -> Column:
+    """How many of the ordered ``cuts`` a value reaches. The group of cuts is looked for first and then the place in it, so a
+    row is compared with few of them however many there are."""
+    if not cuts:
+        return F.lit(0)
+    group = isqrt(len(cuts) - 1) + 1
+    reached = lambda some: F.size(F.filter(some, lambda c: c <= value))
+    listed = lambda some: F.array(*[F.lit(float(c)) for c in some]).cast("array<double>")
+    groups = reached(listed(cuts[group - 1 :: group])) * group
+    return groups + reached(F.slice(listed(cuts), groups + 1, group))
+
+
 def _slots(scored: DataFrame) -> tuple[list[float], DataFrame, np.ndarray]:
     """Borders of the slots, the baseline's distinct scores (slot, score, n), and how many scores lie in lower slots."""
     distinct = scored.select(F.approx_count_distinct("score")).first()[0]
     n = min(MOST_SLOTS, max(1, -(-distinct // SLOT_CELLS)))
     found = scored.select(F.percentile_approx("score", [i / n for i in range(1, n)] or [0.5], 4 * n)).first()[0] if n > 1 else None
     cuts = sorted(set(found or []))
-    slot = F.lit(0) if not cuts else F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("score")))
+    slot = slot_of(cuts, F.col("score"))
     cells = stored(scored.groupBy("score").agg(F.count("*").alias("n")).select(slot.alias("slot"), "score", "n"))
     counts = np.zeros(len(cuts) + 1, np.int64)
     for row in cells.groupBy("slot").agg(F.sum("n").alias("n")).collect():  # one row per slot

@@ -369,3 +369,32 @@ def test_state_has_few_partitions_a_core(spark, tmp_path):
     stores = [p for p in (tmp_path / "out" / "checkpoint" / "state" / "0").iterdir() if p.name.isdigit()]
     assert len(stores) == run.STATE_PARTITIONS * spark.sparkContext.defaultParallelism == 16
     assert sorted(r.id for r in out.collect()) == list(range(40))
+
+
+def test_slots_are_found_by_groups_of_cuts(spark):
+    """Few comparisons a row, whatever the number of slots, and the same slots."""
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 2, 3, 10, 99, 100, 4095):
+        cuts = np.unique(rng.random(n)).tolist()
+        values = [*rng.random(50).tolist(), *cuts[:20], *cuts[-3:], -1.0, 2.0]
+        df = spark.createDataFrame([(x,) for x in values], "score double")
+        found = [tuple(r) for r in df.select("score", drift.slot_of(cuts, F.col("score"))).collect()]
+        assert found == [(x, int(np.searchsorted(cuts, x, "right"))) for x in values]
+
+
+def test_slots_compare_a_row_with_few_cuts(spark):
+    """Work on a row grows with the root of the number of slots."""
+    import time
+
+    df = spark.range(60_000, numPartitions=1).select((F.col("id") / 60_000).alias("score"))
+    cuts = [i / 4096 for i in range(1, 4096)]
+
+    def seconds(slot):
+        start = time.monotonic()
+        total = df.agg(F.sum(slot)).first()[0]
+        return time.monotonic() - start, total
+
+    flat = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("score")))
+    slow, want = seconds(flat)
+    fast, got = seconds(drift.slot_of(cuts, F.col("score")))
+    assert got == want and fast < slow / 4
