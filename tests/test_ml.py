@@ -503,3 +503,18 @@ def test_variants_and_folds_are_fitted_at_once(spark, table, monkeypatch):
     variants = ["3_trees_costsensitive", "1_logistic_baseline", "8_no_smote"]
     result, scores = training.ablation(table, table, NAMES, TINY, variants)
     assert [r.variant for r in result.collect()] == variants == list(scores)
+
+
+def test_refits_do_not_stop_just_short_of_the_end(spark, table, monkeypatch):
+    """All rounds are run when patience doesn't end, without a refit that is nearly as long."""
+    runs = []
+    fit = classify.GBTClassifier.fit
+    monkeypatch.setattr(classify.GBTClassifier, "fit", lambda self, rows: runs.append(self.getMaxIter()) or fit(self, rows))
+    monkeypatch.setattr(classify, "best_rounds", lambda losses, patience: len(losses))
+    model = classify.fit_trees(table, ["a", "b"], rounds=9, depth=2, patience=1)
+    assert runs == [2, 4, 9] and len(model.trees) == 9
+    runs, run = [60], 60
+    while run < 500:
+        run = classify.next_rounds(run, 500)
+        runs.append(run)
+    assert runs == [60, 120, 240, 500]
