@@ -135,3 +135,30 @@ def test_new_words_are_encoded_together():
     want = [[i for w in t.encode().split() for i in plain.encode(w.decode(), add_special_tokens=False).ids] + [packing.END] for t in texts]
     assert [x.tolist() for x in got] == want
     assert counted.calls <= 4
+
+
+def test_new_words_are_encoded_in_small_calls():
+    """Long calls cost more a word, and the token that tells most is that of a full sort."""
+    import numpy as np
+    import public_tokenizers
+
+    from riskspark.llm import packing
+
+    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    calls, tokenizer = [], words.tokenizer
+
+    class Recorded:
+        def encode(self, text, **options):
+            calls.append(len(text.split()))
+            return tokenizer.encode(text, **options)
+
+    words.tokenizer = Recorded()
+    texts = [" ".join(f"word{i * k}x it's" for i in range(k * 200)).encode() for k in range(4)]
+    got = words.encode(texts)
+    assert max(calls) <= 128 and sum(calls) == len(words)
+    for text, ids in zip(texts, got):
+        assert ids.tolist() == [*tokenizer.encode(text.decode(), add_special_tokens=False).ids, packing.END]
+    doc, term, count = packing.term_counts(got)
+    for k, told in enumerate(packing.telling_token(got).tolist()):
+        mine = [(c * np.log2(t + 2), t) for d, t, c in zip(doc, term, count) if d == k]
+        assert told == (max(mine)[1] if mine else 0)
