@@ -13,11 +13,14 @@ and leave a rest; rows that repeat a doc_id are packed one by one.
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -37,53 +40,146 @@ K1, B = 1.2, 0.75
 QUERY_TERMS, NEIGHBOURS = 24, 64
 #: Windows shorter than this are padded.
 SHORTEST = 64
-WORDS_KEPT = 1 << 19
+WORDS_KEPT = 1 << 20
 WORDS_TOGETHER = 64
 
+#: What splits texts in the tokenizer's file; a piece is what this pattern finds.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPACE, LETTER, DIGIT, OTHER, STRANGE = range(5)
+
+
+def char_tables() -> tuple[np.ndarray, np.ndarray]:
+    """The kind and the lower case of each UTF-16 unit. Latin letters up to U+017F and common punctuation are known: no normal
+    form changes them, and lower case is one of them too. All others are STRANGE."""
+    kind, lower = np.full(1 << 16, STRANGE, np.uint8), np.arange(1 << 16, dtype=np.uint16)
+    known = [chr(c) for c in [*range(0x180), *range(0x2010, 0x2028), 0x20AC] if c != 0x130]
+    for c in known:
+        kind[ord(c)] = {"L": LETTER, "N": DIGIT}.get(unicodedata.category(c)[0], OTHER)
+        lower[ord(c)] = ord(c.lower())
+    kind[[*range(9, 14), 0x20, 0x85, 0xA0]] = SPACE
+    return kind, lower
+
+
+KIND, LOWER = char_tables()
+
+
+def last_tokens(path: str) -> np.ndarray | None:
+    """Whether each id ends a piece, if the tokenizer of the file lower-cases and splits texts by ``SPLIT``."""
+    with open(path, encoding="utf-8") as file:
+        settings = json.load(file)
+    normal = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+    split = {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+    as_bytes = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    wanted = {
+        "normalizer": {"type": "Sequence", "normalizers": normal}, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [split, as_bytes]},
+        "post_processor": None, "truncation": None, "padding": None,
+    }
+    model = settings["model"]
+    if any(settings.get(k) != v for k, v in wanted.items()) or model["type"] != "BPE" or model.get("end_of_word_suffix") != "</w>" or model.get("dropout"):
+        return None
+    last = np.zeros(max([*model["vocab"].values(), *(t["id"] for t in settings["added_tokens"])]) + 1, bool)
+    last[[k for token, k in model["vocab"].items() if token.endswith("</w>")]] = True
+    return last
+
+
+def piece_starts(units: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Where pieces of lower-case UTF-16 units start. Runs of a kind are pieces, digits are pieces each, and a run that
+    begins with an apostrophe may be a contraction."""
+    start = np.ones(len(units), bool)
+    start[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    start &= kind != SPACE
+    at = np.flatnonzero(start & (units == ord("'")))
+    one, two = (np.append(units[at[at + k < len(units)] + k], np.zeros(np.count_nonzero(at + k >= len(units)), np.uint16)) for k in (1, 2))
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = (((one == ord("r")) | (one == ord("v"))) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    start[at[short | long] + 1] = False
+    ends = np.concatenate((at[short] + 2, at[long] + 3))
+    ends = ends[ends < len(units)]
+    start[ends] = kind[ends] != SPACE
+    return start
+
 
 class WordIds(dict):
-    """Token ids of words, encoded once. A tokenizer that drops white space treats the words between it independently.
+    """Token ids of words and pieces, encoded once. A tokenizer that drops white space treats the words between it
+    independently, and one that splits texts by ``SPLIT`` its pieces, of which there are fewer.
 
-    Maps a word to its place in ``starts``, ``lengths`` and ``ids``. Place 0 is the end of a document."""
+    Maps a piece (bytes, UTF-16) or a word (str) to its place in ``starts``, ``lengths`` and ``ids``. Place 0 is the end of a document."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.last = last_tokens(path)
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self) -> None:
         self.clear()
-        self.new: list[bytes] = []
+        self.new: list[bytes | str] = []
         # Machine integers: a list of numbers takes five times the memory and is slow to turn into an array.
         self.starts, self.lengths, self.ids = array("q", [0]), array("q", [1]), array("I", [END])
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | str) -> int:
         self.new.append(word)
         self[word] = place = len(self) + 1
         return place
 
     def learn(self) -> None:
-        """Encodes new words, some at once with a blank between them: calls for single words cost more than the words, and
-        in calls for a thousand a word costs nearly twice as much as in those for a hundred."""
+        """Encodes new words or pieces, some at once with a blank between them: calls for single words cost more than the
+        words, and in calls for a thousand a word costs nearly twice as much as in those for a hundred."""
         for k in range(0, len(self.new), WORDS_TOGETHER):
-            words = [w.decode() for w in self.new[k : k + WORDS_TOGETHER]]
-            found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-            ends = np.cumsum([len(w) + 1 for w in words])
-            at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found))
-            sizes = np.bincount(np.searchsorted(ends, at, "right"), minlength=len(words))
+            words = self.new[k : k + WORDS_TOGETHER]
+            pieces = isinstance(words[0], bytes)
+            text = b" \0".join(words).decode("utf-16-le") if pieces else " ".join(words)
+            found = self.tokenizer.encode(text, add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
+            if pieces:
+                sizes = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+            else:
+                ends = np.cumsum([len(w) + 1 for w in words])
+                at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found))
+                sizes = np.bincount(np.searchsorted(ends, at, "right"), minlength=len(words))
+            if len(sizes) != len(words) or sizes.sum() != len(ids):
+                raise ValueError(f"the tokenizer splits {len(words)} words into {len(sizes)}")
             self.starts.frombytes((len(self.ids) + np.cumsum(sizes) - sizes).astype(np.int64).tobytes())
             self.lengths.frombytes(sizes.astype(np.int64).tobytes())
-            self.ids.extend(found.ids)
+            self.ids.frombytes(ids.tobytes())
         self.new = []
 
+    def pieces(self, texts: list[bytes]) -> list[np.ndarray | None]:
+        """The places of each text's pieces; None for texts with strange characters or added tokens, and all texts if the
+        tokenizer splits in another way."""
+        if self.last is None or not texts:
+            return [None] * len(texts)
+        raw = [t.decode().encode("utf-16-le") for t in texts]
+        units = np.frombuffer(b" \0".join([*raw, b""]), np.uint16)
+        ends = np.cumsum([len(r) // 2 + 1 for r in raw])
+        begins = np.concatenate(([0], ends[:-1]))
+        kind = KIND[units]
+        strange = np.searchsorted(ends, np.flatnonzero(kind == STRANGE), "right")
+        odd = {*np.unique(strange).tolist(), *(k for k, t in enumerate(texts) if any(a in t for a in self.added))}
+        for k in odd:
+            kind[begins[k] : ends[k]] = SPACE
+        units = LOWER[units]
+        start, kept = piece_starts(units, kind), kind != SPACE
+        data = units[kept]
+        # Without the blanks, each piece ends where the next one starts.
+        bounds = np.append(np.flatnonzero(start[kept]), len(data)).astype(np.int32) * 2
+        coded = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        own = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))
+        places = np.split(own[coded.indices.to_numpy()], np.cumsum(start)[ends - 1][:-1])
+        return [None if k in odd else p for k, p in enumerate(places)]
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text and the end id."""
         if len(self) > WORDS_KEPT:
             self.forget()
         places: list[np.ndarray] = []
-        for text in texts:
-            words = text.split()
-            places.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
+        found = self.pieces(texts)
+        self.learn()
+        for text, own in zip(texts, found, strict=True):
+            words = [w.decode() for w in text.split()] if own is None else []
+            places.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)) if own is None else own)
             places.append(np.zeros(1, np.int64))
         self.learn()
         every = np.concatenate(places) if places else np.zeros(0, np.int64)
@@ -95,6 +191,12 @@ class WordIds(dict):
         return np.split(flat, ends[:-1]) if texts else []
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """What a Python worker has encoded stays for its next tasks; ``WORDS_KEPT`` bounds it."""
+    return WordIds(path)
+
+
 def size_of(lengths: np.ndarray, places: np.ndarray) -> int:
     return int(lengths[places].sum())
 
@@ -127,7 +229,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids (binary, unsigned 32 bits, little-endian), tokens, key of each row of docs (doc_id, text)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = word_ids(path)
         narrow = np.uint16 if words.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).to_pylist()]

@@ -162,3 +162,34 @@ def test_new_words_are_encoded_in_small_calls():
     for k, told in enumerate(packing.telling_token(got).tolist()):
         mine = [(c * np.log2(t + 2), t) for d, t, c in zip(doc, term, count) if d == k]
         assert told == (max(mine)[1] if mine else 0)
+
+
+def test_pieces_are_encoded_once_for_all_words_that_hold_them():
+    """Words that differ in case and signs share their pieces, contractions and all, and the ids stay those of the text."""
+    import random
+
+    import public_tokenizers
+
+    from riskspark.llm import packing
+
+    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["".join(f"{w}{k % 10}{sign} " for k in range(300) for w in ("Word", "word") for sign in (",", ".", "!!", "'s"))]
+    rnd = random.Random(5)
+    signs = ["a", "É", "œ", "'s", "'", "'L", "l", "ve", "'d", "''", "’", "½", "ª", "€", " ", "\t", " ", "\x85", "\x1c", "7", "#", "…", "\0"]
+    texts += ["".join(rnd.choice(signs) for _ in range(rnd.randrange(60))) for _ in range(400)]
+    texts[7:9] = ["x <|endoftext|>'s", "İ ́a 漢字𝒳 's'"]
+    for text, ids in zip(texts, words.encode([t.encode() for t in texts]), strict=True):
+        assert ids.tolist() == [*words.tokenizer.encode(text, add_special_tokens=False).ids, packing.END]
+    again = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    again.encode([texts[0].encode()])
+    assert len(again) == 1 + 10 + 4
+
+
+def test_a_worker_keeps_the_pieces_of_earlier_tasks():
+    import public_tokenizers
+
+    from riskspark.llm import packing
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packing.word_ids(path).encode([b"kept for later"])
+    assert {"kept".encode("utf-16-le"), "later".encode("utf-16-le")} <= set(packing.word_ids(path))
