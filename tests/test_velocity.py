@@ -133,3 +133,24 @@ def test_equal_amounts_have_no_spread(spark):
 def test_grain_must_divide_the_windows(spark):
     with pytest.raises(ValueError):
         velocity(frame(spark, [(1, 1, 0, 1.0)]), [1], grain_seconds=7)
+
+
+def test_sparse_and_dense_cards_meet_in_one_table(spark, monkeypatch):
+    """Cards with few rows a day go through range windows, the others by grains, and history counts for both."""
+    from riskspark.operators import velocity as operator
+
+    rows = random_rows(9)
+    want = brute(rows, [1, 6, 24])
+    ways = []
+    for name in ("_ranges", "_grains"):
+        plain = getattr(operator, name)
+        monkeypatch.setattr(operator, name, lambda *a, plain=plain, name=name: ways.append(name) or plain(*a))
+    for limit, expected in ((10**9, ["_ranges"]), (0, ["_ranges", "_grains"]), (20, ["_ranges", "_grains"])):
+        monkeypatch.setattr(operator, "SPARSE", limit)
+        ways.clear()
+        got = velocity(frame(spark, rows), [1, 6, 24])
+        assert got.count() == len(rows)
+        check(got, want, [1, 6, 24])
+        assert ways == expected
+        early, late = [r for r in rows if r[0] % 2], [r for r in rows if not r[0] % 2]
+        check(velocity(frame(spark, late), [1, 6, 24], history=frame(spark, early)), want, [1, 6, 24])
