@@ -204,6 +204,25 @@ def test_neighbours_of_many_blocks_are_nearly_all_found(spark):
     assert recall_of(spark, rng.rand(2000, 3), block_rows=100) >= 0.9
 
 
+def test_neighbours_of_many_blocks_are_exact(spark, monkeypatch):
+    """Also where the lines find little: no structure, many cells, and more equal rows than a search returns."""
+    rng = np.random.RandomState(3)
+    monkeypatch.setattr(smote_module, "PART_ROWS", 32)
+    assert recall_of(spark, rng.randn(1500, 24), block_rows=50, lines=2) == 1
+    whole = smote_module._within_reach
+    monkeypatch.setattr(smote_module, "_within_reach", lambda vectors, found, k: whole(vectors, found, k, 200))
+    assert recall_of(spark, rng.randn(1500, 24), block_rows=50, lines=2) == 1
+    equal = rng.randint(3, size=(900, 3)).astype(float)
+    rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(equal)], "TransactionID long, values array<double>")
+    got = {}
+    for r in nearest_neighbours(rows, block_rows=60).collect():
+        got.setdefault(r.TransactionID, {})[r.rank] = r.neighbour
+    for i in range(len(equal)):
+        distance = ((equal - equal[i]) ** 2).sum(1)
+        distance[i] = np.inf
+        assert [got[i][n] for n in range(1, 6)] == np.argsort(distance, kind="stable")[:5].tolist()
+
+
 def test_work_of_neighbours_is_linear(spark):
     """Each row is compared with at most two blocks on each line."""
     rows = spark.range(4000).select(F.col("id").alias("TransactionID"), F.array(F.rand(1), F.rand(2), F.rand(3)).alias("values")).cache()
