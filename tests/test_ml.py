@@ -537,3 +537,62 @@ def test_refits_do_not_stop_just_short_of_the_end(spark, table, monkeypatch):
         run = classify.next_rounds(run, 500)
         runs.append(run)
     assert runs == [60, 120, 240, 500]
+
+
+def nodes_of(model):
+    """Feature, threshold, gain, prediction and cover of all nodes, by tree, and the weights of the trees."""
+    out = []
+    for tree in model._call_java("trees"):
+        open_, found = [tree.rootNode()], []
+        while open_:
+            node = open_.pop()
+            found.append([node.prediction(), node.impurity(), float(node.impurityStats().count())])
+            if node.subtreeDepth():
+                split = node.split()
+                found[-1] += [split.featureIndex(), split.threshold(), node.gain()]
+                open_ += [node.leftChild(), node.rightChild()]
+        out.append(found)
+    return out, list(model.treeWeights)
+
+
+@pytest.mark.parametrize("weight", [None, 1.0])
+def test_large_tables_get_the_trees_of_spark(spark, monkeypatch, weight):
+    """With the same rounds kept, the same draws of rows and features, and the same bins."""
+    rng, names = np.random.RandomState(6), ["a", "b", "c", "d", "e"]
+    x = rng.randn(5000, 5).round(3)
+    x[:, 3] = rng.randint(4, size=5000)
+    x[:, 4] = np.where(rng.rand(5000) < 0.5, 0, x[:, 4])
+    y = (x[:, 0] + x[:, 1] * x[:, 3] / 2 + rng.randn(5000) > 1).astype(int)
+    rows = spark.createDataFrame([(i, *map(float, r), int(v)) for i, (r, v) in enumerate(zip(x, y))], "TransactionID long, a double, b double, c double, d double, e double, isFraud int")
+    rows = rows.coalesce(1).cache()
+    options = dict(rounds=40, depth=4, step=0.3, patience=3, penalty=0.5, positive_weight=weight)
+    want = classify.fit_trees(rows, names, **options)
+    monkeypatch.setattr(classify, "SPARK_ROWS", 0)
+    got = classify.fit_trees(rows, names, **options)
+    assert 3 < got.getNumTrees < 40 and got.numFeatures == 5
+    (a, wa), (b, wb) = nodes_of(want), nodes_of(got)
+    assert wa == wb and [len(t) for t in a] == [len(t) for t in b]
+    for s, t in zip(a, b):
+        for m, n in zip(s, t):
+            assert m == pytest.approx(n, rel=1e-6, abs=1e-9)
+
+
+def test_boosting_does_not_depend_on_blocks(spark, monkeypatch):
+    """Blocks of a few rows give the draws of whole partitions, and all rounds are run when patience doesn't end."""
+    from riskspark.ml import boost
+
+    rng = np.random.RandomState(7)
+    x = rng.rand(900, 2)
+    rows = spark.createDataFrame([(i, float(a), float(b), int(a > b)) for i, (a, b) in enumerate(x)], "TransactionID long, a double, b double, isFraud int")
+    rows = rows.repartition(3).cache()
+    monkeypatch.setattr(classify, "SPARK_ROWS", 0)
+    whole = classify.fit_trees(rows, ["a", "b"], rounds=12, depth=3, patience=12, penalty=0.0)
+    monkeypatch.setattr(boost, "BLOCK_ROWS", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        small = classify.fit_trees(rows, ["a", "b"], rounds=12, depth=3, patience=12, penalty=0.0)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert whole.getNumTrees == small.getNumTrees == 12
+    a, b = (sorted((r.TransactionID, r.probability) for r in classify.probability(rows, m, ["a", "b"]).collect()) for m in (whole, small))
+    assert [p for _, p in a] == pytest.approx([p for _, p in b], abs=1e-9)
